@@ -12,13 +12,15 @@ from pyspark.sql import functions as F
 
 def read_feed_documents(spark: SparkSession, path: str) -> DataFrame:
     """(value, doc_path, <partition columns>) - one row per document file."""
-    df = spark.read.option("wholetext", "true").text(path)
+    # wholetext goes through text()'s own argument (an earlier .option() would
+    # be overwritten by its default).
+    df = spark.read.text(path, wholetext=True)
     return df.withColumn("doc_path", F.col("_metadata.file_path"))
 
 
 def read_feed_documents_stream(spark: SparkSession, path: str,
                                max_files_per_trigger: int | None = None) -> DataFrame:
-    r = spark.readStream.format("text").option("wholetext", "true")
+    r = spark.readStream
     if max_files_per_trigger:
         r = r.option("maxFilesPerTrigger", str(max_files_per_trigger))
-    return r.load(path).withColumn("doc_path", F.col("_metadata.file_path"))
+    return r.text(path, wholetext=True).withColumn("doc_path", F.col("_metadata.file_path"))
