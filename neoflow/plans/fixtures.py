@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 
 from neoflow.functions.dates import format_day
 from neoflow.functions.json import encode_utf8, to_json_keep_nulls
-from neoflow.plans.tables import table
+from neoflow.plans.tables import spread, table
 from neoflow.schemas import RECORD_COLUMNS
 
 PAYLOAD_TOPIC = "objects"
@@ -59,8 +59,8 @@ def _diam(lo: Column, hi: Column, factor: float) -> Column:
 def payload_objects(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One row per message with the object struct in ``obj`` plus the order
     key, line number and order date (for record timestamps)."""
-    o = table(spark, sf_dir, "orders").select(
-        "o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate", "o_orderpriority")
+    o = spread(table(spark, sf_dir, "orders").select(
+        "o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate", "o_orderpriority"))
     li = table(spark, sf_dir, "lineitem").select(
         "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity",
         "l_extendedprice", "l_discount", "l_tax", "l_shipdate")
@@ -123,7 +123,7 @@ def payload_records(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def event_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``events`` as a record table (see module doc)."""
-    e = table(spark, sf_dir, "events").select("event_id", "ts", "user_id", "event_type", "props")
+    e = spread(table(spark, sf_dir, "events").select("event_id", "ts", "user_id", "event_type", "props"))
     return e.select(
         encode_utf8(_s("user_id")).alias("key"),
         encode_utf8("props").alias("value"),

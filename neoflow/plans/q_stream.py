@@ -73,9 +73,9 @@ def stream_restart(spark, sf_dir):
 
 @register("stream_rate_limited", FLATTEN_SQL, ["STR-7"])
 def stream_rate_limited(spark, sf_dir):
-    """At most one topic file per micro-batch."""
+    """At most two topic files per micro-batch (several batches)."""
     src = TopicSource(kind=FILES, path=payload_topic(spark, sf_dir), starting="earliest",
-                      max_per_trigger=1)
+                      max_per_trigger=2)
     return _land(spark, "stream_rate_limited", src)
 
 

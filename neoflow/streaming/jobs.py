@@ -42,7 +42,8 @@ def landing_stream(spark: SparkSession, src: TopicSource, schema="narrow",
 def topic_to_parquet(spark: SparkSession, src: TopicSource, out_path: str,
                      checkpoint: str | None = None, trigger: dict | None = None,
                      schema="narrow", view: str | None = None, view_sink: str = "console",
-                     query_name: str | None = None, cluster: str = "range") -> list[StreamingQuery]:
+                     query_name: str | None = None, cluster: str = "range",
+                     view_rows: int = 5) -> list[StreamingQuery]:
     """Start the landing query (and, if ``view`` names one, a live view as a
     second independent query on the same plan, with its own checkpoint).
     Returns the started queries, sink first."""
@@ -51,8 +52,8 @@ def topic_to_parquet(spark: SparkSession, src: TopicSource, out_path: str,
     qs = [parquet_append_stream(stream, out_path, ckpt, "date", trigger or DEFAULT_TRIGGER,
                                 query_name=query_name, cluster=cluster)]
     if view:
-        qs.append(live_view(stream, view, sink=view_sink, checkpoint=f"{ckpt}_view_{view}",
-                            trigger=trigger or DEFAULT_TRIGGER))
+        qs.append(live_view(stream, view, sink=view_sink, num_rows=view_rows,
+                            checkpoint=f"{ckpt}_view_{view}", trigger=trigger or DEFAULT_TRIGGER))
     return qs
 
 
