@@ -80,23 +80,30 @@ def require_all_days(spark: SparkSession, messages: DataFrame, doc_days: DataFra
     return messages.unionByName(boom)
 
 
-def number_messages(msgs: DataFrame, doc_col: str, day_col: str = "day_str",
+def object_counts(doc_days: DataFrame, start, end, doc_col: str) -> DataFrame:
+    """(day_str, doc, n) - objects per (document, day) inside [start, end],
+    read off the array sizes: no explode, one small row per (document, day)."""
+    s_, e_ = format_day(_lit_date(start)), format_day(_lit_date(end))
+    return doc_days.filter(F.col("day_str").between(s_, e_)).groupBy("day_str", doc_col) \
+        .agg(F.sum(F.size("objects")).alias("_n"))
+
+
+def number_messages(msgs: DataFrame, counts: DataFrame, doc_col: str, day_col: str = "day_str",
                     pos_col: str = "pos", out: str = "number") -> DataFrame:
     """1-based running number over the whole run in (day, document, pos)
-    order, without a global single-partition window:
+    order, without a global single-partition window over the messages:
 
-    * per (day, document) counts -> start of each document within its day
-      (window per day over that day's documents only);
-    * per-day totals -> start of each day (window over one row per day);
+    * ``counts`` (from ``object_counts``) -> start of each document within
+      its day (window per day over that day's count rows only);
+    * per-day totals -> start of each day (window over one row per day,
+      bounded by the calendar);
     * number = day start + document start + pos + 1.
 
-    The two count tables are joined back; they hold one row per
-    (day, document), so the join is broadcast only when AQE measures them
-    small."""
-    per_doc = msgs.groupBy(day_col, doc_col).agg(F.count(F.lit(1)).alias("_n"))
+    The start table has one row per (day, document); AQE broadcasts it when
+    its measured size is small and falls back to a shuffle join otherwise."""
     w_doc = Window.partitionBy(day_col).orderBy(doc_col).rowsBetween(Window.unboundedPreceding, -1)
-    per_doc = per_doc.withColumn("_doc_start", F.coalesce(F.sum("_n").over(w_doc), F.lit(0)))
-    per_day = per_doc.groupBy(day_col).agg(F.sum("_n").alias("_day_n"))
+    per_doc = counts.withColumn("_doc_start", F.coalesce(F.sum("_n").over(w_doc), F.lit(0)))
+    per_day = counts.groupBy(day_col).agg(F.sum("_n").alias("_day_n"))
     w_day = Window.orderBy(day_col).rowsBetween(Window.unboundedPreceding, -1)
     per_day = per_day.withColumn("_day_start", F.coalesce(F.sum("_day_n").over(w_day), F.lit(0)))
     starts = per_doc.join(per_day, day_col).select(

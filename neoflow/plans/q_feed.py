@@ -11,7 +11,7 @@ from pyspark.sql.window import Window
 
 from neoflow.fs import path_exists
 from neoflow.operators.feed import (calendar_between, fan_out, missing_days, number_messages,
-                                    parse_feed, serialize, stamp_typed)
+                                    object_counts, parse_feed, serialize, stamp_typed)
 from neoflow.plans import fixtures as fx
 from neoflow.plans.registry import register, register_subset
 from neoflow.plans.tables import table
@@ -54,9 +54,13 @@ def _bounds(spark, sf_dir, pad_before: int = 0, pad_after: int = 0):
     return start, end
 
 
-def _messages(spark, sf_dir) -> DataFrame:
+def _messages(spark, sf_dir, numbered: bool = False) -> DataFrame:
     start, end = _bounds(spark, sf_dir)
-    return fan_out(parse_feed(_docs(spark, sf_dir), key_cols=["page"]), start, end, key_cols=["page"])
+    doc_days = parse_feed(_docs(spark, sf_dir), key_cols=["page"])
+    msgs = fan_out(doc_days, start, end, key_cols=["page"])
+    if numbered:
+        msgs = number_messages(msgs, object_counts(doc_days, start, end, "page"), "page")
+    return msgs
 
 
 CAL_SQL = """
@@ -108,7 +112,7 @@ FROM events"""
 @register("feed_numbering", NUMBERING_SQL, ["FAN-7"])
 def feed_numbering(spark, sf_dir):
     """Running message number over the whole run, day then array order."""
-    msgs = number_messages(_messages(spark, sf_dir), doc_col="page")
+    msgs = _messages(spark, sf_dir, numbered=True)
     return msgs.select(F.get_json_object("object", "$.event_id").cast("long").alias("event_id"),
                        "number")
 

@@ -10,19 +10,21 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from neoflow.operators.feed import (emission_order, fan_out, number_messages, parse_feed,
-                                    require_all_days, to_message_bytes)
+from pyspark import StorageLevel
+
+from neoflow.operators.feed import (emission_order, fan_out, number_messages, object_counts,
+                                    parse_feed, require_all_days, to_message_bytes)
 from neoflow.sinks.topic import FILES, TopicSink, append_records, write_topic
 
 
-def feed_messages(spark: SparkSession, docs: DataFrame, start, end, doc_col: str,
+def feed_messages(spark: SparkSession, doc_days: DataFrame, start, end, doc_col: str,
                   strict: bool = True, num_partitions: int | None = None) -> DataFrame:
-    """Numbered messages in emission order: (day_str, doc, pos, number, value)."""
-    doc_days = parse_feed(docs, key_cols=[doc_col])
+    """Numbered messages in emission order: (day_str, doc, pos, number, value)
+    from parsed (document, day) rows."""
     msgs = fan_out(doc_days, start, end, key_cols=[doc_col])
     if strict:
         msgs = require_all_days(spark, msgs, doc_days, start, end)
-    msgs = number_messages(msgs, doc_col)
+    msgs = number_messages(msgs, object_counts(doc_days, start, end, doc_col), doc_col)
     return emission_order(msgs, doc_col, num_partitions)
 
 
@@ -32,9 +34,16 @@ def feed_to_topic(spark: SparkSession, docs: DataFrame, start, end, sink: TopicS
     """Send every object of the days in [start, end] as one message (value
     only). For a file-backed topic each range partition becomes one topic
     partition, so per-partition offsets follow the emission order."""
-    msgs = feed_messages(spark, docs, start, end, doc_col, strict, num_partitions)
-    recs = to_message_bytes(msgs.select("value"))
-    if sink.kind == FILES:
-        append_records(spark, recs.withColumn("timestamp", F.current_timestamp()), sink)
-    else:
-        write_topic(recs, sink)
+    # The parsed (document, day) rows feed the messages, the counts and the
+    # missing-day check: parse once, keep them for this job (recomputed from
+    # the documents if an executor holding them is lost).
+    doc_days = parse_feed(docs, key_cols=[doc_col]).persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        msgs = feed_messages(spark, doc_days, start, end, doc_col, strict, num_partitions)
+        recs = to_message_bytes(msgs.select("value"))
+        if sink.kind == FILES:
+            append_records(spark, recs.withColumn("timestamp", F.current_timestamp()), sink)
+        else:
+            write_topic(recs, sink)
+    finally:
+        doc_days.unpersist()

@@ -6,8 +6,8 @@ import os
 import pytest
 from pyspark.sql import functions as F
 
-from neoflow.operators.feed import (calendar, fan_out, missing_days, number_messages, parse_feed,
-                                    require_all_days)
+from neoflow.operators.feed import (calendar, fan_out, missing_days, number_messages,
+                                    object_counts, parse_feed, require_all_days)
 from neoflow.operators.parse import parse_and_flatten
 from neoflow.session import scratch_path
 from neoflow.sinks.topic import FILES, TopicSink, create_topic
@@ -47,7 +47,8 @@ def test_calendar_inclusive_and_empty(spark):
 def test_fan_out_pretty_printed_days_out_of_order(spark):
     docs = _land(spark, [DOC])
     days = parse_feed(docs, key_cols=["doc_path"])
-    msgs = number_messages(fan_out(days, "2022-11-18", "2022-11-20", ["doc_path"]), "doc_path")
+    msgs = number_messages(fan_out(days, "2022-11-18", "2022-11-20", ["doc_path"]),
+                           object_counts(days, "2022-11-18", "2022-11-20", "doc_path"), "doc_path")
     rows = sorted(msgs.select("number", "value").collect())
     assert [r.number for r in rows] == [1, 2, 3, 4]
     objs = [json.loads(r.value) for r in rows]
