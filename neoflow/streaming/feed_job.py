@@ -47,3 +47,25 @@ def feed_to_topic(spark: SparkSession, docs: DataFrame, start, end, sink: TopicS
             write_topic(recs, sink)
     finally:
         doc_days.unpersist()
+
+
+def feed_to_topic_stream(spark: SparkSession, docs_path: str, start, end, sink: TopicSink,
+                         checkpoint: str, strict: bool = False, trigger: dict | None = None,
+                         max_files_per_trigger: int | None = None):
+    """Streaming producer: every micro-batch of newly landed feed documents
+    (one file each) is fanned out by the batch job into the topic.
+
+    Numbering restarts per micro-batch; the topic's offsets carry the order.
+    The topic leg is at-least-once (a batch replayed after a failure is sent
+    again), as with any Kafka producer. Lenient by default: a stream of
+    documents rarely covers the whole range in one batch."""
+    from neoflow.sources.feed import read_feed_documents_stream
+
+    docs = read_feed_documents_stream(spark, docs_path, max_files_per_trigger)
+
+    def send(batch: DataFrame, batch_id: int) -> None:
+        feed_to_topic(batch.sparkSession, batch, start, end, sink, doc_col="doc_path",
+                      strict=strict)
+
+    return (docs.writeStream.foreachBatch(send).option("checkpointLocation", checkpoint)
+            .trigger(**(trigger or {"processingTime": "5 seconds"})).start())

@@ -93,3 +93,21 @@ def test_feed_to_topic_round_trip(spark):
     per_day = {r["date"]: r["count"] for r in out.groupBy("date").count().collect()}
     assert per_day == {"2022-11-18": 2, "2022-11-19": 2}
     assert sorted(r.object_id for r in out.collect() if r.object_id) == [1, 3, 4]
+
+
+def test_feed_to_topic_stream(spark):
+    from neoflow.streaming.feed_job import feed_to_topic_stream
+    docs = _land(spark, [DOC, {"near_earth_objects": {"2022-11-20": [{"id": "7"}]}}])
+    path = docs.select("doc_path").first().doc_path.rsplit("/", 1)[0]
+    sink = TopicSink(kind=FILES, path=scratch_path(spark, "t-feed-stream"), topic="neo")
+    create_topic(spark, sink)
+    q = feed_to_topic_stream(spark, path, "2022-11-18", "2022-11-20", sink,
+                             checkpoint=scratch_path(spark, "t-feed-stream-ckpt"),
+                             trigger={"availableNow": True}, max_files_per_trigger=1)
+    q.awaitTermination()
+    assert q.exception() is None
+    recs = read_topic(spark, TopicSource(kind=FILES, path=sink.path))
+    ids = sorted(r.object_id for r in parse_and_flatten(recs).collect() if r.object_id)
+    assert ids == [1, 3, 4, 7]
+    # offsets continue across micro-batches
+    assert recs.select("partition", "offset").distinct().count() == recs.count() == 5

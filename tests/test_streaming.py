@@ -109,3 +109,12 @@ def test_null_dates_route_to_default_partition(spark):
     typed = landed_table(spark, out, typed_date=True)
     assert dict(typed.dtypes)["date"] == "date"
     assert typed.filter(F.col("date").isNull()).count() == 2
+
+
+def test_entry_smoke(spark):
+    import __spark_entry__ as entry
+    df = entry.entry(spark)
+    assert df.columns[:2] == ["date", "object_id"] and len(df.columns) == 15
+    assert df.count() > 0
+    qs, sql = entry.queries(), entry.oracle_sql()
+    assert set(sql) <= set(qs)
