@@ -7,8 +7,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from neoflow.functions.casts import field_of_elements, tolerant_double, tolerant_int
-from neoflow.operators.parse import (PARSED, decode_value, flatten, flatten_columns,
-                                     parse_and_flatten, parse_messages)
+from neoflow.operators.parse import (PARSED, decode_value, flatten, parse_and_flatten,
+                                     parse_messages)
 from neoflow.operators.predicates import date_range
 from neoflow.plans import fixtures as fx
 from neoflow.plans.registry import register, register_subset
@@ -193,4 +193,3 @@ register_subset("prj_11_tolerant_double", "tolerant_casts",
                 ["p_partkey"] + [f"d_{k}" for k in _CAST_TEXTS], ["PRJ-11"])
 register_subset("prj_12_date_range", "flatten_date_range", _OBJ, ["PRJ-12"])
 
-__all__ = ["flatten_columns"]

@@ -62,13 +62,18 @@ def write_topic(records: DataFrame, sink: TopicSink, mode: str = "append") -> No
 
 def write_topic_stream(records: DataFrame, sink: TopicSink, checkpoint: str,
                        trigger: dict | None = None) -> StreamingQuery:
+    """Streaming write of records: Kafka sink (at-least-once) or the
+    exactly-once Parquet file sink for a file-backed topic (offsets stay as
+    given by the records)."""
     if sink.kind == KAFKA:
-        return _kafka_frame(records).writeStream.option("checkpointLocation", checkpoint) \
-            .trigger(**(trigger or {"processingTime": "0 seconds"})) \
-            .format("kafka").options(**kafka_sink_options(sink)).start()
-    return _file_frame(records, sink).writeStream.option("checkpointLocation", checkpoint) \
-        .trigger(**(trigger or {"processingTime": "0 seconds"})) \
-        .format("parquet").outputMode("append").start(sink.path)
+        w = _kafka_frame(records).writeStream.format("kafka").options(**kafka_sink_options(sink))
+    else:
+        w = _file_frame(records, sink).writeStream.format("parquet").outputMode("append") \
+            .option("path", sink.path)
+    w = w.option("checkpointLocation", checkpoint)
+    if trigger:
+        w = w.trigger(**trigger)
+    return w.start()
 
 
 def _file_frame(records: DataFrame, sink: TopicSink) -> DataFrame:

@@ -4,7 +4,6 @@ import json
 import math
 
 import pytest
-from pyspark.sql import functions as F
 
 from neoflow.operators.parse import parse_and_flatten
 from neoflow.schemas import NARROW_MESSAGE_SCHEMA, OUTPUT_COLUMNS, narrowed, MESSAGE_SCHEMA
