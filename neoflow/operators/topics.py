@@ -30,6 +30,26 @@ def records_to_lines(records: DataFrame, topics: list[str]) -> DataFrame:
         .select(F.col("value").cast("string").alias("value"))
 
 
+def lines_to_topic_stream(spark, lines_dir: str, topic: str, sink, checkpoint: str,
+                          trigger: dict | None = None):
+    """Streaming file-source connector: new text files in ``lines_dir`` ->
+    one record per line into the topic sink."""
+    from neoflow.sinks.topic import write_topic_stream
+    lines = spark.readStream.text(lines_dir)
+    return write_topic_stream(lines_to_records(lines, topic), sink, checkpoint, trigger)
+
+
+def topic_to_lines_stream(records: DataFrame, topics: list[str], out_dir: str, checkpoint: str,
+                          trigger: dict | None = None):
+    """Streaming file-sink connector: values of the chosen topics appended
+    as text lines (exactly-once file sink)."""
+    w = records_to_lines(records, topics).writeStream.format("text").outputMode("append") \
+        .option("checkpointLocation", checkpoint)
+    if trigger:
+        w = w.trigger(**trigger)
+    return w.start(out_dir)
+
+
 # ------------------------------------------------------------------- TOP-3
 # The type names of the JSON converter's schema envelope.
 _CONNECT_TYPES = [

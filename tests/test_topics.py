@@ -123,3 +123,26 @@ def test_s3a_conf():
 def test_shared_dir_comes_from_session(spark):
     d = shared_dir(spark)
     assert d and d.rstrip("/").split("/")[-1]
+
+
+def test_lines_to_topic_and_back_streaming(spark):
+    import os
+    from neoflow.operators.topics import lines_to_topic_stream, topic_to_lines_stream
+    from neoflow.session import scratch_path
+    from neoflow.sinks.topic import FILES, create_topic
+    from neoflow.sources.topic import read_topic_stream
+    lines_dir = scratch_path(spark, "t-lines").replace("file:", "")
+    os.makedirs(lines_dir)
+    with open(os.path.join(lines_dir, "a.txt"), "w") as fh:
+        fh.write("one\ntwo\nthree\n")
+    sink = TopicSink(kind=FILES, path=scratch_path(spark, "t-lines-topic"), topic="lines")
+    create_topic(spark, sink)
+    q = lines_to_topic_stream(spark, lines_dir, "lines", sink, scratch_path(spark, "t-ck1"),
+                              {"availableNow": True})
+    q.awaitTermination()
+    out = scratch_path(spark, "t-lines-out")
+    src = TopicSource(kind=FILES, path=sink.path, starting="earliest")
+    q2 = topic_to_lines_stream(read_topic_stream(spark, src), ["lines"], out,
+                               scratch_path(spark, "t-ck2"), {"availableNow": True})
+    q2.awaitTermination()
+    assert sorted(r.value for r in spark.read.text(out).collect()) == ["one", "three", "two"]
