@@ -12,8 +12,8 @@ from pyspark.sql import functions as F
 
 from pyspark import StorageLevel
 
-from neoflow.operators.feed import (emission_order, fan_out, number_messages, object_counts,
-                                    parse_feed, require_all_days, to_message_bytes)
+from neoflow.operators.feed import (emission_order, fan_out, missing_days, number_messages,
+                                    object_counts, parse_feed, require_all_days, to_message_bytes)
 from neoflow.sinks.topic import FILES, TopicSink, append_records, write_topic
 
 
@@ -39,7 +39,14 @@ def feed_to_topic(spark: SparkSession, docs: DataFrame, start, end, sink: TopicS
     # the documents if an executor holding them is lost).
     doc_days = parse_feed(docs, key_cols=[doc_col]).persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        msgs = feed_messages(spark, doc_days, start, end, doc_col, strict, num_partitions)
+        if strict:
+            # Checked before anything is sent (a Kafka sink is not atomic):
+            # at most one row comes back to the driver.
+            miss = missing_days(spark, doc_days, start, end).select("day_str").take(1)
+            if miss:
+                raise KeyError(f"feed has no objects list for day {miss[0].day_str}")
+        msgs = feed_messages(spark, doc_days, start, end, doc_col, strict=False,
+                             num_partitions=num_partitions)
         recs = to_message_bytes(msgs.select("value"))
         if sink.kind == FILES:
             append_records(spark, recs.withColumn("timestamp", F.current_timestamp()), sink)

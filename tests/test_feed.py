@@ -82,6 +82,15 @@ def test_body_without_member_gives_no_messages(spark):
     assert days.count() == 0
 
 
+def test_feed_to_topic_strict_sends_nothing(spark):
+    docs = _land(spark, [DOC])
+    sink = TopicSink(kind=FILES, path=scratch_path(spark, "t-feed-strict"), topic="neo")
+    create_topic(spark, sink)
+    with pytest.raises(KeyError, match="2022-11-21"):
+        feed_to_topic(spark, docs, "2022-11-18", "2022-11-22", sink)
+    assert read_topic(spark, TopicSource(kind=FILES, path=sink.path)).count() == 0
+
+
 def test_feed_to_topic_round_trip(spark):
     docs = _land(spark, [DOC])
     sink = TopicSink(kind=FILES, path=scratch_path(spark, "t-feed-topic"), topic="neo")
