@@ -146,3 +146,24 @@ def test_lines_to_topic_and_back_streaming(spark):
                                scratch_path(spark, "t-ck2"), {"availableNow": True})
     q2.awaitTermination()
     assert sorted(r.value for r in spark.read.text(out).collect()) == ["one", "three", "two"]
+
+
+def test_record_aggregates_on_a_stream(spark):
+    """offset_ranges / latest_per_key run unchanged as streaming aggregations."""
+    from neoflow.session import scratch_path
+    from neoflow.sinks.topic import FILES, TopicSink, create_topic
+    from neoflow.sources.topic import read_topic_stream
+    sink = TopicSink(kind=FILES, path=scratch_path(spark, "t-agg-topic"), topic="t")
+    create_topic(spark, sink)
+    recs(spark, [("a", "1", "t", 0, 0, 0), ("a", "2", "t", 0, 5, 1), ("b", "x", "t", 0, 1, 0),
+                 ("b", None, "t", 0, 7, 2)]).write.mode("append").parquet(sink.path)
+    stream = read_topic_stream(spark, TopicSource(kind=FILES, path=sink.path, starting="earliest"))
+    q1 = offset_ranges(stream).writeStream.format("memory").queryName("t_ranges") \
+        .outputMode("complete").trigger(availableNow=True).start()
+    q2 = latest_per_key(stream).writeStream.format("memory").queryName("t_latest") \
+        .outputMode("complete").trigger(availableNow=True).start()
+    q1.awaitTermination()
+    q2.awaitTermination()
+    [r] = spark.table("t_ranges").collect()
+    assert (r.first_offset, r.last_offset, r.n_records) == (0, 7, 4)
+    assert [(x.key.decode(), x.value.decode()) for x in spark.table("t_latest").collect()] == [("a", "2")]
