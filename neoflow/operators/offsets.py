@@ -25,6 +25,17 @@ def next_offsets(records: DataFrame) -> DataFrame:
     return records.groupBy("topic", "partition").agg((F.max("offset") + 1).alias("start_offset"))
 
 
+def offsets_for_timestamp(records: DataFrame, ts) -> DataFrame:
+    """(topic, partition, start_offset) for ``startingTimestamp``: per
+    partition the first offset whose timestamp is at or after ``ts``; a
+    partition without such a record starts at its end (nothing old is
+    read). ``ts``: timestamp literal text or epoch milliseconds."""
+    t = F.timestamp_millis(F.lit(int(ts))) if isinstance(ts, (int, float)) else F.lit(ts).cast("timestamp")
+    return records.groupBy("topic", "partition").agg(
+        F.coalesce(F.min(F.when(F.col("timestamp") >= t, F.col("offset"))),
+                   F.max("offset") + 1).alias("start_offset"))
+
+
 def from_offsets(records: DataFrame, starts: DataFrame) -> DataFrame:
     """Records at or after each partition's start offset; partitions missing
     from ``starts`` (created later) are read from their beginning."""
@@ -33,10 +44,13 @@ def from_offsets(records: DataFrame, starts: DataFrame) -> DataFrame:
         .drop("start_offset").select(*records.columns)
 
 
-def start_at_latest(spark: SparkSession, existing: DataFrame, checkpoint: str) -> DataFrame:
+def start_at_latest(spark: SparkSession, existing: DataFrame, checkpoint: str,
+                    timestamp=None) -> DataFrame:
     """The start table of a query: written from ``existing`` (the topic as it
-    is now) at the first start, read back unchanged on every restart."""
+    is now) at the first start, read back unchanged on every restart.
+    With ``timestamp``, the start is by time instead of "latest"."""
     path = f"{checkpoint.rstrip('/')}/{START_OFFSETS_SUBDIR}"
     if not path_exists(spark, path):
-        next_offsets(existing).write.mode("overwrite").parquet(path)
+        starts = next_offsets(existing) if timestamp is None else offsets_for_timestamp(existing, timestamp)
+        starts.write.mode("overwrite").parquet(path)
     return spark.read.parquet(path)

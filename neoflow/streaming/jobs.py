@@ -31,10 +31,10 @@ def landing_stream(spark: SparkSession, src: TopicSource, schema="narrow",
     For a file-backed topic with ``starting="latest"`` the start table is
     kept in ``checkpoint`` (required then)."""
     recs = read_topic_stream(spark, src)
-    if src.kind == FILES and src.starting == "latest":
+    if src.kind == FILES and (src.starting == "latest" or src.starting_timestamp is not None):
         if not checkpoint:
-            raise ValueError("starting='latest' on a file-backed topic needs the checkpoint folder")
-        starts = start_at_latest(spark, read_topic(spark, src), checkpoint)
+            raise ValueError("a file-backed topic started at latest / a timestamp needs the checkpoint folder")
+        starts = start_at_latest(spark, read_topic(spark, src), checkpoint, src.starting_timestamp)
         recs = from_offsets(recs, starts)
     return parse_and_flatten(recs, schema=schema)
 

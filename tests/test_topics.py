@@ -167,3 +167,15 @@ def test_record_aggregates_on_a_stream(spark):
     [r] = spark.table("t_ranges").collect()
     assert (r.first_offset, r.last_offset, r.n_records) == (0, 7, 4)
     assert [(x.key.decode(), x.value.decode()) for x in spark.table("t_latest").collect()] == [("a", "2")]
+
+
+def test_offsets_for_timestamp(spark):
+    from neoflow.operators.offsets import from_offsets, offsets_for_timestamp
+    df = recs(spark, [("a", "old", "t", 0, 0, 0), ("a", "new", "t", 0, 1, 10), ("a", "late", "t", 0, 2, 5),
+                      ("a", "p1", "t", 1, 0, 1)])
+    ts = (T0 + dt.timedelta(hours=8)).isoformat(sep=" ")
+    starts = {(r.topic, r.partition): r.start_offset for r in offsets_for_timestamp(df, ts).collect()}
+    assert starts == {("t", 0): 1, ("t", 1): 1}
+    # from the start offset on, later offsets are read even with older timestamps
+    assert sorted(r.value.decode() for r in from_offsets(df, offsets_for_timestamp(df, ts)).collect()) == \
+        ["late", "new"]
