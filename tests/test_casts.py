@@ -60,3 +60,22 @@ def test_casts_same_under_both_modes(spark, ansi):
     finally:
         spark.conf.set("spark.sql.ansi.enabled", "true")
     assert got == [v for _, v in INT_CASES]
+
+
+def test_tolerant_int_random_texts_equal_non_ansi_cast(spark):
+    """5,000 random texts over digits, signs, dots, blanks, controls and a
+    few letters, checked in one job against the non-ANSI cast."""
+    import random
+    rng = random.Random(7)
+    alphabet = "0123456789" * 3 + "+-..  \t\n\x00\x7fe xL" + "9" * 5
+    texts = ["".join(rng.choice(alphabet) for _ in range(rng.randint(0, 14))) for _ in range(5000)]
+    texts += ["2147483647", "2147483648", "-2147483648", "-2147483649", "+0", "-0", "00.00"]
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, t string")
+    spark.conf.set("spark.sql.ansi.enabled", "false")
+    try:
+        legacy = {r.i: r.v for r in df.select("i", F.col("t").cast("int").alias("v")).collect()}
+    finally:
+        spark.conf.set("spark.sql.ansi.enabled", "true")
+    mine = {r.i: r.v for r in df.select("i", tolerant_int("t").alias("v")).collect()}
+    bad = [(texts[i], mine[i], legacy[i]) for i in legacy if mine[i] != legacy[i]]
+    assert not bad, bad[:10]
