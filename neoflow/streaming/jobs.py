@@ -42,18 +42,26 @@ def landing_stream(spark: SparkSession, src: TopicSource, schema="narrow",
 def topic_to_parquet(spark: SparkSession, src: TopicSource, out_path: str,
                      checkpoint: str | None = None, trigger: dict | None = None,
                      schema="narrow", view: str | None = None, view_sink: str = "console",
-                     query_name: str | None = None, cluster: str = "range",
+                     query_name: str | None = None, cluster: str = "auto",
                      view_rows: int = 5) -> list[StreamingQuery]:
     """Start the landing query (and, if ``view`` names one, a live view as a
     second independent query on the same plan, with its own checkpoint).
-    Returns the started queries, sink first."""
+    Returns the started queries, sink first.
+
+    cluster: write layout (see ``sinks.parquet.cluster_for_write``).
+    ``auto`` = ``range`` for ``availableNow`` (catch-up / backfill: a batch
+    spans many dates) and ``none`` for processing-time triggers (steady
+    state: one or two dates per batch, where a shuffle would buy nothing)."""
+    trigger = trigger or DEFAULT_TRIGGER
+    if cluster == "auto":
+        cluster = "range" if trigger.get("availableNow") else "none"
     ckpt = checkpoint or default_checkpoint(out_path)
     stream = landing_stream(spark, src, schema=schema, checkpoint=ckpt)
-    qs = [parquet_append_stream(stream, out_path, ckpt, "date", trigger or DEFAULT_TRIGGER,
+    qs = [parquet_append_stream(stream, out_path, ckpt, "date", trigger,
                                 query_name=query_name, cluster=cluster)]
     if view:
         qs.append(live_view(stream, view, sink=view_sink, num_rows=view_rows,
-                            checkpoint=f"{ckpt}_view_{view}", trigger=trigger or DEFAULT_TRIGGER))
+                            checkpoint=f"{ckpt}_view_{view}", trigger=trigger))
     return qs
 
 
