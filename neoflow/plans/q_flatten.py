@@ -10,7 +10,7 @@ from neoflow.functions.casts import field_of_elements, tolerant_double, tolerant
 from neoflow.operators.parse import (PARSED, decode_value, flatten, parse_and_flatten,
                                      parse_messages)
 from neoflow.operators.predicates import date_range
-from neoflow.plans import fixtures as fx
+from neoflow.plans.topics_fixture import payload_topic_records
 from neoflow.plans.registry import register, register_subset
 from neoflow.plans.tables import table
 from neoflow.schemas import MESSAGE_SCHEMA, OUTPUT_COLUMNS
@@ -42,10 +42,7 @@ DATE_LO, DATE_HI = "1995-01-01", "1996-12-31"
 def payload_table(spark: SparkSession, sf_dir: str, schema="narrow") -> DataFrame:
     """Consumer side in batch: the payload topic (written once per session
     from the fixture) -> decode -> parse -> flatten."""
-    from neoflow.plans.topics_fixture import payload_topic
-    from neoflow.sources.topic import FILES, TopicSource, read_topic
-    recs = read_topic(spark, TopicSource(kind=FILES, path=payload_topic(spark, sf_dir)))
-    return parse_and_flatten(recs, schema=schema)
+    return parse_and_flatten(payload_topic_records(spark, sf_dir), schema=schema)
 
 
 # ---------------------------------------------------------------- composed
@@ -78,7 +75,7 @@ def flatten_date_range(spark, sf_dir):
 def first_element_empty(spark, sf_dir):
     """Messages whose approach array is empty: approach columns are NULL and
     the object columns are kept."""
-    recs = fx.payload_records(spark, sf_dir)
+    recs = payload_topic_records(spark, sf_dir)
     parsed = parse_messages(decode_value(recs), schema="narrow")
     empty = parsed.filter(F.size(F.col(f"{PARSED}.close_approach_data")) == 0)
     return flatten(empty)
@@ -89,7 +86,7 @@ def first_element_empty(spark, sf_dir):
 def prj_04_qualified_names(spark, sf_dir):
     """The decode/parse chain written with relation aliases and qualified
     column names (S -> J -> F)."""
-    recs = fx.payload_records(spark, sf_dir)
+    recs = payload_topic_records(spark, sf_dir)
     f = (recs.alias("S").select(F.col("S.value").cast("string")).alias("J")
          .withColumn("json_data", F.from_json(F.col("J.value"), MESSAGE_SCHEMA)).alias("F"))
     return f.select(F.col("F.json_data.current_date").alias("date"),
@@ -107,7 +104,7 @@ def prj_04_qualified_names(spark, sf_dir):
 def prj_08_array_field(spark, sf_dir):
     """A field of every array element (array of struct -> array of field),
     then its first and second entries."""
-    parsed = parse_messages(decode_value(fx.payload_records(spark, sf_dir)), schema="full")
+    parsed = parse_messages(decode_value(payload_topic_records(spark, sf_dir)), schema="full")
     kps = field_of_elements(F.col(f"{PARSED}.close_approach_data"), "relative_velocity.kilometers_per_second")
     return parsed.select(
         tolerant_int(F.col(f"{PARSED}.id")).alias("object_id"),
@@ -160,7 +157,7 @@ def tolerant_casts(spark, sf_dir):
 def bad_messages_kept(spark, sf_dir):
     """Payload messages plus free text (documents.text) as messages: the
     text rows are kept as rows of 15 NULLs, not dropped."""
-    good = fx.payload_messages(spark, sf_dir).select("value")
+    good = payload_topic_records(spark, sf_dir).select(F.col("value").cast("string").alias("value"))
     bad = table(spark, sf_dir, "documents").select(F.col("text").alias("value"))
     out = parse_and_flatten(good.unionByName(bad))
     all_null = F.lit(True)

@@ -55,3 +55,9 @@ def new_topic(spark: SparkSession, name: str, topic: str) -> TopicSink:
     sink = TopicSink(kind=FILES, path=scratch_path(spark, f"topic-{name}"), topic=topic)
     create_topic(spark, sink)
     return sink
+
+
+def payload_topic_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The payload topic read back in batch (replay from the beginning)."""
+    from neoflow.sources.topic import FILES as _FILES, TopicSource, read_topic
+    return read_topic(spark, TopicSource(kind=_FILES, path=payload_topic(spark, sf_dir)))
