@@ -17,6 +17,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
 from neoflow.functions.dates import day_calendar, format_day
@@ -43,12 +44,19 @@ def calendar_between(bounds: DataFrame, start_col: str = "start", end_col: str =
         .select("day", format_day("day").alias("day_str"))
 
 
-def parse_feed(docs: DataFrame, text_col: str = "value", key_cols: list[str] | None = None) -> DataFrame:
-    """Documents -> (key cols..., day_str, objects: array<raw text>), one row
-    per (document, day). A document without the member gives no rows."""
+def parse_feed(docs: DataFrame, text_col: str = "value", key_cols: list[str] | None = None,
+               doc_fields: list | None = None) -> DataFrame:
+    """Documents -> (key cols..., doc fields..., day_str, objects: array<raw
+    text>), one row per (document, day). ``doc_fields`` are top-level members
+    of the document itself (e.g. ``[("page", LongType())]``), parsed in the
+    same pass. A document without the member gives no rows."""
     key_cols = key_cols or []
-    parsed = docs.select(*key_cols, F.from_json(F.col(text_col), FEED_SCHEMA).alias("_doc"))
-    return parsed.select(*key_cols, F.explode(F.col(f"_doc.{FEED_MEMBER}")).alias("day_str", "objects"))
+    schema = T.StructType(list(FEED_SCHEMA.fields)
+                          + [T.StructField(name, dtype, True) for name, dtype in doc_fields or []])
+    parsed = docs.select(*key_cols, F.from_json(F.col(text_col), schema).alias("_doc"))
+    extra = [F.col(f"_doc.{name}").alias(name) for name, _ in doc_fields or []]
+    return parsed.select(*key_cols, *extra,
+                         F.explode(F.col(f"_doc.{FEED_MEMBER}")).alias("day_str", "objects"))
 
 
 def fan_out(doc_days: DataFrame, start, end, key_cols: list[str] | None = None) -> DataFrame:

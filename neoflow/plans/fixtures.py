@@ -10,8 +10,9 @@
   partition, with gaps, as offsets may have), key = user_id, value = props.
 * feed documents: ``events`` grouped into pages of at most PAGE_SIZE objects
   (consecutive event ids), each page one document
-  ``{"near_earth_objects": {day: [object, ...]}}``. Pages bound every group
-  by construction, so no day - however hot - is collected into one row.
+  ``{"page": n, "near_earth_objects": {day: [object, ...]}}``. Pages bound
+  every group by construction, so no day - however hot - is collected into
+  one row.
 """
 
 from __future__ import annotations
@@ -147,7 +148,8 @@ def event_objects(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def feed_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """(page, value) with value = one feed document per page, as JSON text.
+    """(page, value) with value = one feed document per page, as JSON text
+    ``{"page": n, "near_earth_objects": {...}}`` (a paged API's response).
 
     Two bounded aggregations: objects per (page, day), then days per page.
     Both groups hold at most PAGE_SIZE objects when event ids are unique."""
@@ -157,4 +159,4 @@ def feed_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     per_day = per_day.select("page", "day", F.transform("items", lambda x: x["obj"]).alias("objs"))
     docs = per_day.groupBy("page").agg(
         F.map_from_entries(F.collect_list(F.struct("day", "objs"))).alias("near_earth_objects"))
-    return docs.select("page", to_json_keep_nulls(F.struct("near_earth_objects")).alias("value"))
+    return docs.select("page", to_json_keep_nulls(F.struct("page", "near_earth_objects")).alias("value"))

@@ -17,7 +17,7 @@ from neoflow.plans.registry import register, register_subset
 from neoflow.plans.tables import table
 from neoflow.session import scratch_path
 from neoflow.sinks.topic import FILES, TopicSink, create_topic
-from neoflow.sources.feed import read_feed_documents
+from neoflow.sources.feed import read_feed_lines
 from neoflow.sources.topic import TopicSource, read_topic
 from neoflow.streaming.feed_job import feed_to_topic
 
@@ -30,20 +30,25 @@ OBJECT_SCHEMA = T.StructType([
 
 
 def landed_feed(spark: SparkSession, sf_dir: str) -> str:
-    """Feed documents written one file per document under ``page=<n>/``."""
+    """Feed documents landed as JSON Lines (one document per line)."""
     key = (spark.sparkContext.applicationId, sf_dir)
     path = _CACHE.get(key)
     if path and path_exists(spark, path):
         return path
     path = scratch_path(spark, "feed")
     docs = fx.feed_documents(spark, sf_dir)
-    docs.repartition("page").write.partitionBy("page").text(path)
+    docs.select("value").write.text(path)
     _CACHE[key] = path
     return path
 
 
 def _docs(spark, sf_dir) -> DataFrame:
-    return read_feed_documents(spark, landed_feed(spark, sf_dir))
+    return read_feed_lines(spark, landed_feed(spark, sf_dir))
+
+
+def _doc_days(spark, sf_dir) -> DataFrame:
+    """(page, day_str, objects) - the page number comes from the document."""
+    return parse_feed(_docs(spark, sf_dir), doc_fields=[("page", T.LongType())])
 
 
 def _bounds(spark, sf_dir, pad_before: int = 0, pad_after: int = 0):
@@ -56,7 +61,7 @@ def _bounds(spark, sf_dir, pad_before: int = 0, pad_after: int = 0):
 
 def _messages(spark, sf_dir, numbered: bool = False) -> DataFrame:
     start, end = _bounds(spark, sf_dir)
-    doc_days = parse_feed(_docs(spark, sf_dir), key_cols=["page"])
+    doc_days = _doc_days(spark, sf_dir)
     msgs = fan_out(doc_days, start, end, key_cols=["page"])
     if numbered:
         msgs = number_messages(msgs, object_counts(doc_days, start, end, "page"), "page")
@@ -88,7 +93,7 @@ WHERE strftime(d, '%Y-%m-%d') NOT IN (SELECT DISTINCT strftime(ts, '%Y-%m-%d') F
 def feed_missing_days(spark, sf_dir):
     """Lenient lookup: the days of a wider range that no document has."""
     start, end = _bounds(spark, sf_dir, 3, 2)
-    return missing_days(spark, parse_feed(_docs(spark, sf_dir), key_cols=["page"]), start, end)
+    return missing_days(spark, _doc_days(spark, sf_dir), start, end)
 
 
 FAN_OUT_SQL = """
@@ -127,7 +132,8 @@ def _feed_topic(spark, sf_dir) -> str:
     sink = TopicSink(kind=FILES, path=scratch_path(spark, "topic-feed"), topic="feed")
     create_topic(spark, sink)
     start, end = _bounds(spark, sf_dir)
-    feed_to_topic(spark, _docs(spark, sf_dir), start, end, sink, doc_col="page")
+    feed_to_topic(spark, _docs(spark, sf_dir), start, end, sink, doc_col="page",
+                  doc_fields=[("page", T.LongType())])
     return sink.path
 
 
@@ -159,8 +165,7 @@ def feed_typed_route(spark, sf_dir):
     """Typed stamp + serialisation: parse each object, set current_date with
     ``withField``, write JSON keeping nulls, parse again."""
     start, end = _bounds(spark, sf_dir)
-    doc_days = parse_feed(_docs(spark, sf_dir), key_cols=["page"])
-    objs = fan_out(doc_days, start, end, key_cols=["page"])
+    objs = fan_out(_doc_days(spark, sf_dir), start, end, key_cols=["page"])
     typed = objs.select(F.from_json("object", OBJECT_SCHEMA).alias("o"), "day_str")
     text = typed.select(serialize(stamp_typed(F.col("o"), F.col("day_str"))).alias("value"))
     return text.select(F.from_json("value", OBJECT_SCHEMA).alias("m")).select("m.*")

@@ -24,3 +24,9 @@ def read_feed_documents_stream(spark: SparkSession, path: str,
     if max_files_per_trigger:
         r = r.option("maxFilesPerTrigger", str(max_files_per_trigger))
     return r.text(path, wholetext=True).withColumn("doc_path", F.col("_metadata.file_path"))
+
+
+def read_feed_lines(spark: SparkSession, path: str) -> DataFrame:
+    """Feed documents as JSON Lines: one document per line, many per file
+    (splittable; the documents carry their own order key, e.g. a page)."""
+    return spark.read.text(path)

@@ -30,14 +30,19 @@ def feed_messages(spark: SparkSession, doc_days: DataFrame, start, end, doc_col:
 
 def feed_to_topic(spark: SparkSession, docs: DataFrame, start, end, sink: TopicSink,
                   doc_col: str = "doc_path", strict: bool = True,
-                  num_partitions: int | None = None) -> None:
+                  num_partitions: int | None = None,
+                  doc_fields: list | None = None) -> None:
     """Send every object of the days in [start, end] as one message (value
     only). For a file-backed topic each range partition becomes one topic
     partition, so per-partition offsets follow the emission order."""
     # The parsed (document, day) rows feed the messages, the counts and the
     # missing-day check: parse once, keep them for this job (recomputed from
     # the documents if an executor holding them is lost).
-    doc_days = parse_feed(docs, key_cols=[doc_col]).persist(StorageLevel.MEMORY_AND_DISK)
+    # The document key is a column of ``docs`` (e.g. the file path) or a
+    # member of the document itself (``doc_fields``, e.g. a page number).
+    in_doc = doc_col in [name for name, _ in doc_fields or []]
+    doc_days = parse_feed(docs, key_cols=[] if in_doc else [doc_col], doc_fields=doc_fields) \
+        .persist(StorageLevel.MEMORY_AND_DISK)
     try:
         if strict:
             # Checked before anything is sent (a Kafka sink is not atomic):
