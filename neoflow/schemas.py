@@ -21,6 +21,10 @@ def _diameter():
                          _f("estimated_diameter_max", _D)])
 
 
+# The message field names and nesting, and the output column
+# names with their source paths, as the consumer defines them (they must
+# equal the producer's JSON and the landed table's columns).
+
 APPROACH_SCHEMA = T.StructType([
     _f("close_approach_date", _S),
     _f("close_approach_date_full", _S),

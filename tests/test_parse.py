@@ -19,8 +19,8 @@ def approach(kps="1.5", full="2022-11-18 10:00"):
 
 
 def obj(**kw):
-    base = {"links": {"self": "http://x"}, "id": "2000433", "neo_reference_id": "2000433",
-            "name": "433 Eros", "nasa_jpl_url": "http://y", "absolute_magnitude_h": 10.3,
+    base = {"links": {"self": "http://x"}, "id": "2000001", "neo_reference_id": "2000001",
+            "name": "object one", "nasa_jpl_url": "http://y", "absolute_magnitude_h": 10.3,
             "estimated_diameter": {"kilometers": {"estimated_diameter_min": 1.5,
                                                   "estimated_diameter_max": 3.5}},
             "is_potentially_hazardous_asteroid": False,
@@ -38,7 +38,7 @@ def run(spark, texts, schema="narrow"):
 @pytest.mark.parametrize("schema", ["narrow", "full"])
 def test_complete_object_first_approach_only(spark, schema):
     [r] = run(spark, [obj(extra_field={"a": 1})], schema)
-    assert r["object_id"] == 2000433 and r["object_name"] == "433 Eros"
+    assert r["object_id"] == 2000001 and r["object_name"] == "object one"
     assert r["estimated_diameter_min_km"] == 1.5 and r["estimated_diameter_max_km"] == 3.5
     assert r["close_approach_date_full"] == "2022-11-18 10:00"
     assert r["relative_velocity_km_per_sec"] == 1.5
@@ -57,7 +57,7 @@ def test_empty_null_or_absent_approaches(spark, arr):
         d["close_approach_data"] = arr
     [r] = run(spark, [json.dumps(d)])
     assert r["close_approach_date_full"] is None and r["relative_velocity_km_per_sec"] is None
-    assert r["object_id"] == 2000433 and r["date"] == "2022-11-18"
+    assert r["object_id"] == 2000001 and r["date"] == "2022-11-18"
 
 
 @pytest.mark.parametrize("idv,expected", [("abc", None), ("3000000000", None), ("12.7", 12),
@@ -69,7 +69,7 @@ def test_id_casts(spark, idv, expected):
 
 def test_bad_magnitude_nulls_only_that_field(spark):
     [r] = run(spark, [obj(absolute_magnitude_h="x")])
-    assert r["absolute_magnitude_h"] is None and r["object_id"] == 2000433
+    assert r["absolute_magnitude_h"] is None and r["object_id"] == 2000001
 
 
 def test_magnitude_nan_and_int(spark):
@@ -104,13 +104,13 @@ def test_duplicate_key_last_wins_and_case_matters(spark):
 
 def test_text_after_closing_brace_ignored(spark):
     [r] = run(spark, [obj() + " trailing"])
-    assert r["object_id"] == 2000433
+    assert r["object_id"] == 2000001
 
 
 def test_bytes_values(spark):
     df = spark.createDataFrame([(bytearray(obj().encode()),)], "value binary")
     [r] = parse_and_flatten(df).collect()
-    assert r.object_id == 2000433
+    assert r.object_id == 2000001
 
 
 def test_narrow_equals_full_on_edge_cases(spark):

@@ -85,9 +85,9 @@ def test_envelope_round_trip_string_and_struct(spark):
 
 
 def test_kafka_option_maps():
-    src = TopicSource(kind="kafka", bootstrap="localhost:9092", topic="neowstopic")
+    src = TopicSource(kind="kafka", bootstrap="localhost:9092", topic="objects")
     assert kafka_stream_options(src) == {"kafka.bootstrap.servers": "localhost:9092",
-                                         "subscribe": "neowstopic", "failOnDataLoss": "false",
+                                         "subscribe": "objects", "failOnDataLoss": "false",
                                          "startingOffsets": "latest"}
     b = kafka_batch_options(src)
     assert b["startingOffsets"] == "earliest" and b["endingOffsets"] == "latest"
