@@ -52,11 +52,12 @@ def _doc_days(spark, sf_dir) -> DataFrame:
 
 
 def _bounds(spark, sf_dir, pad_before: int = 0, pad_after: int = 0):
-    """Start / end day of ``events`` as scalar-subquery Columns."""
+    """Start / end day of ``events``: one scalar subquery (one pass over
+    ``ts``), its two fields used as Columns."""
     e = table(spark, sf_dir, "events")
-    start = e.select(F.date_sub(F.min(F.to_date("ts")), pad_before)).scalar()
-    end = e.select(F.date_add(F.max(F.to_date("ts")), pad_after)).scalar()
-    return start, end
+    b = e.select(F.struct(F.date_sub(F.min(F.to_date("ts")), pad_before).alias("start"),
+                          F.date_add(F.max(F.to_date("ts")), pad_after).alias("end"))).scalar()
+    return b.getField("start"), b.getField("end")
 
 
 def _messages(spark, sf_dir, numbered: bool = False) -> DataFrame:
