@@ -1,6 +1,5 @@
 import os
 import sys
-import tempfile
 
 import pytest
 
@@ -12,12 +11,10 @@ SF01 = "/root/testdata/sf0.01"
 
 @pytest.fixture(scope="session")
 def spark():
-    from neoflow.session import build_session
-    extra = {}
-    # Tests set their own shared folder only where the session has none.
-    from pyspark import SparkConf
-    if not SparkConf().get("spark.checkpoint.dir", None):
-        extra["spark.checkpoint.dir"] = tempfile.mkdtemp(prefix="neoflow-test-ckpt-")
-    s = build_session("local[4]", app_name="neoflow-tests", shuffle_partitions=4, extra=extra)
+    from neoflow.session import build_session, shared_dir
+    s = build_session("local[4]", app_name="neoflow-tests", shuffle_partitions=4)
+    # The shared folder comes from the session (spark.checkpoint.dir); only
+    # when that is unset on a local master does shared_dir create a temp one.
+    shared_dir(s)
     yield s
     s.stop()
