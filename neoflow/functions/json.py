@@ -20,7 +20,7 @@ def stamp_field_raw(obj_text, name: str, value) -> Column:
     v = F.to_json(F.struct(_col(value).cast("string").alias(name)))  # {"name":"..."}
     member = F.substring(v, F.lit(2), F.length(v) - 2)  # "name":"..."  (escaped)
     is_obj = t.startswith("{") & t.endswith("}")
-    is_empty = F.regexp_replace(t, r"\s", "") == "{}"
+    is_empty = t.rlike(r"^\{\s*\}$")  # anchored: stops at the 2nd char of a non-empty object
     head = F.substring(t, F.lit(1), F.length(t) - 1)  # without the closing brace
     return (F.when(~is_obj, _col(obj_text))
             .when(is_empty, F.concat(F.lit("{"), member, F.lit("}")))

@@ -120,3 +120,16 @@ def test_feed_to_topic_stream(spark):
     assert ids == [1, 3, 4, 7]
     # offsets continue across micro-batches
     assert recs.select("partition", "offset").distinct().count() == recs.count() == 5
+
+
+def test_stamp_field_raw_cases(spark):
+    from neoflow.functions.json import stamp_field_raw
+    rows = [('{"a":1}',), ("{}",), ("{ }",), ("[1]",), ('{"current_date":"old","b":"x\\"y"}',), (None,)]
+    df = spark.createDataFrame(rows, "o string")
+    out = [r[0] for r in df.select(stamp_field_raw("o", "current_date", F.lit("2022-11-18"))).collect()]
+    assert out[0] == '{"a":1,"current_date":"2022-11-18"}'
+    assert out[1] == out[2] == '{"current_date":"2022-11-18"}'
+    assert out[3] == "[1]" and out[5] is None
+    parsed = spark.createDataFrame([(out[4],)], "v string") \
+        .select(F.from_json("v", "current_date string, b string").alias("j")).first().j
+    assert parsed.current_date == "2022-11-18" and parsed.b == 'x"y'
