@@ -7,24 +7,27 @@ range missing from every document fails the job, before anything is sent.
 
 from __future__ import annotations
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pyspark import StorageLevel
-
 from neoflow.operators.feed import (emission_order, fan_out, missing_days, number_messages,
                                     object_counts, parse_feed, require_all_days, to_message_bytes)
 from neoflow.sinks.topic import FILES, TopicSink, append_records, write_topic
 
 
 def feed_messages(spark: SparkSession, doc_days: DataFrame, start, end, doc_col: str,
-                  strict: bool = True, num_partitions: int | None = None) -> DataFrame:
-    """Numbered messages in emission order: (day_str, doc, pos, number, value)
-    from parsed (document, day) rows."""
+                  strict: bool = True, num_partitions: int | None = None,
+                  number: bool = False) -> DataFrame:
+    """Messages in emission order: (day_str, doc, pos, value[, number]) from
+    parsed (document, day) rows. The running ``number`` (FAN-7) is only for
+    inspection / logging - the message itself does not carry it - so it is
+    computed on request."""
     msgs = fan_out(doc_days, start, end, key_cols=[doc_col])
     if strict:
         msgs = require_all_days(spark, msgs, doc_days, start, end)
-    msgs = number_messages(msgs, object_counts(doc_days, start, end, doc_col), doc_col)
+    if number:
+        msgs = number_messages(msgs, object_counts(doc_days, start, end, doc_col), doc_col)
     return emission_order(msgs, doc_col, num_partitions)
 
 
@@ -35,11 +38,11 @@ def feed_to_topic(spark: SparkSession, docs: DataFrame, start, end, sink: TopicS
     """Send every object of the days in [start, end] as one message (value
     only). For a file-backed topic each range partition becomes one topic
     partition, so per-partition offsets follow the emission order."""
-    # The parsed (document, day) rows feed the messages, the counts and the
-    # missing-day check: parse once, keep them for this job (recomputed from
-    # the documents if an executor holding them is lost).
-    # The document key is a column of ``docs`` (e.g. the file path) or a
-    # member of the document itself (``doc_fields``, e.g. a page number).
+    # The parsed (document, day) rows feed the missing-day check and the
+    # messages: parse once, keep them for this job (recomputed from the
+    # documents if an executor holding them is lost). The document key is a
+    # column of ``docs`` (e.g. the file path) or a member of the document
+    # itself (``doc_fields``, e.g. a page number).
     in_doc = doc_col in [name for name, _ in doc_fields or []]
     doc_days = parse_feed(docs, key_cols=[] if in_doc else [doc_col], doc_fields=doc_fields) \
         .persist(StorageLevel.MEMORY_AND_DISK)
