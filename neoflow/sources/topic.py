@@ -98,10 +98,9 @@ def read_topic_stream(spark: SparkSession, src: TopicSource) -> DataFrame:
         r = r.option("maxFilesPerTrigger", str(src.max_per_trigger))
     if not src.fail_on_data_loss:
         r = r.option("ignoreMissingFiles", "true")
-    if src.starting == "latest":
-        # The file source reads existing files first; "latest" for a file
-        # topic is applied by neoflow.operators.offsets.start_at_latest.
-        pass
+    # The file source reads the files already present too; "latest" (or a
+    # starting timestamp) on a file topic is applied by the start table of
+    # neoflow.operators.offsets (see streaming.jobs.landing_stream).
     for k, v in src.extra.items():
         r = r.option(k, v)
     return r.parquet(src.path)
