@@ -13,7 +13,8 @@ from pyspark.sql import functions as F
 from neoflow.operators.offsets import from_offsets, start_at_latest
 from neoflow.operators.parse import parse_and_flatten
 from neoflow.plans import fixtures as fx
-from neoflow.plans.q_flatten import FLATTEN_SQL
+from neoflow.operators.predicates import date_range
+from neoflow.plans.q_flatten import DATE_HI, DATE_LO, FLATTEN_SQL
 from neoflow.plans.registry import register, register_subset
 from neoflow.plans.tables import table
 from neoflow.plans.topics_fixture import new_topic, payload_slices, payload_topic
@@ -186,6 +187,16 @@ def start_at_latest_query(spark, sf_dir):
     return spark.read.parquet(out).select("topic", "partition", "offset", "key", "value")
 
 
+@register("landed_date_range",
+          FLATTEN_SQL + f"\nWHERE strftime(o.o_orderdate, '%Y-%m-%d') BETWEEN '{DATE_LO}' AND '{DATE_HI}'",
+          ["PRJ-12", "SNK-1"])
+def landed_date_range(spark, sf_dir):
+    """The closed date range read from the landed table: a partition filter
+    on the date folders (only the folders in range are listed and read)."""
+    src = TopicSource(kind=FILES, path=payload_topic(spark, sf_dir), starting="earliest")
+    return date_range(_land(spark, "landed_date_range", src), "date", DATE_LO, DATE_HI)
+
+
 # ---------------------------------------------------------------- per id
 
 _OBJ = ["date", "object_id", "object_name", "close_approach_date_full"]
