@@ -21,7 +21,9 @@ def spread(df: DataFrame) -> DataFrame:
     Only the file listing is consulted (no job runs); with many input splits,
     as on a cluster, the DataFrame is returned unchanged and no shuffle is
     added."""
-    target = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() >= target:
+    try:
+        target = df.sparkSession.sparkContext.defaultParallelism
+        splits = df.rdd.getNumPartitions()
+    except Exception:  # noqa: BLE001 - e.g. a Connect session: leave the plan alone
         return df
-    return df.repartition(target)
+    return df if splits >= target else df.repartition(target)
