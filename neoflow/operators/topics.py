@@ -124,6 +124,15 @@ def mirror(records: DataFrame, source_alias: str, target_alias: str, pattern: st
     return records.filter(keep).withColumn("topic", F.concat(F.lit(source_alias + separator), t))
 
 
+def mirror_both(a: DataFrame, b: DataFrame, alias_a: str, alias_b: str, pattern: str = ".*",
+                separator: str = ".") -> tuple[DataFrame, DataFrame]:
+    """Both flows of an active-active pair: (records to append to B,
+    records to append to A). Each side's copies of the other's topics are
+    not sent back, so a topic never loops."""
+    return (mirror(a, alias_a, alias_b, pattern, separator),
+            mirror(b, alias_b, alias_a, pattern, separator))
+
+
 # ------------------------------------------------------------------- TOP-5
 
 def offset_ranges(records: DataFrame) -> DataFrame:

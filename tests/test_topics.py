@@ -179,3 +179,17 @@ def test_offsets_for_timestamp(spark):
     # from the start offset on, later offsets are read even with older timestamps
     assert sorted(r.value.decode() for r in from_offsets(df, offsets_for_timestamp(df, ts)).collect()) == \
         ["late", "new"]
+
+
+def test_mirror_both_directions_no_loop(spark):
+    from neoflow.operators.topics import mirror_both
+    a = recs(spark, [("k", "1", "orders", 0, 0, 0)])
+    b = recs(spark, [("k", "2", "orders", 0, 0, 0)])
+    to_b, to_a = mirror_both(a, b, "A", "B")
+    b2, a2 = b.unionByName(to_b), a.unionByName(to_a)
+    assert sorted(r.topic for r in b2.collect()) == ["A.orders", "orders"]
+    assert sorted(r.topic for r in a2.collect()) == ["B.orders", "orders"]
+    # a second round sends nothing new back: copies never return home
+    again_b, again_a = mirror_both(a2, b2, "A", "B")
+    assert sorted(r.topic for r in again_b.collect()) == ["A.orders"]
+    assert sorted(r.topic for r in again_a.collect()) == ["B.orders"]
