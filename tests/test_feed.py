@@ -133,3 +133,19 @@ def test_stamp_field_raw_cases(spark):
     parsed = spark.createDataFrame([(out[4],)], "v string") \
         .select(F.from_json("v", "current_date string, b string").alias("j")).first().j
     assert parsed.current_date == "2022-11-18" and parsed.b == 'x"y'
+
+
+def test_cli_feed_then_land(spark):
+    from neoflow.cli import main
+    from neoflow.sinks.parquet import landed_table
+    docs = _land(spark, [DOC])
+    folder = docs.select("doc_path").first().doc_path.rsplit("/", 1)[0]
+    topic = scratch_path(spark, "t-cli-topic")
+    out = scratch_path(spark, "t-cli-out")
+    assert main(["feed", "--docs", folder, "--start", "2022-11-18", "--end", "2022-11-20",
+                 "--topic-path", topic], spark=spark) == 0
+    assert main(["land", "--topic-path", topic, "--out", out, "--starting", "earliest",
+                 "--available-now"], spark=spark) == 0
+    got = sorted(((r.date, r.object_id) for r in landed_table(spark, out).collect()),
+                 key=lambda t: (t[0], -1 if t[1] is None else t[1]))
+    assert got == [("2022-11-18", None), ("2022-11-18", 1), ("2022-11-19", 3), ("2022-11-19", 4)]
