@@ -19,7 +19,7 @@ from neoflow.plans import catalog  # noqa: E402,F401
 from neoflow.plans.registry import COVERS, QUERIES  # noqa: E402
 from neoflow.session import build_session  # noqa: E402
 
-STREAMING = {"stream_to_parquet", "str_01_processing_time", "stream_restart", "stream_rate_limited",
+STREAMING = {"landed_date_range", "stream_to_parquet", "str_01_processing_time", "stream_restart", "stream_rate_limited",
              "live_view", "src_04_fail_on_data_loss", "str_04_partition_routing", "start_at_latest",
              "lines_to_records", "records_to_lines", "feed_to_topic", "feed_emission_order"}
 
@@ -81,7 +81,9 @@ def main(argv):
           "`FileScan/Kafka -> Project(from_json) -> Project(flatten, codegen) -> "
           "[range Exchange on (date, hash) for availableNow] -> FileStreamSink partitioned by date`; "
           "no state store. `start_at_latest` adds a join to the per-partition start table "
-          "(one row per topic partition, planner-broadcast by its size).")
+          "(one row per topic partition, planner-broadcast by its size). "
+          "`landed_date_range` reads the landed table through the sink's metadata log with "
+          "`PartitionFilters: [isnotnull(date), date >= 1995-01-01, date <= 1996-12-31]`.")
     spark.stop()
 
 
