@@ -79,3 +79,24 @@ def test_tolerant_int_random_texts_equal_non_ansi_cast(spark):
     mine = {r.i: r.v for r in df.select("i", tolerant_int("t").alias("v")).collect()}
     bad = [(texts[i], mine[i], legacy[i]) for i in legacy if mine[i] != legacy[i]]
     assert not bad, bad[:10]
+
+
+def test_tolerant_double_random_texts_equal_non_ansi_cast(spark):
+    import random
+    rng = random.Random(11)
+    alphabet = "0123456789" * 3 + "+-..eE  dDfF" + "x"
+    texts = ["".join(rng.choice(alphabet) for _ in range(rng.randint(0, 10))) for _ in range(3000)]
+    texts += ["NaN", "-Infinity", "Infinity", "inf", "1e308", "1e309", "-0.0", "0x1p3"]
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, t string")
+    spark.conf.set("spark.sql.ansi.enabled", "false")
+    try:
+        legacy = {r.i: r.v for r in df.select("i", F.col("t").cast("double").alias("v")).collect()}
+    finally:
+        spark.conf.set("spark.sql.ansi.enabled", "true")
+    mine = {r.i: r.v for r in df.select("i", tolerant_double("t").alias("v")).collect()}
+
+    def same(a, b):
+        return (a is None and b is None) or (a is not None and b is not None and
+                                             (a == b or (math.isnan(a) and math.isnan(b))))
+    bad = [(texts[i], mine[i], legacy[i]) for i in legacy if not same(mine[i], legacy[i])]
+    assert not bad, bad[:10]
