@@ -36,3 +36,15 @@ def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
     from neoflow.llm.exact_dedup import exact_dedup
     return exact_dedup(table(spark, sf_dir, "documents")).select(
         "doc_id", "keep_id", "group_size", "kept", F.lower(F.hex("sha")).alias("text_sha256"))
+
+
+@register("op10_quality")
+def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from neoflow.llm.quality import score_quality
+    return score_quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+@register("op1_toxicity")
+def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from neoflow.llm.toxicity import score_toxicity
+    return score_toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
