@@ -48,3 +48,33 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
     from neoflow.llm.toxicity import score_toxicity
     return score_toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+_WORDS_SQL = f"regexp_extract_all({_LOW}, '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+')"
+
+
+@register("op4_decontaminate", f"""
+WITH d AS (SELECT doc_id, w, len(w) AS n FROM (SELECT doc_id, {_WORDS_SQL} AS w FROM documents)),
+b AS (SELECT item_id, w, least(13, len(w)) AS k
+      FROM (SELECT item_id, {_WORDS_SQL} AS w FROM benchmark) WHERE len(w) > 0),
+bw AS (SELECT DISTINCT item_id, k, array_to_string(w[i:i + k - 1], ' ') AS g
+       FROM (SELECT item_id, k, w, unnest(range(1, len(w) - k + 2)) AS i FROM b)),
+dw AS (SELECT doc_id, k, i, array_to_string(w[i:i + k - 1], ' ') AS g
+       FROM (SELECT doc_id, w, k, unnest(range(1, n - k + 2)) AS i
+             FROM d CROSS JOIN (SELECT DISTINCT k FROM b))),
+hit AS (SELECT doc_id, item_id, i, k FROM dw JOIN bw USING (k, g)),
+pos AS (SELECT doc_id, count(DISTINCT p) AS n_hit
+        FROM (SELECT doc_id, unnest(range(i, i + k)) AS p FROM hit) GROUP BY doc_id),
+items AS (SELECT doc_id, count(*) AS n_items, string_agg(item_id, ',' ORDER BY item_id) AS ids
+          FROM (SELECT DISTINCT doc_id, item_id::VARCHAR AS item_id FROM hit) GROUP BY doc_id)
+SELECT doc_id, n AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+       sha256(coalesce(ids, '')) AS items_sha256,
+       coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= n AS contaminated
+FROM d LEFT JOIN pos USING (doc_id) LEFT JOIN items USING (doc_id)
+""")
+def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from neoflow.llm.decontaminate import decontaminate
+    return decontaminate(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")).select(
+        "doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"),
+        F.sha2(F.array_join("items", ","), 256).alias("items_sha256"),
+        ((F.col("n_hit") > 0) & (20 * F.col("n_hit") >= F.col("n_words"))).alias("contaminated"))
