@@ -78,3 +78,12 @@ def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"),
         F.sha2(F.array_join("items", ","), 256).alias("items_sha256"),
         ((F.col("n_hit") > 0) & (20 * F.col("n_hit") >= F.col("n_words"))).alias("contaminated"))
+
+
+@register("op2_packing")
+def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    from neoflow.llm.packing import pack
+    return pack(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"), with_ids=False).select(
+        "doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset")
