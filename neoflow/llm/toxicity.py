@@ -20,12 +20,14 @@ from pyspark.sql import functions as F
 
 from neoflow.llm.labelled import held_out, training_rows
 
+#: Labelled documents of each class it is fitted on, at most.
+TRAIN_PER_CLASS = 3_000
 BUCKETS, DIM, FILTERS, WIDTHS = 1 << 15, 12, 8, (1, 2, 3)
 PIECES = 3
 #: Words of a training document at most; longer labelled documents aren't fitted on (all are scored whole).
 TRAIN_WORDS = 4_000
 #: Distinct words whose filter answers a task keeps.
-CACHE_WORDS = 1 << 17
+CACHE_WORDS = 1 << 19
 PAD = max(WIDTHS) - 1
 
 _WORD = re.compile(r"\w+")
@@ -94,9 +96,26 @@ class Net:
         return 1.0 / (1.0 + np.exp(-np.clip(logits - self.cuts[langs], -40, 40)))
 
 
-def train(docs: list[list[str]], y: np.ndarray, epochs: int = 6, batch: int = 32, rate: float = 0.05,
+class Vocabulary:
+    """Numbers words from 1 on; ``rows`` are their bucket rows, row 0 the empty word's."""
+
+    def __init__(self):
+        self.at: dict[str, int] = {}
+
+    def number(self, words: list[str]) -> np.ndarray:
+        at = self.at
+        return np.fromiter((at.setdefault(w, len(at) + 1) for w in words), np.int32, len(words))
+
+    def rows(self) -> np.ndarray:
+        out = np.zeros((len(self.at) + 1, PIECES), np.int32)
+        for w, i in self.at.items():
+            out[i] = buckets(w)
+        return out
+
+
+def train(docs: list[np.ndarray], ids: np.ndarray, y: np.ndarray, epochs: int = 6, batch: int = 32, rate: float = 0.05,
           seed: int = 3) -> Net:
-    """Adagrad on the class-balanced logistic loss. With one class only, every score is
+    """Adagrad on the class-balanced logistic loss over documents of word numbers. With one class only, every score is
     that class; without rows, 0."""
     rng = np.random.default_rng(seed)
     net = Net(_rows(BUCKETS, rng), [rng.normal(0, 0.3, (w, DIM, FILTERS)).astype(np.float32) for w in WIDTHS],
@@ -106,11 +125,7 @@ def train(docs: list[list[str]], y: np.ndarray, epochs: int = 6, batch: int = 32
     if len(set(y.tolist())) < 2:
         net.constant = float(y[0]) if len(y) else 0.0
         return net
-    vocab: dict[str, int] = {}
-    seqs = [np.array([vocab.setdefault(w, len(vocab) + 1) for w in d] + [0] * PAD) for d in docs]
-    ids = np.zeros((len(vocab) + 1, PIECES), np.int64)
-    for w, i in vocab.items():
-        ids[i] = buckets(w)
+    seqs = [np.concatenate([d, np.zeros(PAD, d.dtype)]) for d in docs]
     weight = np.where(y == 1, 0.5 / max(1, (y == 1).sum()), 0.5 / max(1, (y == 0).sum())) * len(y)
     sums = {"table": np.full((BUCKETS, 1), 1e-6, np.float32), "out": np.full_like(net.out, 1e-6), "base": 1e-6}
     fsum, bsum = [np.full_like(w, 1e-6) for w in net.filters], [np.full_like(b, 1e-6) for b in net.bias]
@@ -203,7 +218,7 @@ class Scorer:
 
     def _reset(self) -> None:
         self.known = _Known()
-        self.answers = np.empty((CACHE_WORDS // 4, sum(WIDTHS) * FILTERS), np.float32)
+        self.answers = np.empty((CACHE_WORDS // 8, sum(WIDTHS) * FILTERS), np.float32)
         self.langs = np.empty((len(self.answers), len(FUNCTION_WORDS)), np.uint8)
 
     def __call__(self, text: str | None) -> tuple[float, int]:
@@ -228,22 +243,33 @@ class Scorer:
         return self.net.logit(self.answers[at]), lang
 
 
+def guess(words: list[str]) -> int:
+    counts = [sum(map(own.__contains__, words)) for own in FUNCTION_WORDS.values()]
+    return counts.index(max(counts)) if any(counts) else len(counts)
+
+
 def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic") -> Net:
     """Net trained on folds 2 to 4, thresholds calibrated on fold 1 (TRAIN_PER_CLASS rows a
     class; fold 0 is never read)."""
-    rows = (training_rows(docs, labels, label)
+    rows = (training_rows(docs, labels, label, TRAIN_PER_CLASS)
             .filter(F.length("text") <= 30 * TRAIN_WORDS)  # what is too long stays on the executors
-            .select("doc_id", "label", "fold", "text").collect())
-    rows.sort(key=lambda r: r["doc_id"])
-    rows = [(r["label"], r["fold"], words_of(r["text"])) for r in rows]
-    rows = [r for r in rows if len(r[2]) <= TRAIN_WORDS]
-    fitted = [r for r in rows if r[1] != 1]
-    net = train([r[2] for r in fitted], np.array([r[0] for r in fitted]))
+            .select("doc_id", "label", "fold", "text").orderBy("doc_id").toLocalIterator())
+    vocabulary, sample = Vocabulary(), []
+    for r in rows:
+        words = words_of(r["text"])
+        if len(words) <= TRAIN_WORDS:
+            sample.append((r["label"], r["fold"], guess(words), vocabulary.number(words)))
+    return fit_sample(sample, vocabulary.rows())
+
+
+def fit_sample(sample: list[tuple[int, int, int, np.ndarray]], ids: np.ndarray) -> Net:
+    """From (label, fold, language, word numbers) of each document."""
+    fitted = [r for r in sample if r[1] != 1]
+    net = train([r[3] for r in fitted], ids, np.array([r[0] for r in fitted]))
     if net.constant is None:
-        scorer = Scorer(net)
-        held = [r for r in rows if r[1] == 1] or fitted
-        got = [scorer(" ".join(r[2])) for r in held]
-        z, lang, y = np.array([g[0] for g in got]), np.array([g[1] for g in got]), np.array([r[0] for r in held])
+        held = [r for r in sample if r[1] == 1] or fitted
+        z = np.array([net.logit(net.word_answers(ids[r[3]])) for r in held])
+        y, lang = np.array([r[0] for r in held]), np.array([r[2] for r in held])
         common = best_cut(z, y)
         common = 0.0 if common is None else common
         for k in range(len(LANGUAGES)):
