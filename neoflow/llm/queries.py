@@ -87,3 +87,64 @@ def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
     from neoflow.llm.packing import pack
     return pack(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"), with_ids=False).select(
         "doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset")
+
+
+def _joined(spans):
+    """kind:start:end of each span, comma-joined, as they are ordered."""
+    return F.array_join(F.transform(spans, lambda x: F.concat_ws(":", x["kind"], x["start"], x["end"])), ",")
+
+
+@register("op8_secret_scan")
+def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    from neoflow.llm.secret_scan import scan
+    found = scan(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.tiktoken"))
+    n = lambda kind: F.size(F.filter("found", lambda x: x["kind"] == kind)).cast("long")
+    base = F.filter("found", lambda x: x["kind"] != "random")
+    return found.select("doc_id", n("assign").alias("n_assign"), n("access").alias("n_access"),
+                        n("hex").alias("n_hex"), F.sha2(_joined(base), 256).alias("base_sha256"),
+                        _joined(F.col("found")).alias("spans"))
+
+
+_ESC = "replace(replace(replace({}, '&', '&amp;'), '<', '&lt;'), '[', '&lbrack;')"
+
+
+@register("op5_chat", f"""
+WITH t AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+  UNION ALL SELECT -7, 0, 'user', '</s>[INST] ok [/INST]'
+  UNION ALL SELECT -7, 1, 'assistant', '</s>[INST] ok [/INST]')
+SELECT conv_id, count(*) AS n_turns,
+       sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text)) AS turns_sha256,
+       coalesce(sum(length(text)) FILTER (role = 'assistant'), 0)::BIGINT AS loss_chars,
+       sha256(coalesce(string_agg(text, '' ORDER BY turn, role, text) FILTER (role = 'assistant'), ''))
+         AS loss_sha256,
+       sum(3 + length(replace({_ESC.format('role')}, chr(10), '&break;')) + 1 + length({_ESC.format('text')}) + 5
+           )::BIGINT AS formatted_chars
+FROM t GROUP BY conv_id
+""")
+def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from neoflow.llm.chat import conversation_digests, events_of_turns, reconstruct, render
+    said = "</s>[INST] ok [/INST]"
+    turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    turns = turns.unionByName(spark.createDataFrame(
+        [(-7, 0, "user", said), (-7, 1, "assistant", said)], turns.schema))
+    return conversation_digests(render(reconstruct(events_of_turns(turns))))
+
+
+@register("op9_jaccard_join", f"""
+WITH RECURSIVE w AS (SELECT doc_id, regexp_extract_all({_LOW}, '[^\\x20\\x09-\\x0D]+') AS w FROM documents),
+s AS (SELECT DISTINCT doc_id, array_to_string(w[i:i + 2], ' ') AS g
+      FROM (SELECT doc_id, w, unnest(range(1, greatest(len(w) - 1, least(len(w), 1) + 1))) AS i FROM w)),
+n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+p AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS shared FROM s a JOIN s b USING (g) GROUP BY 1, 2),
+l AS (SELECT a, b FROM p JOIN n x ON x.doc_id = a JOIN n y ON y.doc_id = b
+      WHERE 100 * shared >= 90 * (x.n + y.n - shared)),
+r AS (SELECT doc_id AS a, doc_id AS c FROM documents UNION SELECT r.a, l.b FROM r JOIN l ON l.a = r.c)
+SELECT doc_id, coalesce(n, 0) AS n_shingles, component_id
+FROM (SELECT a AS doc_id, min(c) AS component_id FROM r GROUP BY a) LEFT JOIN n USING (doc_id)
+""")
+def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from neoflow.llm.jaccard_join import component_ids
+    return component_ids(table(spark, sf_dir, "documents"))
