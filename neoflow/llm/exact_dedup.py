@@ -89,12 +89,13 @@ def exact_dedup(docs: DataFrame) -> DataFrame:
     spark = docs.sparkSession
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"),
                        F.col("text").cast("binary").alias("text"))
-    universe = Universe(docs.select("doc_id").count(), shuffle_width(docs))
+    n = docs.select("doc_id").count()
+    universe = Universe(n, shuffle_width(docs))
     path = scratch_path(spark, "exact-dedup-messages")
     docs.mapInArrow(_sender(universe), _MESSAGE).write.parquet(path)
 
     answered = scratch_path(spark, "exact-dedup-rows")
-    (with_bitmaps(spark.read.parquet(path))
+    (with_bitmaps(spark.read.parquet(path), n)
      .select("uid", "doc_id", "sha", "bitmap")
      .mapInArrow(_unpack, "uid long, doc_id long, sha binary, suspect boolean")
      .write.parquet(answered))

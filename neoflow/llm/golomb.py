@@ -10,11 +10,14 @@ import struct
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 #: Fingerprints an owner holds at once (8 bytes each, once decoded).
 PER_OWNER = 2_000_000
 #: Extra fingerprint bits over log2(number of fingerprints): one false suspect in 2**EXTRA_BITS.
 EXTRA_BITS = 8
+#: Fingerprints up to which the owners' bitmaps are broadcast.
+BROADCAST_BITS = 128_000_000
 
 
 def rice_encode(values: np.ndarray) -> bytes:
@@ -89,9 +92,13 @@ def duplicate_bitmaps(messages: DataFrame) -> DataFrame:
             .applyInPandas(_answer, "sender long, chunk long, owner long, bitmap binary"))
 
 
-def with_bitmaps(messages: DataFrame) -> DataFrame:
-    """The messages, payload included, each with its bitmap."""
-    return messages.join(duplicate_bitmaps(messages), ["sender", "chunk", "owner"])
+def with_bitmaps(messages: DataFrame, n: int) -> DataFrame:
+    """The messages, payload included, each with its bitmap; ``n`` fingerprints in all. Answers of up
+    to BROADCAST_BITS bits (16 MB) are broadcast, so that the payload stays where it is."""
+    answers = duplicate_bitmaps(messages)
+    if n <= BROADCAST_BITS:
+        answers = F.broadcast(answers)
+    return messages.join(answers, ["sender", "chunk", "owner"])
 
 
 def flags(bitmap: bytes, n: int) -> np.ndarray:

@@ -148,3 +148,12 @@ FROM (SELECT a AS doc_id, min(c) AS component_id FROM r GROUP BY a) LEFT JOIN n
 def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
     from neoflow.llm.jaccard_join import component_ids
     return component_ids(table(spark, sf_dir, "documents"))
+
+
+@register("op7_suffix_dedup")
+def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from neoflow.llm.suffix_dedup import remove_repeats
+    length = F.transform("spans", lambda x: x["end"] - x["start"])
+    return remove_repeats(table(spark, sf_dir, "documents"), with_kept=False).select(
+        "doc_id", "n_bytes", F.aggregate(length, F.lit(0).cast("long"), lambda a, x: a + x).alias("n_removed"),
+        F.size("spans").cast("long").alias("n_spans"), F.lower(F.hex("kept_sha")).alias("kept_sha256"))
