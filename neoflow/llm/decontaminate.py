@@ -12,6 +12,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from neoflow.llm.rows import select_rows
 from neoflow.session import shared_dir
 
 WINDOW, GRAM = 13, 6
@@ -88,7 +89,8 @@ def _bench_prints(bench: DataFrame) -> tuple[DataFrame, list[int]]:
 
 
 def decontaminate(docs: DataFrame, bench: DataFrame) -> DataFrame:
-    """``docs(doc_id, text)``, ``bench(item_id, text)`` -> (doc_id, n_words, n_hit, items).
+    """``docs(doc_id, text)``, ``bench(item_id, text)`` -> (doc_id, tkey, n_words, n_hit, items),
+    ``tkey`` the text's xxhash64.
 
     One row per document row: its word count, how many of its words lie in an
     occurrence of a benchmark window, and the sorted ids of the items whose windows
@@ -141,5 +143,16 @@ def decontaminate(docs: DataFrame, bench: DataFrame) -> DataFrame:
         covered.alias("n_hit"), F.array_sort(F.collect_set(F.col("item_id").cast("string"))).alias("items"))
     all_docs = docs.select("doc_id", "tkey", F.size(words(F.col("text"))).cast("long").alias("n_words"))
     return (all_docs.join(per_doc, same(all_docs, per_doc), "left")
-            .select(all_docs["doc_id"], "n_words", F.coalesce("n_hit", F.lit(0)).cast("long").alias("n_hit"),
+            .select(all_docs["doc_id"], all_docs["tkey"], "n_words", F.coalesce("n_hit", F.lit(0)).cast("long").alias("n_hit"),
                     F.coalesce("items", F.array().cast("array<string>")).alias("items")))
+
+
+def contaminated() -> Column:
+    """At least one word in twenty is hit."""
+    return (F.col("n_hit") > 0) & (20 * F.col("n_hit") >= F.col("n_words"))
+
+
+def drop_contaminated(docs: DataFrame, bench: DataFrame) -> DataFrame:
+    """The rows of ``docs``, all columns, that aren't contaminated."""
+    found = decontaminate(docs, bench).filter(contaminated())
+    return select_rows(docs, found.select("doc_id", "tkey", F.lit(0).alias("keep")).distinct())

@@ -20,6 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from neoflow.llm.golomb import Universe, flags, shuffle_width, with_bitmaps
+from neoflow.llm.rows import select_rows
 from neoflow.session import scratch_path
 
 #: Rows of a partition whose fingerprints are coded together.
@@ -28,13 +29,13 @@ CHUNK = 200_000
 BROADCAST_IDS = 500_000
 
 _MESSAGE = ("sender long, chunk long, owner long, blob binary, uid array<long>, "
-            "doc_id array<long>, sha array<binary>")
+            "doc_id array<long>, tkey array<long>, sha array<binary>")
 
 
 def _sender(universe: Universe):
     def run(batches):
         sender = TaskContext.get().partitionId()
-        ids, shas, first, chunk = [], [], 0, 0
+        ids, tkeys, shas, first, chunk = [], [], [], 0, 0
 
         def flush():
             fp = np.frombuffer(b"".join(s[:8] for s in shas), dtype=">u8").astype(np.uint64)
@@ -42,19 +43,20 @@ def _sender(universe: Universe):
             for owner, at, blob in universe.messages(fp):
                 rows.append({"sender": sender, "chunk": chunk, "owner": owner, "blob": blob,
                              "uid": [(sender << 33) + first + int(i) for i in at],
-                             "doc_id": [ids[i] for i in at], "sha": [shas[i] for i in at]})
+                             "doc_id": [ids[i] for i in at], "tkey": [tkeys[i] for i in at], "sha": [shas[i] for i in at]})
             return pa.RecordBatch.from_pylist(rows, schema=pa.schema([
                 ("sender", pa.int64()), ("chunk", pa.int64()), ("owner", pa.int64()),
                 ("blob", pa.binary()), ("uid", pa.list_(pa.int64())),
-                ("doc_id", pa.list_(pa.int64())), ("sha", pa.list_(pa.binary()))]))
+                ("doc_id", pa.list_(pa.int64())), ("tkey", pa.list_(pa.int64())), ("sha", pa.list_(pa.binary()))]))
 
         for batch in batches:
-            for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1)):
+            for doc_id, tkey, text in zip(batch.column(0).to_pylist(), batch.column(2).to_pylist(), batch.column(1)):
                 ids.append(doc_id)
+                tkeys.append(tkey)
                 shas.append(hashlib.sha256((text.as_py() or b"").lower()).digest())
                 if len(ids) == CHUNK:
                     yield flush()
-                    first, chunk, ids, shas = first + len(ids), chunk + 1, [], []
+                    first, chunk, ids, tkeys, shas = first + len(ids), chunk + 1, [], [], []
         if ids:
             yield flush()
     return run
@@ -65,9 +67,9 @@ def _unpack(batches):
         for r in batch.to_pylist():
             hit = flags(r["bitmap"], len(r["uid"]))
             yield pa.RecordBatch.from_arrays(
-                [pa.array(r["uid"], pa.int64()), pa.array(r["doc_id"], pa.int64()),
+                [*(pa.array(r[c], pa.int64()) for c in ("uid", "doc_id", "tkey")),
                  pa.array(r["sha"], pa.binary()), pa.array(hit)],
-                names=["uid", "doc_id", "sha", "suspect"])
+                names=["uid", "doc_id", "tkey", "sha", "suspect"])
 
 
 def _normalised(batches):
@@ -79,7 +81,7 @@ def _normalised(batches):
 
 
 def exact_dedup(docs: DataFrame) -> DataFrame:
-    """``docs(doc_id, text, ...)`` -> (doc_id, keep_id, group_size, kept, sha).
+    """``docs(doc_id, text, ...)`` -> (doc_id, tkey, keep_id, group_size, kept, sha), ``tkey`` the text's xxhash64.
 
     One row per input row. A null text is the empty text; empty texts are
     equal to each other. The row with the largest doc_id stays (null ids come
@@ -88,7 +90,7 @@ def exact_dedup(docs: DataFrame) -> DataFrame:
     """
     spark = docs.sparkSession
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"),
-                       F.col("text").cast("binary").alias("text"))
+                       F.col("text").cast("binary").alias("text"), F.xxhash64("text").alias("tkey"))
     n = docs.select("doc_id").count()
     universe = Universe(n, shuffle_width(docs))
     path = scratch_path(spark, "exact-dedup-messages")
@@ -96,8 +98,8 @@ def exact_dedup(docs: DataFrame) -> DataFrame:
 
     answered = scratch_path(spark, "exact-dedup-rows")
     (with_bitmaps(spark.read.parquet(path), n)
-     .select("uid", "doc_id", "sha", "bitmap")
-     .mapInArrow(_unpack, "uid long, doc_id long, sha binary, suspect boolean")
+     .select("uid", "doc_id", "tkey", "sha", "bitmap")
+     .mapInArrow(_unpack, "uid long, doc_id long, tkey long, sha binary, suspect boolean")
      .write.parquet(answered))
     rows = spark.read.parquet(answered)
     suspects = rows.filter("suspect")
@@ -121,6 +123,12 @@ def exact_dedup(docs: DataFrame) -> DataFrame:
               .filter("group_size > 1"))
     own = F.col("keep_uid").isNull()
     return (rows.join(groups, "sha", "left")
-            .select("doc_id", F.when(own, F.col("doc_id")).otherwise(F.col("keep_id")).alias("keep_id"),
+            .select("doc_id", "tkey", F.when(own, F.col("doc_id")).otherwise(F.col("keep_id")).alias("keep_id"),
                     F.coalesce("group_size", F.lit(1).cast("long")).alias("group_size"),
                     F.coalesce(F.col("uid") == F.col("keep_uid"), F.lit(True)).alias("kept"), "sha"))
+
+
+def drop_copies(docs: DataFrame) -> DataFrame:
+    """The rows of ``docs``, all columns, that exact dedup keeps."""
+    found = exact_dedup(docs).filter("group_size > 1")
+    return select_rows(docs, found.groupBy("doc_id", "tkey").agg(F.max(F.col("kept").cast("int")).alias("keep")))

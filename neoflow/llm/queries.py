@@ -73,11 +73,11 @@ SELECT doc_id, n AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) A
 FROM d LEFT JOIN pos USING (doc_id) LEFT JOIN items USING (doc_id)
 """)
 def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
-    from neoflow.llm.decontaminate import decontaminate
+    from neoflow.llm.decontaminate import contaminated, decontaminate
     return decontaminate(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")).select(
         "doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"),
         F.sha2(F.array_join("items", ","), 256).alias("items_sha256"),
-        ((F.col("n_hit") > 0) & (20 * F.col("n_hit") >= F.col("n_words"))).alias("contaminated"))
+        contaminated().alias("contaminated"))
 
 
 @register("op2_packing")
@@ -157,3 +157,15 @@ def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
     return remove_repeats(table(spark, sf_dir, "documents"), with_kept=False).select(
         "doc_id", "n_bytes", F.aggregate(length, F.lit(0).cast("long"), lambda a, x: a + x).alias("n_removed"),
         F.size("spans").cast("long").alias("n_spans"), F.lower(F.hex("kept_sha")).alias("kept_sha256"))
+
+
+@register("op6_licenses")
+def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from neoflow.llm.licenses import scan_licenses
+    found = scan_licenses(table(spark, sf_dir, "documents"))
+    families = F.array_sort(F.array_distinct(F.col("found.family")))
+    return found.select("doc_id", "n_paragraphs", F.size("found").cast("long").alias("n_licensed"),
+                        F.array_join(families, ",").alias("families"),
+                        F.round(F.array_max("found.chance"), 3).alias("best_chance"),
+                        F.array_join(F.transform("found", lambda x: F.concat_ws(
+                            ":", x["family"], x["start"], x["end"])), ",").alias("spans"))
