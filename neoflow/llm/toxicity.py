@@ -24,6 +24,8 @@ from neoflow.llm.labelled import held_out, training_rows
 TRAIN_PER_CLASS = 3_000
 BUCKETS, DIM, FILTERS, WIDTHS = 1 << 15, 12, 8, (1, 2, 3)
 PIECES = 3
+#: What a clean text marked weighs against a toxic one missed (both as shares of their class).
+FALSE_ALARM = 3.0
 #: Words of a training document at most; longer labelled documents aren't fitted on (all are scored whole).
 TRAIN_WORDS = 4_000
 #: Distinct words whose filter answers a task keeps.
@@ -113,11 +115,12 @@ class Vocabulary:
         return out
 
 
-def train(docs: list[np.ndarray], ids: np.ndarray, y: np.ndarray, epochs: int = 6, batch: int = 32, rate: float = 0.05,
+def train(docs: list[np.ndarray], ids: np.ndarray, y: np.ndarray, epochs: int | None = None, batch: int = 32, rate: float = 0.1,
           seed: int = 3) -> Net:
     """Adagrad on the class-balanced logistic loss over documents of word numbers. With one class only, every score is
     that class; without rows, 0."""
     rng = np.random.default_rng(seed)
+    epochs = epochs or min(14, max(7, 36_000 // max(1, len(docs))))  # few documents are gone over more often
     net = Net(_rows(BUCKETS, rng), [rng.normal(0, 0.3, (w, DIM, FILTERS)).astype(np.float32) for w in WIDTHS],
               [np.zeros(FILTERS, np.float32) for _ in WIDTHS],
               np.abs(rng.normal(0, 0.3, FILTERS * len(WIDTHS))).astype(np.float32)
@@ -184,13 +187,13 @@ def train(docs: list[np.ndarray], ids: np.ndarray, y: np.ndarray, epochs: int =
 
 
 def best_cut(logits: np.ndarray, y: np.ndarray) -> float | None:
-    """Logit with the fewest class-balanced errors, in the middle of equally good ones; None without both classes."""
+    """Logit with the least share of toxic texts missed plus FALSE_ALARM times that of clean ones marked, in the middle of equally good ones; None without both classes."""
     if (y == 1).sum() < 8 or (y == 0).sum() < 8:
         return None
     s = np.sort(logits)
     cuts = np.concatenate([[s[0] - 1], (s[1:] + s[:-1]) / 2, [s[-1] + 1]])
     pos, neg = np.sort(logits[y == 1]), np.sort(logits[y == 0])
-    wrong = np.searchsorted(pos, cuts) / len(pos) + 1 - np.searchsorted(neg, cuts) / len(neg)
+    wrong = np.searchsorted(pos, cuts) / len(pos) + FALSE_ALARM * (1 - np.searchsorted(neg, cuts) / len(neg))
     best = cuts[wrong <= wrong.min() + 1e-12]
     return float((best[0] + best[-1]) / 2)
 
