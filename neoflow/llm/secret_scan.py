@@ -38,6 +38,8 @@ _HEX_ANY = re.compile("[0-9a-f]+|[0-9A-F]+")
 _UUID = re.compile("[0-9a-fA-F]{8}(?:-[0-9a-fA-F]{4}){3}-[0-9a-fA-F]{12}")
 #: Words, numbers or CamelCase parts joined by one kind of separator.
 _IDENTIFIER = re.compile(r"(?:[A-Z]?[a-z]{2,}|[A-Z]{2,12}|\d{1,8})(?:[-_/]?(?:[A-Z][a-z]+|[a-z]{2,}|[A-Z]{2,12}|\d{1,8}))*")
+#: An identifier's parts have four characters or more on average; a random string's have two.
+_PART = re.compile(r"[A-Z]?[a-z]+|[A-Z]+|\d+")
 
 
 @lru_cache(maxsize=1)
@@ -64,7 +66,7 @@ def is_known(s: str) -> bool:
     """Digests and identifiers, which aren't secrets however few characters a token has."""
     if _UUID.fullmatch(s) or (len(s) in DIGESTS and _HEX_ANY.fullmatch(s)):
         return True
-    return bool(_IDENTIFIER.fullmatch(s)) and sum(c.isdigit() for c in s) <= len(s) // 4
+    return bool(_IDENTIFIER.fullmatch(s)) and 4 * len(_PART.findall(s)) <= len(s)
 
 
 def is_random(s: str, encoding) -> bool:
