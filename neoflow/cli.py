@@ -16,6 +16,7 @@ import argparse
 import sys
 
 from neoflow.session import build_session
+from neoflow.sources.credentials import apply_s3a, s3a_conf, to_s3a
 
 
 def _parser() -> argparse.ArgumentParser:
@@ -25,8 +26,8 @@ def _parser() -> argparse.ArgumentParser:
     land = sub.add_parser("land", help="topic -> date-partitioned Parquet")
     land.add_argument("--topic-path", help="file-backed topic folder")
     land.add_argument("--bootstrap", help="Kafka bootstrap servers")
-    land.add_argument("--topic", help="Kafka topic (or comma list)")
-    land.add_argument("--pattern", help="Kafka topic regex")
+    land.add_argument("--topic", help="topic (or comma list)")
+    land.add_argument("--pattern", help="topic regex")
     land.add_argument("--out", required=True)
     land.add_argument("--checkpoint")
     land.add_argument("--starting", default="latest")
@@ -35,6 +36,10 @@ def _parser() -> argparse.ArgumentParser:
     land.add_argument("--trigger", default="5 seconds")
     land.add_argument("--available-now", action="store_true")
     land.add_argument("--schema", choices=["narrow", "full"], default="narrow")
+    land.add_argument("--starting-timestamp", type=int, help="epoch milliseconds")
+    land.add_argument("--min-partitions", type=int, help="tasks a Kafka batch is split into, at least")
+    land.add_argument("--view", help="name of a live view: the first rows of each batch, printed")
+    land.add_argument("--view-rows", type=int, default=5)
 
     feed = sub.add_parser("feed", help="feed documents -> topic")
     feed.add_argument("--docs", required=True, help="folder of feed documents (one per file)")
@@ -47,23 +52,46 @@ def _parser() -> argparse.ArgumentParser:
     return p
 
 
+#: Arguments that are paths.
+_PATHS = ("topic_path", "out", "checkpoint", "docs")
+
+
+def store_conf(args: argparse.Namespace, environ=None) -> dict[str, str]:
+    """Turn s3:// paths into s3a:// ones; the session settings they need: keys from the
+    environment where a path lies in an object store, none otherwise."""
+    for name in _PATHS:
+        if getattr(args, name, None):
+            setattr(args, name, to_s3a(getattr(args, name)))
+    remote = any((getattr(args, name, None) or "").startswith("s3a://") for name in _PATHS)
+    return s3a_conf(environ=environ) if remote else {}
+
+
 def main(argv: list[str] | None = None, spark=None) -> int:
     args = _parser().parse_args(argv)
-    spark = spark or build_session()
+    conf = store_conf(args)
+    if spark is None:
+        spark = build_session(extra=conf)
+    elif conf:
+        apply_s3a(spark, conf)
     if args.cmd == "land":
         from neoflow.sources.topic import TopicSource
         from neoflow.streaming.jobs import AVAILABLE_NOW, run_available_now, topic_to_parquet
         if args.topic_path:
             src = TopicSource(kind="files", path=args.topic_path, starting=args.starting,
+                              topic=args.topic, pattern=args.pattern,
+                              starting_timestamp=args.starting_timestamp,
                               fail_on_data_loss=args.fail_on_data_loss,
                               max_per_trigger=args.max_per_trigger)
         else:
             src = TopicSource(kind="kafka", bootstrap=args.bootstrap, topic=args.topic,
                               pattern=args.pattern, starting=args.starting,
+                              starting_timestamp=args.starting_timestamp,
+                              min_partitions=args.min_partitions,
                               fail_on_data_loss=args.fail_on_data_loss,
                               max_per_trigger=args.max_per_trigger)
         trigger = AVAILABLE_NOW if args.available_now else {"processingTime": args.trigger}
-        qs = topic_to_parquet(spark, src, args.out, args.checkpoint, trigger, schema=args.schema)
+        qs = topic_to_parquet(spark, src, args.out, args.checkpoint, trigger, schema=args.schema,
+                              view=args.view, view_rows=args.view_rows)
         if args.available_now:
             run_available_now(qs)
         else:

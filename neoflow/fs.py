@@ -11,3 +11,9 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     hconf = spark.sparkContext._jsc.hadoopConfiguration()
     p = jvm.org.apache.hadoop.fs.Path(path)
     return bool(p.getFileSystem(hconf).exists(p))
+
+
+def delete_path(spark: SparkSession, path: str) -> None:
+    """Remove one file."""
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, False)

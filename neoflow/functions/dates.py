@@ -10,9 +10,15 @@ DAY_FORMAT = "yyyy-MM-dd"
 
 
 def parse_day(c) -> Column:
-    """'yyyy-MM-dd' text -> DATE (NULL on bad text)."""
+    """Text -> DATE; one-digit months and days are accepted, other text raises."""
+    return F.to_date(F.col(c) if isinstance(c, str) else c, "yyyy-M-d")
+
+
+def exact_day(c) -> Column:
+    """Text -> DATE where it is a day written exactly 'yyyy-MM-dd', else NULL."""
     c = F.col(c) if isinstance(c, str) else c
-    return F.try_to_date(c, F.lit(DAY_FORMAT)) if hasattr(F, "try_to_date") else F.to_date(c, DAY_FORMAT)
+    day = F.try_to_date(c, DAY_FORMAT)
+    return F.when(F.date_format(day, DAY_FORMAT) == c, day)
 
 
 def format_day(c) -> Column:

@@ -12,16 +12,21 @@ def _col(c) -> Column:
 
 
 def stamp_field_raw(obj_text, name: str, value) -> Column:
-    """Append ``"name": value`` (as a JSON string) to the raw text of a JSON
-    object, keeping every other field as it is. An existing field of the same
-    name is not removed, but parsers keep the last duplicate, so the stamp
-    wins. Non-object text passes through unchanged."""
+    """Set ``"name": value`` (a JSON string, added last) in the raw text of a JSON
+    object. Other fields keep their text; an object that already has the field is
+    rewritten without it (its members as variants: numbers and nesting stay,
+    white space doesn't). Text that isn't an object, and NULL, pass unchanged."""
     t = F.trim(_col(obj_text))
     v = F.to_json(F.struct(_col(value).cast("string").alias(name)))  # {"name":"..."}
     member = F.substring(v, F.lit(2), F.length(v) - 2)  # "name":"..."  (escaped)
     is_obj = t.startswith("{") & t.endswith("}")
-    is_empty = t.rlike(r"^\{\s*\}$")  # anchored: stops at the 2nd char of a non-empty object
-    head = F.substring(t, F.lit(1), F.length(t) - 1)  # without the closing brace
+    members = F.from_json(t, "map<string,variant>")
+    old = F.to_json(F.map_filter(members, lambda k, _: k != name))
+    # The name may occur deeper or in a text only; whether it is a member is known after parsing.
+    has = F.contains(t, F.lit(f'"{name}"')) & F.coalesce(F.map_contains_key(members, F.lit(name)), F.lit(False))
+    base = F.when(has, old).otherwise(t)
+    is_empty = base.rlike(r"^\{\s*\}$")  # anchored: stops at the 2nd char of a non-empty object
+    head = F.substring(base, F.lit(1), F.length(base) - 1)  # without the closing brace
     return (F.when(~is_obj, _col(obj_text))
             .when(is_empty, F.concat(F.lit("{"), member, F.lit("}")))
             .otherwise(F.concat(head, F.lit(","), member, F.lit("}"))))
@@ -36,7 +41,3 @@ def to_json_keep_nulls(c) -> Column:
 def encode_utf8(c) -> Column:
     return F.encode(_col(c), "UTF-8")
 
-
-def decode_utf8(c) -> Column:
-    """Bytes -> text; the column keeps its name when given by name."""
-    return _col(c).cast("string")

@@ -2,9 +2,9 @@
 
     documents (one row each: text + a document key)
       -> from_json(near_earth_objects: map<day, array<raw object text>>)
-      -> explode(map) -> keep days in [start, end] -> posexplode(array)
+      -> last entry of each key -> explode -> keep days in [start, end]
+      -> first message number of each (day, document) -> posexplode(array)
       -> stamp "current_date" into the raw object text
-      -> number 1..n in (day, document, array position) order
       -> bytes -> topic
 
 Objects stay raw JSON text all the way, so unknown fields, nested values and
@@ -20,15 +20,28 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
-from neoflow.functions.dates import day_calendar, format_day
+from neoflow.functions.dates import day_calendar, exact_day, format_day, parse_day
 from neoflow.functions.json import encode_utf8, stamp_field_raw
 from neoflow.schemas import FEED_MEMBER, FEED_SCHEMA
+from neoflow.session import scratch_path
 
 STAMP_FIELD = "current_date"
 
 
 def _lit_date(d) -> Column:
-    return d if isinstance(d, Column) else F.to_date(F.lit(d), "yyyy-MM-dd")
+    return d if isinstance(d, Column) else parse_day(F.lit(d))
+
+
+def in_days(start, end, day_col: str = "day_str") -> Column:
+    """The key is a day of [start, end], written exactly 'yyyy-MM-dd'."""
+    return F.coalesce(exact_day(day_col).between(_lit_date(start), _lit_date(end)), F.lit(False))
+
+
+def _last_entries(days: Column) -> Column:
+    """The map's entries, of entries with one key the last."""
+    keys = F.map_keys(days)
+    last = lambda e, i: i == F.size(keys) - F.array_position(F.reverse(keys), e["key"])
+    return F.filter(F.map_entries(days), last)
 
 
 def calendar(spark: SparkSession, start, end) -> DataFrame:
@@ -49,25 +62,58 @@ def parse_feed(docs: DataFrame, text_col: str = "value", key_cols: list[str] | N
     """Documents -> (key cols..., doc fields..., day_str, objects: array<raw
     text>), one row per (document, day). ``doc_fields`` are top-level members
     of the document itself (e.g. ``[("page", LongType())]``), parsed in the
-    same pass. A document without the member gives no rows."""
+    same pass. A document without the member gives no rows; of a day key that
+    a document repeats the last entry counts."""
     key_cols = key_cols or []
     schema = T.StructType(list(FEED_SCHEMA.fields)
                           + [T.StructField(name, dtype, True) for name, dtype in doc_fields or []])
     parsed = docs.select(*key_cols, F.from_json(F.col(text_col), schema).alias("_doc"))
     extra = [F.col(f"_doc.{name}").alias(name) for name, _ in doc_fields or []]
-    return parsed.select(*key_cols, *extra,
-                         F.explode(F.col(f"_doc.{FEED_MEMBER}")).alias("day_str", "objects"))
+    entries = parsed.select(*key_cols, *extra, F.explode(_last_entries(F.col(f"_doc.{FEED_MEMBER}"))).alias("_e"))
+    return entries.select(*key_cols, *[name for name, _ in doc_fields or []],
+                          F.col("_e.key").alias("day_str"), F.col("_e.value").alias("objects"))
 
 
-def fan_out(doc_days: DataFrame, start, end, key_cols: list[str] | None = None) -> DataFrame:
+def fan_out(doc_days: DataFrame, start, end, key_cols: list[str] | None = None,
+            starts: DataFrame | None = None) -> DataFrame:
     """(document, day) rows -> one row per object of the days in [start,
     end]: (key cols..., day_str, pos, object = raw text, value = stamped
-    message text)."""
+    message text). With ``starts`` (from ``first_numbers``) also ``number``: the
+    first numbers are joined to the rows before they are exploded, so messages
+    don't move. An element that isn't a JSON object fails the job."""
     key_cols = key_cols or []
-    s, e = format_day(_lit_date(start)), format_day(_lit_date(end))
-    days = doc_days.filter(F.col("day_str").between(s, e))
-    objs = days.select(*key_cols, "day_str", F.posexplode("objects").alias("pos", "object"))
-    return objs.withColumn("value", stamp_field_raw("object", STAMP_FIELD, F.col("day_str")))
+    days = doc_days.filter(in_days(start, end))
+    number = []
+    if starts is not None:
+        days = days.join(starts, ["day_str", *key_cols])
+        number = ["_first"]
+    objs = days.select(*key_cols, "day_str", *number, F.posexplode("objects").alias("pos", "object"))
+    text = F.trim("object")
+    is_object = F.coalesce(text.startswith("{") & text.endswith("}"), F.lit(False))
+    checked = F.when(is_object, F.col("object")).otherwise(F.raise_error(F.concat(
+        F.lit("a feed element is not a JSON object on day "), F.col("day_str"))))
+    out = objs.withColumn("value", stamp_field_raw(checked, STAMP_FIELD, F.col("day_str")))
+    return out.withColumn("number", F.col("_first") + F.col("pos")).drop("_first") if number else out
+
+
+def first_numbers(doc_days: DataFrame, start, end, doc_col: str) -> DataFrame:
+    """(day_str, doc, _first): the running number (from 1) of each (day, document)'s
+    first object, in (day, document) order over the whole run.
+
+    A two-level prefix sum over narrow count rows: they are range-partitioned
+    and written with their range, ranges are summed up (one row per range), and
+    rows within each range. A hot day is so spread over many ranges."""
+    counts = (object_counts(doc_days, start, end, doc_col).repartitionByRange("day_str", doc_col)
+              .withColumn("_range", F.spark_partition_id()))
+    path = scratch_path(doc_days.sparkSession, "feed-counts")
+    counts.write.parquet(path)
+    counts = doc_days.sparkSession.read.parquet(path)
+    before = Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+    ranges = (counts.groupBy("_range").agg(F.sum("_n").alias("_r"))
+              .select("_range", F.coalesce(F.sum("_r").over(before), F.lit(0)).alias("_base")))
+    within = Window.partitionBy("_range").orderBy("day_str", doc_col).rowsBetween(Window.unboundedPreceding, -1)
+    own = counts.withColumn("_own", F.coalesce(F.sum("_n").over(within), F.lit(0)))
+    return own.join(ranges, "_range").select("day_str", doc_col, (F.col("_base") + F.col("_own") + 1).alias("_first"))
 
 
 def missing_days(spark: SparkSession, doc_days: DataFrame, start, end) -> DataFrame:
@@ -91,8 +137,7 @@ def require_all_days(spark: SparkSession, messages: DataFrame, doc_days: DataFra
 def object_counts(doc_days: DataFrame, start, end, doc_col: str) -> DataFrame:
     """(day_str, doc, n) - objects per (document, day) inside [start, end],
     read off the array sizes: no explode, one small row per (document, day)."""
-    s_, e_ = format_day(_lit_date(start)), format_day(_lit_date(end))
-    return doc_days.filter(F.col("day_str").between(s_, e_)).groupBy("day_str", doc_col) \
+    return doc_days.filter(in_days(start, end)).groupBy("day_str", doc_col) \
         .agg(F.sum(F.size("objects")).alias("_n"))
 
 
@@ -130,6 +175,15 @@ def emission_order(msgs: DataFrame, doc_col: str, num_partitions: int | None = N
     return msgs.repartitionByRange(n, *keys).sortWithinPartitions(*keys)
 
 
+def in_emission_order(numbered: DataFrame, total: Column, num_partitions: int) -> DataFrame:
+    """Numbered messages with ``partition``: numbers 1..total cut into
+    ``num_partitions`` equal runs, one Spark partition each, sorted by number. Where
+    a message goes is arithmetic, so nothing is sampled."""
+    per = F.greatest(F.ceil(total / F.lit(num_partitions)), F.lit(1))
+    placed = numbered.withColumn("partition", F.floor((F.col("number") - 1) / per).cast("int"))
+    return placed.repartitionById(num_partitions, "partition").sortWithinPartitions("number")
+
+
 def to_message_bytes(msgs: DataFrame, value_col: str = "value") -> DataFrame:
     return msgs.withColumn(value_col, encode_utf8(value_col))
 

@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 from neoflow.fs import path_exists
 
 START_OFFSETS_SUBDIR = "_start_offsets"
+START_SCHEMA = "topic string, partition int, start_offset long"
 
 
 def next_offsets(records: DataFrame) -> DataFrame:
@@ -50,7 +51,7 @@ def start_at_latest(spark: SparkSession, existing: DataFrame, checkpoint: str,
     is now) at the first start, read back unchanged on every restart.
     With ``timestamp``, the start is by time instead of "latest"."""
     path = f"{checkpoint.rstrip('/')}/{START_OFFSETS_SUBDIR}"
-    if not path_exists(spark, path):
+    if not path_exists(spark, f"{path}/_SUCCESS"):  # a crash may have left a part of it
         starts = next_offsets(existing) if timestamp is None else offsets_for_timestamp(existing, timestamp)
         starts.write.mode("overwrite").parquet(path)
-    return spark.read.parquet(path)
+    return spark.read.schema(START_SCHEMA).parquet(path)

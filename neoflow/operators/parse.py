@@ -14,7 +14,7 @@ from pyspark.sql import types as T
 from neoflow.functions.casts import first_element, tolerant_double, tolerant_int
 from neoflow.schemas import MESSAGE_SCHEMA, NARROW_MESSAGE_SCHEMA, OUTPUT_FIELDS
 
-PARSED = "json_data"
+PARSED = "parsed_message"
 _APPROACH_PREFIX = "close_approach_data."
 
 

@@ -17,24 +17,23 @@ from neoflow.operators.predicates import date_range
 from neoflow.plans.q_flatten import DATE_HI, DATE_LO, FLATTEN_SQL
 from neoflow.plans.registry import register, register_subset
 from neoflow.plans.tables import table
-from neoflow.plans.topics_fixture import new_topic, payload_slices, payload_topic
+from neoflow.fs import delete_path
+from neoflow.plans.topics_fixture import new_topic, payload_slices, payload_topic, payload_topic_records
+from neoflow.schemas import OUTPUT_SCHEMA
 from neoflow.session import scratch_path
 from neoflow.sinks.parquet import landed_table, parquet_append_stream
 from neoflow.sinks.topic import append_records
 from neoflow.sources.topic import FILES, TopicSource, read_topic, read_topic_stream
-from neoflow.streaming.jobs import (AVAILABLE_NOW, run_available_now, run_until_caught_up,
+from neoflow.streaming.jobs import (AVAILABLE_NOW, landing_stream, run_available_now, run_until_caught_up,
                                     topic_to_parquet)
 
 # The last run's progress per query name, for tests (batches, rows).
 LAST_PROGRESS: dict[str, list[dict]] = {}
 
 
-def _land(spark: SparkSession, name: str, src: TopicSource, trigger=None, view: str | None = None):
+def _land(spark: SparkSession, name: str, src: TopicSource, trigger=None):
     out = scratch_path(spark, f"landed-{name}")
-    # The fixture topic holds ~7 years of dates from the first batch on: a
-    # backfill, so the range layout is asked for whatever the trigger.
-    qs = topic_to_parquet(spark, src, out, trigger=trigger or AVAILABLE_NOW, view=view,
-                          view_sink="console", cluster="range")
+    qs = topic_to_parquet(spark, src, out, trigger=trigger or AVAILABLE_NOW)
     if trigger and "processingTime" in trigger:
         run_until_caught_up(qs)
     else:
@@ -82,21 +81,76 @@ def stream_rate_limited(spark, sf_dir):
     return _land(spark, "stream_rate_limited", src)
 
 
-@register("live_view", FLATTEN_SQL, ["SNK-2", "STR-5"])
+@register("stream_batches_counted",
+          "SELECT count(*) AS n_rows, 3 AS n_batches FROM orders o LEFT JOIN lineitem l ON l.l_orderkey = o.o_orderkey",
+          ["STR-7"])
+def stream_batches_counted(spark, sf_dir):
+    """Five topic files at two files per micro-batch: three batches."""
+    path = scratch_path(spark, "topic-five")
+    payload_topic_records(spark, sf_dir).repartition(5).write.parquet(path)
+    out = scratch_path(spark, "landed-batches")
+    stream = landing_stream(spark, TopicSource(kind=FILES, path=path, starting="earliest", max_per_trigger=2))
+    query = parquet_append_stream(stream, out, partition_by=None, trigger=AVAILABLE_NOW)
+    run_available_now([query])
+    batches = [p for p in query.recentProgress if p["numInputRows"] > 0]
+    return landed_table(spark, out).agg(F.count(F.lit(1)).alias("n_rows"), F.lit(len(batches)).alias("n_batches"))
+
+
+@register("live_view", FLATTEN_SQL, ["STR-5"])
 def live_view_query(spark, sf_dir):
-    """The landing query plus a live view: two independent queries on one
-    stream plan, each with its own checkpoint."""
+    """Two independent queries on one stream plan, each with its own checkpoint:
+    what the second one has landed."""
+    src = TopicSource(kind=FILES, path=payload_topic(spark, sf_dir), starting="earliest")
+    first, second = scratch_path(spark, "landed-first"), scratch_path(spark, "landed-second")
+    stream = landing_stream(spark, src)
+    run_available_now([parquet_append_stream(stream, p, trigger=AVAILABLE_NOW) for p in (first, second)])
+    return landed_table(spark, second)
+
+
+@register("live_view_preview", f"""
+SELECT least(5, count(*)) AS n_shown, 0 AS n_wrong FROM ({FLATTEN_SQL}) q""", ["SNK-2", "STR-5"])
+def live_view_preview(spark, sf_dir):
+    """The live view's own output: at most five rows of each batch (one batch here),
+    each of them a row of the stream."""
     src = TopicSource(kind=FILES, path=payload_topic(spark, sf_dir), starting="earliest")
-    return _land(spark, "live_view", src, view="objects_live_view")
+    out, shown = scratch_path(spark, "landed-view"), []
+    run_available_now(topic_to_parquet(spark, src, out, trigger=AVAILABLE_NOW, view="objects_live_view", view_rows=5,
+                                       on_preview=lambda _, rows: shown.extend(rows)))
+    rows = spark.createDataFrame(shown, OUTPUT_SCHEMA)  # bounded: five rows a batch
+    wrong = rows.exceptAll(landed_table(spark, out))
+    return wrong.agg(F.lit(len(shown)).alias("n_shown"), F.count(F.lit(1)).alias("n_wrong"))
 
 
-@register("src_04_fail_on_data_loss", FLATTEN_SQL, ["SRC-4"])
+@register("src_04_fail_on_data_loss", FLATTEN_SQL + "\nWHERE o.o_orderdate < TIMESTAMP '1998-01-01'", ["SRC-4"])
 def src_04_fail_on_data_loss(spark, sf_dir):
-    """failOnDataLoss=false: files gone between listing and reading are
-    skipped (``ignoreMissingFiles``) instead of failing the query."""
-    src = TopicSource(kind=FILES, path=payload_topic(spark, sf_dir), starting="earliest",
-                      fail_on_data_loss=False)
-    return _land(spark, "src_04_fail_on_data_loss", src)
+    """failOnDataLoss=false: files of the topic that go between listing and reading are
+    skipped (``ignoreMissingFiles``), the others' rows are kept."""
+    sink = new_topic(spark, "lossy", fx.PAYLOAD_TOPIC)
+    src = TopicSource(kind=FILES, path=sink.path, starting="earliest", fail_on_data_loss=False)
+    *kept, last = payload_slices(spark, sf_dir)
+    for part in kept:
+        append_records(spark, part, sink)
+    before = set(read_topic(spark, src).inputFiles())
+    append_records(spark, last, sink)
+    listed = read_topic(spark, src)
+    for path in set(listed.inputFiles()) - before:
+        delete_path(spark, path)
+    return parse_and_flatten(listed)
+
+
+@register("src_05_one_topic", """
+SELECT event_type AS topic, event_id AS "offset", props AS value FROM events
+WHERE event_type = 'click' AND "ts" >= TIMESTAMP '2024-01-10'""", ["SRC-2", "SRC-5"])
+def src_05_one_topic(spark, sf_dir):
+    """Replay of one topic, by name and from an instant, out of a folder that holds all topics of ``events``."""
+    sink = new_topic(spark, "all-events", "events")
+    recs = fx.event_records(spark, sf_dir)
+    recs.write.mode("append").parquet(sink.path)
+    start = 1_704_844_800_000  # 2024-01-10 00:00 UTC
+    replay = read_topic(spark, TopicSource(kind=FILES, path=sink.path, topic="click", starting="earliest",
+                                           starting_timestamp=start))
+    return (replay.filter(F.col("timestamp") >= F.timestamp_millis(F.lit(start)))
+            .select("topic", "offset", F.col("value").cast("string").alias("value")))
 
 
 @register("src_05_topic_replay", FLATTEN_SQL, ["SRC-5"])
@@ -106,19 +160,13 @@ def src_05_topic_replay(spark, sf_dir):
     return parse_and_flatten(recs)
 
 
-@register("snk_03_topic_sink",
-          """SELECT count(*) AS n_records, count(*) AS n_distinct_positions,
-                    0 AS min_offset, count(*) AS n_values
-             FROM orders o LEFT JOIN lineitem l ON l.l_orderkey = o.o_orderkey""",
-          ["SNK-3"])
+@register("snk_03_topic_sink", FLATTEN_SQL, ["SNK-3"])
 def snk_03_topic_sink(spark, sf_dir):
-    """Messages appended to a topic: every message once, each at its own
-    (partition, offset), offsets from 0 per partition."""
-    recs = read_topic(spark, TopicSource(kind=FILES, path=payload_topic(spark, sf_dir)))
-    return recs.agg(F.count(F.lit(1)).alias("n_records"),
-                    F.count_distinct("partition", "offset").alias("n_distinct_positions"),
-                    F.min("offset").cast("int").alias("min_offset"),
-                    F.count("value").alias("n_values"))
+    """Messages appended to a topic in several runs: the values written, read back and parsed."""
+    sink = new_topic(spark, "sink", fx.PAYLOAD_TOPIC)
+    for part in payload_slices(spark, sf_dir):
+        append_records(spark, part, sink)
+    return parse_and_flatten(read_topic(spark, TopicSource(kind=FILES, path=sink.path)))
 
 
 ROUTING_SQL = """
@@ -210,7 +258,7 @@ register_subset("str_08_topic_to_parquet", "stream_to_parquet",
                 ["STR-8"])
 register_subset("str_03_restart", "stream_restart", _OBJ, ["STR-3"])
 register_subset("str_05_two_queries", "live_view", _OBJ, ["STR-5"])
-register_subset("snk_02_live_view", "live_view", _OBJ, ["SNK-2"])
+register_subset("snk_02_live_view", "live_view_preview", ["n_shown", "n_wrong"], ["SNK-2"])
 register_subset("str_07_rate_limit", "stream_rate_limited", _OBJ, ["STR-7"])
 register_subset("src_03_start_at_latest", "start_at_latest",
                 ["topic", "partition", "offset"], ["SRC-3"])

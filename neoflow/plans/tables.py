@@ -14,16 +14,3 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
         raise KeyError(name)
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
-
-def spread(df: DataFrame) -> DataFrame:
-    """Round-robin a *scan* over the session's parallelism when the files
-    give fewer splits than that (a small single-file table has one split).
-    Only the file listing is consulted (no job runs); with many input splits,
-    as on a cluster, the DataFrame is returned unchanged and no shuffle is
-    added."""
-    try:
-        target = df.sparkSession.sparkContext.defaultParallelism
-        splits = df.rdd.getNumPartitions()
-    except Exception:  # noqa: BLE001 - e.g. a Connect session: leave the plan alone
-        return df
-    return df if splits >= target else df.repartition(target)

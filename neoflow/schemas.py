@@ -84,23 +84,20 @@ OUTPUT_FIELDS = [
 
 OUTPUT_COLUMNS = [name for name, _, _ in OUTPUT_FIELDS]
 
+
+def _leaf(schema: T.DataType, path: str) -> T.DataType:
+    """Type of the leaf at a dotted path; arrays are walked through."""
+    for name in path.split("."):
+        while isinstance(schema, T.ArrayType):
+            schema = schema.elementType
+        schema = schema[name].dataType
+    return schema
+
+
+# "raw" columns have their leaf's type, cast ones what they are cast to.
 OUTPUT_SCHEMA = T.StructType([
-    _f("date", _S),
-    _f("object_id", T.IntegerType()),
-    _f("object_neo_reference_id", T.IntegerType()),
-    _f("object_name", _S),
-    _f("absolute_magnitude_h", _D),
-    _f("estimated_diameter_min_km", _D),
-    _f("estimated_diameter_max_km", _D),
-    _f("is_potentially_hazardous_asteroid", _B),
-    _f("close_approach_date_full", _S),
-    _f("relative_velocity_km_per_sec", _D),
-    _f("relative_velocity_km_per_hour", _D),
-    _f("miss_distance_astronomical", _D),
-    _f("miss_distance_lunar", _D),
-    _f("miss_distance_kilometers", _D),
-    _f("is_sentry_object", _B),
-])
+    _f(name, {"int": T.IntegerType(), "double": _D}.get(kind) or _leaf(MESSAGE_SCHEMA, path))
+    for name, path, kind in OUTPUT_FIELDS])
 
 # Column set of Spark's Kafka source; a directory of Parquet files with this
 # schema stands for a topic when no broker is reachable.

@@ -46,13 +46,6 @@ def build_session(master: str | None = None, app_name: str = "neoflow",
     return b.getOrCreate()
 
 
-def apply_defaults(spark: SparkSession) -> None:
-    """Apply the runtime-settable defaults to an existing session."""
-    for k, v in DEFAULT_CONF.items():
-        if k.startswith("spark.sql."):
-            spark.conf.set(k, v)
-
-
 def shared_dir(spark: SparkSession) -> str:
     """The shared folder for checkpoints and written intermediate tables.
 
@@ -82,18 +75,4 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{base}/neoflow/{name}-{uuid.uuid4().hex[:12]}"
 
 
-def local_path(path: str) -> str:
-    """Strip a ``file:`` scheme, for the few helpers that touch local files."""
-    if path.startswith("file://"):
-        return path[len("file://"):]
-    if path.startswith("file:"):
-        return path[len("file:"):]
-    return path
-
-
-def is_local_fs(path: str) -> bool:
-    return "://" not in path or path.startswith("file:")
-
-
-__all__ = ["DEFAULT_CONF", "build_session", "apply_defaults", "shared_dir",
-           "scratch_path", "local_path", "is_local_fs"]
+__all__ = ["DEFAULT_CONF", "build_session", "scratch_path", "shared_dir"]

@@ -17,24 +17,18 @@ def default_checkpoint(path: str, name: str = "landing") -> str:
     return f"{path.rstrip('/')}/{CHECKPOINT_SUBDIR}/{name}"
 
 
-def cluster_for_write(df: DataFrame, partition_by: list[str], cluster: str,
-                      num_partitions: int | None = None) -> DataFrame:
-    """Lay rows out so each write task holds few folder values.
+def cluster_for_write(df: DataFrame, partition_by: list[str], cluster: str) -> DataFrame:
+    """Lay rows out so that each write task holds few folder values.
 
-    ``none``: map-only; every task writes one file per folder value it holds
-    (tasks x values files per batch). ``range``: range-partition on the folder
-    columns plus a hash of the row, so each value's rows are contiguous (about
-    values + tasks files), tasks are balanced by volume and a hot value is
-    split over several tasks. ``hash``: hash-partition on the folder columns
-    (one file per value, but a hot value stays in one task)."""
+    ``rebalance``: one exchange on the folder columns whose partitions AQE then
+    sizes by bytes: a hot value is split over several files, small ones share a
+    task. The input is read once (a range partitioning would read it a second
+    time to sample it). ``none``: map-only; every task writes one file per
+    folder value it holds (tasks x values files per batch)."""
     if cluster == "none" or not partition_by:
         return df
-    n = num_partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    if cluster == "range":
-        spread = F.xxhash64(*[F.col(c) for c in df.columns])
-        return df.repartitionByRange(n, *[F.col(c) for c in partition_by], spread)
-    if cluster == "hash":
-        return df.repartition(n, *[F.col(c) for c in partition_by])
+    if cluster == "rebalance":
+        return df.hint("rebalance", *partition_by)
     raise ValueError(f"unknown cluster mode {cluster!r}")
 
 
@@ -42,13 +36,13 @@ def parquet_append_stream(df: DataFrame, path: str, checkpoint: str | None = Non
                           partition_by: str | list[str] | None = "date",
                           trigger: dict | None = None, query_name: str | None = None,
                           max_records_per_file: int | None = None,
-                          cluster: str = "none") -> StreamingQuery:
+                          cluster: str = "rebalance") -> StreamingQuery:
     """Start the append-mode Parquet sink. Rows route to ``date=<value>``
     folders by their own value (NULL -> the default partition).
 
     trigger: e.g. ``{"processingTime": "5 seconds"}`` (default) or
-    ``{"availableNow": True}`` for backfill / tests. Map-only: each task
-    writes its rows for each date it holds; no shuffle is added."""
+    ``{"availableNow": True}`` for backfill / tests. ``cluster``: the write
+    layout (see ``cluster_for_write``), the same for every trigger."""
     cols = [partition_by] if isinstance(partition_by, str) else list(partition_by or [])
     df = cluster_for_write(df, cols, cluster)
     w = (df.writeStream.format("parquet").outputMode("append")

@@ -7,6 +7,7 @@ commits a whole job or nothing; the streaming file sink is exactly-once).
 
 from __future__ import annotations
 
+import time
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame
@@ -92,35 +93,22 @@ def _file_frame(records: DataFrame, sink: TopicSink) -> DataFrame:
 
 def append_records(spark, messages: DataFrame, sink: TopicSink,
                    num_partitions: int | None = None) -> None:
-    """Append messages to a file-backed topic the way a broker would: each
-    Spark partition of the write is one topic partition, and offsets go on
-    from the partition's current end (0 for a new partition).
-
-    ``num_partitions`` spreads keyless messages round-robin over that many
-    partitions first; otherwise the current partitioning is kept (e.g. a
-    range partitioning that carries an emission order). The current ends
-    come from the topic itself (two pruned columns) as one row per
-    partition, joined back - bounded by the partition count."""
-    from neoflow.fs import path_exists
-    from neoflow.operators.offsets import next_offsets
-    from neoflow.sources.topic import TopicSource, read_topic
+    """Append messages to a file-backed topic: one pass, no look at what is there.
 
+    ``partition`` is the messages' own, or the Spark partition that writes them
+    (``num_partitions`` spreads them over that many first). ``offset`` is their own,
+    or the time of the append in milliseconds times 2**22 plus a running number:
+    it grows from append to append and within each task, with gaps."""
     if sink.kind != FILES or not sink.path:
         raise ValueError("append_records writes file-backed topics")
     df = messages.repartition(num_partitions) if num_partitions else messages
-    pid = F.spark_partition_id()
-    local = F.monotonically_increasing_id() - F.shiftleft(pid.cast("long"), 33)
-    recs = df.withColumn("partition", pid).withColumn("_local", local)
-    if "topic" not in recs.columns:
-        recs = recs.withColumn("topic", F.lit(sink.topic))
-    if path_exists(spark, sink.path):
-        ends = next_offsets(read_topic(spark, TopicSource(kind=FILES, path=sink.path))
-                            .select("topic", "partition", "offset"))
-        recs = recs.join(ends, ["topic", "partition"], "left")
-    else:
-        recs = recs.withColumn("start_offset", F.lit(None).cast("long"))
-    recs = recs.withColumn("offset", F.coalesce(F.col("start_offset"), F.lit(0)) + F.col("_local"))
-    _file_frame(recs.drop("_local", "start_offset"), sink).write.mode("append").parquet(sink.path)
+    task = F.spark_partition_id()
+    if "offset" not in df.columns:
+        local = F.monotonically_increasing_id() - F.shiftleft(task.cast("long"), 33)
+        df = df.withColumn("offset", F.lit(time.time_ns() // 1_000_000 * (1 << 22)) + local)
+    if "partition" not in df.columns:
+        df = df.withColumn("partition", task)
+    _file_frame(df, sink).write.mode("append").parquet(sink.path)
 
 
 def create_topic(spark, sink: TopicSink) -> None:

@@ -12,6 +12,7 @@ from __future__ import annotations
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from neoflow.schemas import RECORD_SCHEMA
 
@@ -23,13 +24,15 @@ FILES = "files"
 class TopicSource:
     """Where a topic lives and how to start reading it.
 
-    kind: ``"kafka"`` or ``"files"``. For Kafka ``bootstrap`` and ``topic``
-    (a name, a comma list) or ``pattern`` (regex) are used; for files,
-    ``path``.
+    kind: ``"kafka"`` or ``"files"``. ``topic`` (a name, a comma list) or
+    ``pattern`` (regex of the whole name) choose the topics; Kafka needs one of
+    them and ``bootstrap``, files ``path`` (and read every topic without them).
 
     starting: ``"latest"`` (only messages arriving after the first start;
-    ignored when restarting from a checkpoint), ``"earliest"``, or a Kafka
-    JSON offset spec.
+    ignored when restarting from a checkpoint), ``"earliest"``, or, with Kafka
+    only, a JSON offset spec.
+    starting_timestamp: epoch milliseconds; each partition starts at its first
+    record from then on, or at its end if there is none.
     fail_on_data_loss: False keeps going when wanted offsets / files are gone.
     max_per_trigger: bound on intake per micro-batch (offsets for Kafka,
     files for a file-backed topic).
@@ -65,6 +68,7 @@ def kafka_stream_options(src: TopicSource) -> dict[str, str]:
             "failOnDataLoss": str(src.fail_on_data_loss).lower()}
     if src.starting_timestamp is not None:
         opts["startingTimestamp"] = str(src.starting_timestamp)
+        opts["startingOffsetsByTimestampStrategy"] = "latest"  # as on files: none later, start at the end
     else:
         opts["startingOffsets"] = src.starting
     if src.max_per_trigger:
@@ -86,13 +90,28 @@ def kafka_batch_options(src: TopicSource, ending: str = "latest") -> dict[str, s
     return opts
 
 
+def _check_files(src: TopicSource) -> None:
+    if src.kind != FILES or not src.path:
+        raise ValueError("a file-backed topic needs kind='files' and a path")
+    if src.starting not in ("latest", "earliest"):
+        raise ValueError(f"a file-backed topic starts at latest, earliest or a timestamp, not {src.starting!r}")
+
+
+def _subscribed(records: DataFrame, src: TopicSource) -> DataFrame:
+    """Records of the topics a file-backed source subscribes to (a filter that reaches the scan)."""
+    if src.pattern:
+        return records.filter(F.col("topic").rlike(f"^(?:{src.pattern})$"))
+    if src.topic:
+        return records.filter(F.col("topic").isin([t.strip() for t in src.topic.split(",")]))
+    return records
+
+
 def read_topic_stream(spark: SparkSession, src: TopicSource) -> DataFrame:
     """Streaming DataFrame of records (key, value, topic, partition, offset,
     timestamp, timestampType)."""
     if src.kind == KAFKA:
         return spark.readStream.format("kafka").options(**kafka_stream_options(src)).load()
-    if src.kind != FILES or not src.path:
-        raise ValueError("a file-backed topic needs kind='files' and a path")
+    _check_files(src)
     r = spark.readStream.schema(RECORD_SCHEMA)
     if src.max_per_trigger:
         r = r.option("maxFilesPerTrigger", str(src.max_per_trigger))
@@ -103,16 +122,22 @@ def read_topic_stream(spark: SparkSession, src: TopicSource) -> DataFrame:
     # neoflow.operators.offsets (see streaming.jobs.landing_stream).
     for k, v in src.extra.items():
         r = r.option(k, v)
-    return r.parquet(src.path)
+    return _subscribed(r.parquet(src.path), src)
 
 
 def read_topic(spark: SparkSession, src: TopicSource, ending: str = "latest") -> DataFrame:
-    """Bounded replay of the whole topic from the beginning (batch)."""
+    """Bounded replay (batch): from ``starting_timestamp`` if the source has one,
+    else from the beginning."""
     if src.kind == KAFKA:
         return spark.read.format("kafka").options(**kafka_batch_options(src, ending)).load()
-    if src.kind != FILES or not src.path:
-        raise ValueError("a file-backed topic needs kind='files' and a path")
+    _check_files(src)
+    if ending != "latest":
+        raise ValueError(f"a replay of a file-backed topic ends at latest, not {ending!r}")
     r = spark.read.schema(RECORD_SCHEMA)
     if not src.fail_on_data_loss:
         r = r.option("ignoreMissingFiles", "true")
-    return r.parquet(src.path)
+    records = _subscribed(r.parquet(src.path), src)
+    if src.starting_timestamp is not None:
+        from neoflow.operators.offsets import from_offsets, offsets_for_timestamp
+        records = from_offsets(records, offsets_for_timestamp(records, src.starting_timestamp))
+    return records

@@ -7,28 +7,21 @@ range missing from every document fails the job, before anything is sent.
 
 from __future__ import annotations
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from neoflow.operators.feed import (emission_order, fan_out, missing_days, number_messages,
-                                    object_counts, parse_feed, require_all_days, to_message_bytes)
+from neoflow.operators.feed import (fan_out, first_numbers, in_emission_order, missing_days,
+                                    object_counts, parse_feed, to_message_bytes)
+from neoflow.session import scratch_path
 from neoflow.sinks.topic import FILES, TopicSink, append_records, write_topic
 
 
-def feed_messages(spark: SparkSession, doc_days: DataFrame, start, end, doc_col: str,
-                  strict: bool = True, num_partitions: int | None = None,
-                  number: bool = False) -> DataFrame:
-    """Messages in emission order: (day_str, doc, pos, value[, number]) from
-    parsed (document, day) rows. The running ``number`` (FAN-7) is only for
-    inspection / logging - the message itself does not carry it - so it is
-    computed on request."""
-    msgs = fan_out(doc_days, start, end, key_cols=[doc_col])
-    if strict:
-        msgs = require_all_days(spark, msgs, doc_days, start, end)
-    if number:
-        msgs = number_messages(msgs, object_counts(doc_days, start, end, doc_col), doc_col)
-    return emission_order(msgs, doc_col, num_partitions)
+def feed_messages(doc_days: DataFrame, start, end, doc_col: str, num_partitions: int) -> DataFrame:
+    """Messages in emission order: (day_str, doc, pos, value, number, partition) from
+    parsed (document, day) rows."""
+    starts = first_numbers(doc_days, start, end, doc_col)
+    total = object_counts(doc_days, start, end, doc_col).select(F.coalesce(F.sum("_n"), F.lit(0)).alias("n")).scalar()
+    return in_emission_order(fan_out(doc_days, start, end, key_cols=[doc_col], starts=starts), total, num_partitions)
 
 
 def feed_to_topic(spark: SparkSession, docs: DataFrame, start, end, sink: TopicSink,
@@ -36,32 +29,32 @@ def feed_to_topic(spark: SparkSession, docs: DataFrame, start, end, sink: TopicS
                   num_partitions: int | None = None,
                   doc_fields: list | None = None) -> None:
     """Send every object of the days in [start, end] as one message (value
-    only). For a file-backed topic each range partition becomes one topic
-    partition, so per-partition offsets follow the emission order."""
-    # The parsed (document, day) rows feed the missing-day check and the
-    # messages: parse once, keep them for this job (recomputed from the
-    # documents if an executor holding them is lost). The document key is a
-    # column of ``docs`` (e.g. the file path) or a member of the document
-    # itself (``doc_fields``, e.g. a page number).
+    only, with its topic partition). The run of message numbers is cut into
+    ``num_partitions`` topic partitions, each written in order by one task; for
+    Kafka give the topic's partition count (1 by default, as a total order
+    needs), for files it is the session's shuffle partitions."""
+    # The parsed (document, day) rows feed the missing-day check, the numbers
+    # and the messages: parsed once, written to the shared folder. The document
+    # key is a column of ``docs`` (e.g. the file path) or a member of the
+    # document itself (``doc_fields``, e.g. a page number).
     in_doc = doc_col in [name for name, _ in doc_fields or []]
-    doc_days = parse_feed(docs, key_cols=[] if in_doc else [doc_col], doc_fields=doc_fields) \
-        .persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        if strict:
-            # Checked before anything is sent (a Kafka sink is not atomic):
-            # at most one row comes back to the driver.
-            miss = missing_days(spark, doc_days, start, end).select("day_str").take(1)
-            if miss:
-                raise KeyError(f"feed has no objects list for day {miss[0].day_str}")
-        msgs = feed_messages(spark, doc_days, start, end, doc_col, strict=False,
-                             num_partitions=num_partitions)
-        recs = to_message_bytes(msgs.select("value"))
-        if sink.kind == FILES:
-            append_records(spark, recs.withColumn("timestamp", F.current_timestamp()), sink)
-        else:
-            write_topic(recs, sink)
-    finally:
-        doc_days.unpersist()
+    path = scratch_path(spark, "feed-days")
+    parse_feed(docs, key_cols=[] if in_doc else [doc_col], doc_fields=doc_fields).write.parquet(path)
+    doc_days = spark.read.parquet(path)
+    if strict:
+        # Checked before anything is sent (a Kafka sink is not atomic):
+        # at most one row comes back to the driver.
+        miss = missing_days(spark, doc_days, start, end).select("day_str").take(1)
+        if miss:
+            raise KeyError(f"feed has no objects list for day {miss[0].day_str}")
+    if num_partitions is None:
+        num_partitions = int(spark.conf.get("spark.sql.shuffle.partitions")) if sink.kind == FILES else 1
+    msgs = feed_messages(doc_days, start, end, doc_col, num_partitions)
+    recs = to_message_bytes(msgs.select("value", "partition", "number"))
+    if sink.kind == FILES:
+        append_records(spark, recs.drop("number").withColumn("timestamp", F.current_timestamp()), sink)
+    else:
+        write_topic(recs.drop("number"), sink)
 
 
 def feed_to_topic_stream(spark: SparkSession, docs_path: str, start, end, sink: TopicSink,

@@ -4,13 +4,15 @@
       -> [start at latest] -> decode -> from_json -> 15 columns
       -> Parquet partitioned by date, append, checkpointed
 
-Stateless and map-only: every micro-batch reads its offset range / files in
-parallel, parses in place and writes; no shuffle, no state store. The
+Stateless: every micro-batch reads its offset range / files in parallel,
+parses in place, rebalances by date and writes; no state store. The
 processing-time trigger (5 s by default) or ``availableNow`` for backfill.
 """
 
 from __future__ import annotations
 
+from dataclasses import replace
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
@@ -34,42 +36,46 @@ def landing_stream(spark: SparkSession, src: TopicSource, schema="narrow",
     if src.kind == FILES and (src.starting == "latest" or src.starting_timestamp is not None):
         if not checkpoint:
             raise ValueError("a file-backed topic started at latest / a timestamp needs the checkpoint folder")
-        starts = start_at_latest(spark, read_topic(spark, src), checkpoint, src.starting_timestamp)
+        existing = read_topic(spark, replace(src, starting_timestamp=None))
+        starts = start_at_latest(spark, existing, checkpoint, src.starting_timestamp)
         recs = from_offsets(recs, starts)
     return parse_and_flatten(recs, schema=schema)
 
 
 def topic_to_parquet(spark: SparkSession, src: TopicSource, out_path: str,
                      checkpoint: str | None = None, trigger: dict | None = None,
-                     schema="narrow", view: str | None = None, view_sink: str = "console",
-                     query_name: str | None = None, cluster: str = "auto",
+                     schema="narrow", view: str | None = None, on_preview=None,
+                     query_name: str | None = None, cluster: str = "rebalance",
                      view_rows: int = 5) -> list[StreamingQuery]:
     """Start the landing query (and, if ``view`` names one, a live view as a
     second independent query on the same plan, with its own checkpoint).
     Returns the started queries, sink first.
 
-    cluster: write layout (see ``sinks.parquet.cluster_for_write``).
-    ``auto`` = ``range`` for ``availableNow`` (catch-up / backfill: a batch
-    spans many dates) and ``none`` for processing-time triggers (steady
-    state: one or two dates per batch, where a shuffle would buy nothing)."""
+    cluster: write layout (see ``sinks.parquet.cluster_for_write``), one
+    default for every trigger."""
     trigger = trigger or DEFAULT_TRIGGER
-    if cluster == "auto":
-        cluster = "range" if trigger.get("availableNow") else "none"
     ckpt = checkpoint or default_checkpoint(out_path)
     stream = landing_stream(spark, src, schema=schema, checkpoint=ckpt)
     qs = [parquet_append_stream(stream, out_path, ckpt, "date", trigger,
                                 query_name=query_name, cluster=cluster)]
     if view:
-        qs.append(live_view(stream, view, sink=view_sink, num_rows=view_rows,
+        qs.append(live_view(stream, view, num_rows=view_rows, on_preview=on_preview,
                             checkpoint=f"{ckpt}_view_{view}", trigger=trigger))
     return qs
 
 
 def run_available_now(queries: list[StreamingQuery], timeout_s: float | None = None) -> None:
     """Block until availableNow queries finish (``awaitTermination``);
-    re-raise a query's failure."""
+    re-raise a query's failure. A query that hasn't finished after
+    ``timeout_s`` is stopped and the call raises ``TimeoutError``: what it has
+    landed is a part."""
     for q in queries:
-        q.awaitTermination(timeout_s) if timeout_s else q.awaitTermination()
+        if timeout_s is None:
+            q.awaitTermination()
+        elif not q.awaitTermination(timeout_s):
+            for running in queries:
+                running.stop()
+            raise TimeoutError(f"query {q.name or q.id} hasn't finished after {timeout_s} s")
         if q.exception():
             raise q.exception()
 

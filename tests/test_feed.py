@@ -6,7 +6,7 @@ import os
 import pytest
 from pyspark.sql import functions as F
 
-from neoflow.operators.feed import (calendar, fan_out, missing_days, number_messages,
+from neoflow.operators.feed import (calendar, fan_out, first_numbers, missing_days, number_messages,
                                     object_counts, parse_feed, require_all_days)
 from neoflow.operators.parse import parse_and_flatten
 from neoflow.session import scratch_path
@@ -149,3 +149,104 @@ def test_cli_feed_then_land(spark):
     got = sorted(((r.date, r.object_id) for r in landed_table(spark, out).collect()),
                  key=lambda t: (t[0], -1 if t[1] is None else t[1]))
     assert got == [("2022-11-18", None), ("2022-11-18", 1), ("2022-11-19", 3), ("2022-11-19", 4)]
+
+
+def _days(spark, texts):
+    docs = spark.createDataFrame([(f"d{i}", t) for i, t in enumerate(texts)], "doc string, value string")
+    return parse_feed(docs, key_cols=["doc"])
+
+
+def _values(days, start, end):
+    return [json.loads(r.value) for r in fan_out(days, start, end, ["doc"]).orderBy("doc", "day_str", "pos").collect()]
+
+
+def test_only_exact_day_keys_are_looked_up(spark):
+    days = _days(spark, [json.dumps({"near_earth_objects": {
+        "2022-11-18T00": [{"id": "no"}], "2022-11-8": [{"id": "no"}], " 2022-11-18": [{"id": "no"}],
+        "2022-11-31": [{"id": "no"}], "2022-11-18": [{"id": "yes"}]}})])
+    assert [v["id"] for v in _values(days, "2022-11-01", "2022-11-30")] == ["yes"]
+
+
+def test_the_last_of_repeated_day_keys_counts(spark):
+    text = '{"near_earth_objects":{"2022-11-18":[{"id":"1"},{"id":"2"}],"2022-11-19":[{"id":"4"}],"2022-11-18":[{"id":"3"}]}}'
+    days = _days(spark, [text])
+    starts = first_numbers(days, "2022-11-18", "2022-11-19", "doc")
+    rows = fan_out(days, "2022-11-18", "2022-11-19", ["doc"], starts).orderBy("number").collect()
+    assert [(r.number, json.loads(r.value)["id"]) for r in rows] == [(1, "3"), (2, "4")]
+
+
+def test_the_stamp_replaces_an_old_one(spark):
+    obj = '{"current_date":"old","n":1.50,"deep":{"current_date":"stays","x":[1,null]},"s":"\\"current_date\\"","none":null}'
+    [value] = _values(_days(spark, ['{"near_earth_objects":{"2022-11-18":[' + obj + ']}}']), "2022-11-18", "2022-11-18")
+    assert value == {"n": 1.5, "deep": {"current_date": "stays", "x": [1, None]}, "s": '"current_date"', "none": None,
+                     "current_date": "2022-11-18"}
+    raw = fan_out(_days(spark, ['{"near_earth_objects":{"2022-11-18":[{"current_date":"old"}]}}']),
+                  "2022-11-18", "2022-11-18", ["doc"]).first().value
+    assert raw == '{"current_date":"2022-11-18"}'
+
+
+def test_one_digit_dates(spark):
+    assert [r.day_str for r in calendar(spark, "2022-1-8", "2022-01-09").collect()] == ["2022-01-08", "2022-01-09"]
+    days = _days(spark, ['{"near_earth_objects":{"2022-01-08":[{"id":"1"}]}}'])
+    assert len(_values(days, "2022-1-8", "2022-1-8")) == 1
+
+
+@pytest.mark.parametrize("element", ["null", "3", '"text"', "[1]"])
+def test_elements_that_are_not_objects_are_refused(spark, element):
+    days = _days(spark, ['{"near_earth_objects":{"2022-11-18":[{"id":"1"},' + element + ']}}'])
+    with pytest.raises(Exception, match="not a JSON object"):
+        _values(days, "2022-11-18", "2022-11-18")
+
+
+def test_numbers_follow_day_document_and_position(spark):
+    texts = [json.dumps({"near_earth_objects": {f"2022-11-{18 + (i + k) % 3}": [{"id": f"{i}.{k}.{j}"} for j in range((i * k) % 4)]
+                                                for k in range(3)}}) for i in range(40)]
+    days = _days(spark, texts)
+    starts = first_numbers(days, "2022-11-18", "2022-11-20", "doc")
+    rows = fan_out(days, "2022-11-18", "2022-11-20", ["doc"], starts).collect()
+    ordered = sorted(rows, key=lambda r: (r.day_str, r.doc, r.pos))
+    assert [r.number for r in ordered] == list(range(1, len(rows) + 1)) and len(rows) > 40
+
+
+def test_no_exchange_above_the_explode(spark):
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        days = _days(spark, ['{"near_earth_objects":{"2022-11-18":[{"id":"1"}]}}'])
+        numbered = fan_out(days, "2022-11-18", "2022-11-18", ["doc"], first_numbers(days, "2022-11-18", "2022-11-18", "doc"))
+        plan = numbered._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    above = plan[:plan.index("Generate posexplode")]
+    assert "Exchange" not in above and "Exchange" in plan
+
+
+def test_a_topic_partition_is_a_run_of_numbers(spark):
+    docs = _land(spark, [{"near_earth_objects": {"2022-11-18": [{"id": str(100 * i + k)} for k in range(9)]}} for i in range(6)])
+    sink = TopicSink(kind=FILES, path=scratch_path(spark, "t-runs"), topic="neo")
+    feed_to_topic(spark, docs, "2022-11-18", "2022-11-18", sink, num_partitions=4)
+    recs = read_topic(spark, TopicSource(kind=FILES, path=sink.path)).orderBy("partition", "offset").collect()
+    assert [json.loads(r.value)["id"] for r in recs] == [str(100 * i + k) for i in range(6) for k in range(9)]
+    assert sorted({r.partition for r in recs}) == [0, 1, 2, 3]
+
+
+def test_cli_takes_keys_for_object_stores_only(monkeypatch):
+    from neoflow import cli
+    parse = lambda *a: cli._parser().parse_args(["land", *a])
+    env = {"AWS_ACCESS_KEY": "k", "AWS_SECRET_ACCESS_KEY": "s"}
+    args = parse("--topic-path", "/t", "--out", "s3://bucket/x", "--checkpoint", "s3a://bucket/c", "--view", "v")
+    conf = cli.store_conf(args, env)
+    assert conf["spark.hadoop.fs.s3a.access.key"] == "k" and args.out == "s3a://bucket/x" and args.view_rows == 5
+    assert cli.store_conf(parse("--topic-path", "/t", "--out", "/o"), {}) == {}
+    with pytest.raises(KeyError):
+        cli.store_conf(parse("--topic-path", "/t", "--out", "s3://b/x"), {})
+    seen = {}
+
+    def build(extra=None):
+        seen.update(extra)
+        raise SystemExit(0)
+    monkeypatch.setattr(cli, "build_session", build)
+    for k, v in env.items():
+        monkeypatch.setenv(k, v)
+    with pytest.raises(SystemExit):
+        cli.main(["land", "--topic-path", "/t", "--out", "s3://bucket/x"])
+    assert seen["spark.hadoop.fs.s3a.secret.key"] == "s"

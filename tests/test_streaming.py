@@ -3,16 +3,19 @@ two queries on one plan, start at latest, partition routing."""
 
 import os
 
+import pytest
 from pyspark.sql import functions as F
 
-from conftest import SF001
+from conftest import SF001, SF01
 from neoflow.operators.parse import parse_and_flatten
 from neoflow.plans import fixtures as fx
 from neoflow.plans.topics_fixture import new_topic, payload_slices, payload_topic
 from neoflow.session import scratch_path
 from neoflow.sinks.parquet import landed_table
 from neoflow.sinks.topic import append_records
-from neoflow.sources.topic import FILES, TopicSource, read_topic
+from neoflow.sinks.view import live_view, memory_view_for_tests
+from neoflow.sources.topic import (FILES, TopicSource, kafka_stream_options, read_topic,
+                                   read_topic_stream)
 from neoflow.streaming.jobs import (AVAILABLE_NOW, landing_stream, run_available_now,
                                     run_until_caught_up, topic_to_parquet)
 
@@ -68,14 +71,101 @@ def test_live_view_and_sink_two_queries(spark):
     topic = payload_topic(spark, SF001)
     src = TopicSource(kind=FILES, path=topic, starting="earliest")
     out = scratch_path(spark, "t-landed-view")
-    qs = topic_to_parquet(spark, src, out, trigger={"processingTime": "1 second"},
-                          view="t_view", view_sink="memory")
+    trigger = {"processingTime": "1 second"}
+    qs = topic_to_parquet(spark, src, out, trigger=trigger)
+    qs.append(memory_view_for_tests(landing_stream(spark, src), "t_view", trigger))
     assert len(qs) == 2 and qs[0].id != qs[1].id
     run_until_caught_up(qs)
     view = spark.table("t_view")
     assert _multiset(view) == _multiset(landed_table(spark, out))
 
 
+def test_live_view_brings_few_rows_to_the_driver(spark):
+    """A view of 60,257 messages hands over five, and prints two."""
+    src = TopicSource(kind=FILES, path=payload_topic(spark, SF01), starting="earliest")
+    shown = []
+    q = live_view(landing_stream(spark, src), "t_bounded", num_rows=5, trigger=AVAILABLE_NOW,
+                  on_preview=lambda batch, rows: shown.append((batch, rows)))
+    run_available_now([q])
+    assert [len(rows) for _, rows in shown] == [5]
+    printed = live_view(landing_stream(spark, src), "t_printed", num_rows=2, trigger=AVAILABLE_NOW)
+    run_available_now([printed])
+
+
+def test_landing_reads_each_message_once_and_splits_a_hot_date(spark):
+    """A third of the rows on one date: read once, the date over several files, the others one each."""
+    path, out = scratch_path(spark, "t-hot-topic"), scratch_path(spark, "t-hot-landed")
+    day = F.when(F.col("id") % 3 == 0, F.lit("2024-01-01")).otherwise(
+        F.concat(F.lit("2024-02-1"), (F.col("id") % 7).cast("string")))
+    value = F.to_json(F.struct(day.alias("current_date"), F.col("id").cast("string").alias("id"),
+                               F.sha2(F.col("id").cast("string"), 256).alias("name")))
+    spark.range(30_000).select(value.alias("value")).select(
+        F.lit(None).cast("binary").alias("key"), F.col("value").cast("binary"), F.lit("t").alias("topic"),
+        F.lit(0).alias("partition"), F.lit(0).cast("long").alias("offset"),
+        F.current_timestamp().alias("timestamp"), F.lit(0).alias("timestampType")).write.parquet(path)
+    size = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
+    spark.conf.set(size, "256k")
+    try:
+        [q] = topic_to_parquet(spark, TopicSource(kind=FILES, path=path, starting="earliest"), out, trigger=AVAILABLE_NOW)
+        run_available_now([q])
+    finally:
+        spark.conf.unset(size)
+    assert sum(p["numInputRows"] for p in q.recentProgress) == 30_000
+    table = landed_table(spark, out)
+    files = _files_by_date(out)
+    assert table.count() == 30_000
+    assert files["2024-01-01"] > 1 and sum(files.values()) <= 4 * len(files)
+
+
+def _files_by_date(out):
+    local = out.replace("file:", "")
+    return {d.removeprefix("date="): sum(f.endswith(".parquet") for f in os.listdir(os.path.join(local, d)))
+            for d in os.listdir(local) if d.startswith("date=")}
+
+
+def test_a_run_cut_off_by_its_time_limit_fails(spark):
+    src = TopicSource(kind=FILES, path=payload_topic(spark, SF001), starting="earliest")
+    q = topic_to_parquet(spark, src, scratch_path(spark, "t-cut"), trigger={"processingTime": "1 second"})
+    with pytest.raises(TimeoutError):
+        run_available_now(q, timeout_s=1)
+    assert not q[0].isActive
+
+
+def test_file_topics_honour_or_refuse_source_settings(spark):
+    recs = fx.event_records(spark, SF001)
+    path = scratch_path(spark, "t-settings")
+    recs.write.parquet(path)
+    source = lambda **more: TopicSource(kind=FILES, path=path, **{"starting": "earliest", **more})
+    topics = lambda **more: {r[0] for r in read_topic(spark, source(**more)).select("topic").distinct().collect()}
+    assert topics(topic="click") == {"click"}
+    assert topics(topic="click, view") == {"click", "view"}
+    assert topics(pattern="cl.*") == {"click"} and topics(pattern="cl") == set()
+    assert len(topics()) > 2
+    assert read_topic(spark, source(starting_timestamp=4_102_444_800_000)).count() == 0
+    assert read_topic(spark, source(starting_timestamp=0)).count() == recs.count()
+    with pytest.raises(ValueError):
+        read_topic(spark, source(starting='{"click":{"0":5}}'))
+    with pytest.raises(ValueError):
+        read_topic_stream(spark, source(starting='{"click":{"0":5}}'))
+    with pytest.raises(ValueError):
+        read_topic(spark, source(), ending='{"click":{"0":5}}')
+    stream = read_topic_stream(spark, source(topic="view"))
+    run_until_caught_up([memory_view_for_tests(stream.select("topic"), "t_subscribed")])
+    assert {r[0] for r in spark.table("t_subscribed").distinct().collect()} == {"view"}
+    assert kafka_stream_options(TopicSource(kind="kafka", bootstrap="b", topic="t", starting_timestamp=5))[
+        "startingOffsetsByTimestampStrategy"] == "latest"
+
+
+def test_start_table_survives_a_crash_in_its_first_write(spark):
+    from neoflow.operators.offsets import START_OFFSETS_SUBDIR, start_at_latest
+    ckpt = scratch_path(spark, "t-crash")
+    os.makedirs(os.path.join(ckpt.replace("file:", ""), START_OFFSETS_SUBDIR, "_temporary"))
+    existing = fx.event_records(spark, SF001)
+    n = existing.select("topic", "partition").distinct().count()
+    assert start_at_latest(spark, existing, ckpt).count() == n
+    assert start_at_latest(spark, existing.limit(0), ckpt).count() == n  # read back, not written again
+
+
 def test_start_at_latest_skips_existing_and_survives_restart(spark):
     sink = new_topic(spark, "t-latest", "objects")
     slices = payload_slices(spark, SF001)
