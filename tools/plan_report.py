@@ -20,7 +20,7 @@ from neoflow.plans.registry import COVERS, QUERIES  # noqa: E402
 from neoflow.session import build_session  # noqa: E402
 
 STREAMING = {"landed_date_range", "stream_to_parquet", "str_01_processing_time", "stream_restart", "stream_rate_limited",
-             "live_view", "src_04_fail_on_data_loss", "str_04_partition_routing", "start_at_latest",
+             "live_view", "live_view_preview", "stream_batches_counted", "src_01_feed_scan", "src_04_fail_on_data_loss", "str_04_partition_routing", "start_at_latest",
              "lines_to_records", "records_to_lines", "feed_to_topic", "feed_emission_order"}
 
 
@@ -61,8 +61,7 @@ def main(argv):
     spark.sparkContext.setLogLevel("ERROR")
     print("# PLANS\n")
     print(f"Physical plans (before AQE re-planning) of the batch queries at `{sf_dir}`, "
-          "from `tools/plan_report.py`. Shuffles are `Exchange` nodes; RoundRobin ones come from "
-          "`plans.tables.spread` on single-file test tables and vanish with many input splits. "
+          "from `tools/plan_report.py`. Shuffles are `Exchange` nodes. "
           "Broadcasts are AQE/planner size-checked, never hinted.\n")
     print("| Query | Covers | Shuffles | Single-partition | Broadcast | Window | Agg (hash/sort) | Codegen stages | Scans: columns read / pushed filters |")
     print("| --- | --- | --- | --- | --- | --- | --- | --- | --- |")
