@@ -87,8 +87,9 @@ def duplicate_bitmaps(messages: DataFrame) -> DataFrame:
     """``messages(sender, chunk, owner, blob)``, written and so fixed, -> the
     owners' answers (sender, chunk, owner, bitmap). An owner's group is bounded
     by PER_OWNER; only codes and bitmaps travel."""
+    # A given number of partitions: codes are small, and owners packed by size would decode in a few tasks.
     return (messages.select("sender", "chunk", "owner", "blob")
-            .groupBy("owner")
+            .repartition(shuffle_width(messages), "owner").groupBy("owner")
             .applyInPandas(_answer, "sender long, chunk long, owner long, bitmap binary"))
 
 

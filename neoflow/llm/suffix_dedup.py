@@ -10,9 +10,12 @@ who has to be compared with whom is a distributed job, comparing them a BWT:
    Golomb-coded exchange finds anchors that occur twice.
 3. Occurrences whose whole surroundings (all strings around the anchor) are
    equal need no further look: all but the first go.
-4. What is left, one place for each different surroundings of an anchor, is
-   split by the longer common core of its strings (67 or 66 bytes) and sorted
-   into shards of bounded size. Each shard's BWT is extended backwards breadth first:
+4. What is left is one place for each different surroundings of an anchor. Texts
+   that such anchors connect form groups; the regions around their places go to
+   shards, whole groups to each. Places of anchors with more than LINKED
+   surroundings, and of groups with more than GROUP places, are instead
+   split by the longer common core of their strings (67 or 66 bytes), which
+   bounds them. Each shard's BWT is extended backwards breadth first:
    after step k it is known which neighbours in the suffix array agree in k
    bytes; it stops at LENGTH. In an interval of equal strings all but the first go.
    Cores with more than HOT surroundings are compared string by string instead.
@@ -29,6 +32,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from neoflow.llm.components import components
 from neoflow.llm.golomb import Universe, flags, rice_decode, shuffle_width, with_bitmaps
 from neoflow.session import scratch_path
 
@@ -42,11 +46,13 @@ BLOCK = 1 << 17
 #: Anchors that are coded together.
 CHUNK = 1_000_000
 #: Bytes of a shard.
-SHARD = 1 << 20
+SHARD = 1 << 18
+#: Surroundings of an anchor up to which it connects texts, and places of connected texts that share a shard.
+LINKED, GROUP = 16, 20_000
 #: Surroundings of one core up to which they meet in a shard.
 HOT = 4_000
 #: Rows up to which a table joined with texts is broadcast (ids and places, 40 bytes each).
-BROADCAST_ROWS = 400_000
+BROADCAST_ROWS = 1_000_000
 
 _LAST_ID = (1 << 63) - 1
 _rng = np.random.default_rng(11)
@@ -154,15 +160,19 @@ def _suspects(batches):
                 names=["anchor", "around", "id", "tkey", "place"])
 
 
-_PART = "core long, id long, tkey long, start long, part binary"
+_PART = "region boolean, core long, id long, tkey long, start long, part binary"
 
 
 def _parts(batches):
-    """Of each text's places, the strings around: those with more of their bytes before the anchor, and the rest."""
+    """Of each text, the regions around places that meet their group; of other places the
+    strings around: those with more of their bytes before the anchor, and the rest."""
     for batch in batches:
-        out = {"core": [], "id": [], "tkey": [], "start": [], "part": []}
-        for ident, tkey, text, places in zip(*(c.to_pylist() for c in batch.columns)):
+        out = {"region": [], "core": [], "id": [], "tkey": [], "start": [], "part": []}
+        for ident, tkey, text, group, grouped, places in zip(*(c.to_pylist() for c in batch.columns)):
             n = len(text)
+            for a, b in merged([(max(0, p - REACH), min(n, p + LENGTH)) for p in grouped]):
+                for k, v in zip(out, (True, group, ident, tkey, a, text[a:b])):
+                    out[k].append(v)
             for p in places:
                 for low, high in ((0, HALF), (HALF + 1, REACH)):
                     # strings that start ``low`` to ``high`` bytes before p; all hold the core
@@ -172,16 +182,21 @@ def _parts(batches):
                     start, end = max(0, p - high), min(n, p - low + LENGTH)
                     if end - start >= LENGTH:
                         core = xxhash.xxh64_intdigest(text[a:b], seed=low)
-                        for k, v in zip(out, (core - (1 << 63), ident, tkey, start, text[start:end])):
+                        for k, v in zip(out, (False, core - (1 << 63), ident, tkey, start, text[start:end])):
                             out[k].append(v)
-        yield pa.RecordBatch.from_arrays([*(pa.array(out[k], pa.int64()) for k in ("core", "id", "tkey", "start")),
+        yield pa.RecordBatch.from_arrays([pa.array(out["region"], pa.bool_()),
+                                          *(pa.array(out[k], pa.int64()) for k in ("core", "id", "tkey", "start")),
                                           pa.array(out["part"], pa.binary())], names=list(out))
 
 
 def suffix_array(symbols: np.ndarray, depth: int) -> tuple[np.ndarray, np.ndarray]:
-    """Order of the suffixes by at least ``depth`` symbols, and each suffix's place in it (prefix doubling)."""
+    """Order of the suffixes by at least ``depth`` symbols (below 512), and each suffix's place
+    in it: seven symbols packed into one key, then prefix doubling."""
     n = len(symbols)
-    rank, k = symbols.astype(np.int64), 1
+    key, k = np.zeros(n, np.int64), 7
+    for j in range(k):
+        key[:max(0, n - j)] |= symbols[j:].astype(np.int64) << (9 * (k - 1 - j))
+    rank = np.unique(key, return_inverse=True)[1].astype(np.int64)
     order = np.argsort(rank, kind="stable")
     while k < depth:
         follow = np.zeros(n, np.int64)
@@ -232,11 +247,10 @@ def repeated_starts(parts: list[bytes], where: list[tuple[int, int, int]], lengt
     symbols = np.zeros(int(ends[-1]) + 1, np.int64)
     text = np.ones(len(symbols), bool)
     text[ends] = False
-    symbols[text] = np.frombuffer(b"".join(parts), np.uint8).astype(np.int64) + len(parts)
-    symbols[ends] = np.arange(len(parts))  # each separator is a symbol of its own
+    symbols[text] = np.frombuffer(b"".join(parts), np.uint8).astype(np.int64) + 1  # 0 parts them
     order, boundary = equal_runs(symbols, length)
     part = np.searchsorted(ends, order)
-    inside = ends[part] - order >= length  # others hold a separator, so stand alone
+    inside = ends[part] - order >= length  # others hold a separator, so equal none of these
     offset = order - (ends[part] - sizes[part])
     rank = np.empty(len(parts), np.int64)  # place of the part's text in the order of texts
     texts = sorted({w[:2] for w in where})
@@ -316,6 +330,16 @@ def merged(runs: list[tuple[int, int]]) -> list[tuple[int, int]]:
     return out
 
 
+def _joined(batches):
+    """Each text's intervals as maximal runs."""
+    kind = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))
+    for batch in batches:
+        runs = [[{"start": a, "end": b} for a, b in merged([(r["start"], r["end"]) for r in rows])]
+                for rows in batch.column(2).to_pylist()]
+        yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(runs, kind)],
+                                         names=["id", "tkey", "runs"])
+
+
 def _removed(with_kept: bool):
     fields = pa.schema([("doc_id", pa.int64()), ("n_bytes", pa.int64()),
                         ("spans", pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))),
@@ -390,16 +414,34 @@ def remove_repeats(docs: DataFrame, with_kept: bool = True) -> DataFrame:
              .select("id", "tkey", F.greatest(F.col("place") - REACH, F.lit(0)).alias("start"),
                      (F.col("place") + LENGTH).alias("end")))
 
-    several = around.groupBy("anchor").agg(F.count("*").alias("n")).filter("n > 1").select("anchor")
-    open_places = _written(around.join(several, "anchor").select("first.*")
-                           .groupBy("id", "tkey").agg(F.collect_set("place").alias("places")), "places")
-    parts = _written(source.join(_small(open_places, int(open_places.agg(
-                        F.coalesce(F.sum(F.size("places") + 4), F.lit(0))).first()[0])), ["id", "tkey"])
-                     .select("id", "tkey", "text", "places").mapInArrow(_parts, _PART), "parts")
+    node = lambda c: F.struct(F.col(f"{c}.id").alias("id"), F.col(f"{c}.tkey").alias("tkey"))
+    several = (around.groupBy("anchor").agg(F.count("*").alias("n"), F.min("first").alias("hub")).filter("n > 1"))
+    places = _written(around.join(several, "anchor")
+                      .select(node("first").alias("node"), node("hub").alias("hub"), "n", "first.place"), "places")
+    group = components(places.filter(F.col("n") <= LINKED).select(F.col("node").alias("a"), F.col("hub").alias("b")))
+    placed = (places.join(group, "node", "left")
+              .select("node", "place", "n", F.coalesce("component", "node").alias("component")))
+    large = (placed.filter(F.col("n") <= LINKED).groupBy("component").agg(F.count("*").alias("size"))
+             .filter(F.col("size") > GROUP).select("component", F.lit(True).alias("large")))
+    meets = (F.col("n") <= LINKED) & F.col("large").isNull()
+    own = (placed.join(large, "component", "left")
+           .groupBy(F.col("node.id").alias("id"), F.col("node.tkey").alias("tkey"))
+           .agg(F.xxhash64(F.first("component")).alias("group"),
+                F.collect_set(F.when(meets, F.col("place"))).alias("grouped"),
+                F.collect_set(F.when(~meets, F.col("place"))).alias("places")))
+    own = _written(own, "own")
+    weight = int(own.agg(F.coalesce(F.sum(F.size("grouped") + F.size("places") + 5), F.lit(0))).first()[0])
+    parts = _written(source.join(_small(own, weight), ["id", "tkey"])
+                     .select("id", "tkey", "text", "group", "grouped", "places").mapInArrow(_parts, _PART), "parts")
+
+    def compared(rows: DataFrame) -> DataFrame:
+        return (rows.repartition(shuffle_width(docs), "core").sortWithinPartitions("core")
+                .select("core", "id", "tkey", "start", "part").mapInArrow(_sharded, _RUN))
+
+    regions = compared(parts.filter("region"))
+    parts = parts.filter("not region")
     cores = _written(parts.groupBy("core").agg(F.count("*").alias("n")).filter("n > 1"), "cores")
-    cold = (parts.join(cores.filter(F.col("n") <= HOT), "core", "left_semi")
-            .repartition("core").sortWithinPartitions("core").select("core", "id", "tkey", "start", "part")
-            .mapInArrow(_sharded, _RUN))
+    cold = compared(parts.join(cores.filter(F.col("n") <= HOT), "core", "left_semi"))
     strings = (parts.join(cores.filter(F.col("n") > HOT), "core", "left_semi").select("id", "tkey", "start", "part")
                .mapInArrow(_strings, "string binary, id long, tkey long, start long"))
     at = F.struct("id", "tkey", "start")
@@ -407,8 +449,9 @@ def remove_repeats(docs: DataFrame, with_kept: bool = True) -> DataFrame:
     hot = (strings.join(least, "string").filter(at != F.col("first"))
            .select("id", "tkey", "start", (F.col("start") + LENGTH).alias("end")))
 
-    runs = whole.union(cold).union(hot)
-    runs = _written(runs.groupBy("id", "tkey").agg(F.collect_set(F.struct("start", "end")).alias("runs")), "runs")
+    runs = whole.union(regions).union(cold).union(hot)
+    runs = _written(runs.groupBy("id", "tkey").agg(F.collect_set(F.struct("start", "end")).alias("runs"))
+                    .mapInArrow(_joined, "id long, tkey long, runs array<struct<start:bigint,end:bigint>>"), "runs")
     touched = (runs.select("id", "tkey", F.lit(False).alias("copy"), "runs")
                .unionByName(copies.select("id", "tkey", F.lit(True).alias("copy"), F.lit(None).cast(
                    runs.schema["runs"].dataType).alias("runs"))))

@@ -137,10 +137,11 @@ def spans_of(docs):
                           r["kept_sha"].hex()) for r in suffix_dedup.remove_repeats(docs).collect()}
 
 
-@pytest.mark.parametrize("hot", [4_000, 2])
-def test_suffix_dedup_edges(spark, monkeypatch, hot):
+@pytest.mark.parametrize("hot, linked, group", [(4_000, 16, 20_000), (2, 1, 20_000), (4_000, 16, 3)])
+def test_suffix_dedup_edges(spark, monkeypatch, hot, linked, group):
     """Edges of texts, periodic texts, hot cores, shared passages, strings one byte too short."""
-    monkeypatch.setattr(suffix_dedup, "HOT", hot)
+    for name, value in (("HOT", hot), ("LINKED", linked), ("GROUP", group)):
+        monkeypatch.setattr(suffix_dedup, name, value)
     rng = random.Random(9)
     words = lambda n: " ".join(prose(n, rng.random(), 900))
     shared, line = words(40)[:150], words(12)[:60]
