@@ -126,6 +126,33 @@ def test_linked_sets_share_a_signature():
                     assert np.intersect1d(index.signatures(a), index.signatures(b)).size
 
 
+def linked_pairs(t, size, n, rng):
+    """Pairs of sets that differ in as many tokens as they may, tokens missing from either in turn."""
+    while n:
+        pool = np.unique(rng.integers(0, 1 << 64, 2 * size, dtype=np.uint64))
+        a = np.sort(rng.choice(pool, size, replace=False))
+        more = int(rng.integers(0, t.largest(size) - size + 1))
+        drop = max(0, int(t.differ(size, size + more)) - more) // 2
+        b = np.sort(np.concatenate([rng.permutation(a)[drop:], rng.permutation(np.setdiff1d(pool, a))[:drop + more]]))
+        if t.linked(len(np.intersect1d(a, b)), len(a), len(b)):
+            n -= 1
+            yield a, b
+
+
+def test_linked_small_sets_share_a_signature_with_any_number_of_sets():
+    """Empty segments that are allotted 2 too: their number grows with that of the sets."""
+    rng, t = np.random.default_rng(2), Threshold(80, 100)
+    lost = {}
+    for sets in (10 ** 5, 10 ** 6, 10 ** 7, 10 ** 8, 10 ** 9):
+        for size in range(4, 17):
+            index = Index({b: sets for b in range(band_of(size) + 3)}, t)
+            n = sum(not np.intersect1d(index.signatures(a), index.signatures(b)).size
+                    for a, b in linked_pairs(t, size, 200, rng))
+            if n:
+                lost[sets, size] = n
+    assert not lost
+
+
 def test_suffix_dedup_on_the_small_table(spark):
     docs = spark.read.parquet(f"{SF001}/documents.parquet")
     rows = [(r["doc_id"], r["text"]) for r in docs.select("doc_id", "text").collect()]
