@@ -1,12 +1,13 @@
 """Exact dedup, suffix dedup and the Jaccard join against brute force, with edge rows."""
 
+import itertools
 import random
 
 import numpy as np
 import pytest
 from helpers import SCHEMA, exact_groups, jaccard_components, remove_repeats, sha
 
-from neoflow.llm import golomb, suffix_dedup
+from neoflow.llm import golomb, jaccard_join, suffix_dedup
 from neoflow.llm.components import components
 from neoflow.llm.exact_dedup import drop_copies, exact_dedup
 from neoflow.llm.jaccard_join import Index, Threshold, band_of, component_ids, keep_one
@@ -153,6 +154,33 @@ def test_linked_small_sets_share_a_signature_with_any_number_of_sets():
     assert not lost
 
 
+def test_unlike_sets_share_no_empty_segment():
+    rng, t = np.random.default_rng(3), Threshold(80, 100)
+    index = Index({b: 10 ** 4 for b in range(20)}, t)
+    for size in (60, 163, 291, 402, 523):
+        sigs = np.concatenate([np.unique(index.signatures(np.unique(rng.integers(0, 1 << 64, size, dtype=np.uint64))))
+                               for _ in range(500)])
+        assert np.unique(sigs, return_counts=True)[1].max() <= 5
+
+
+def test_large_group_of_one_segment_in_blocks(spark, near_rows, monkeypatch):
+    """Every two sets meet once, whatever the number of blocks; the links are the same."""
+    rows = [(7, i, i) for i in range(60)] + [(8, i, i) for i in range(3)]
+    placed = spark.createDataFrame(rows, "sig long, sid long, component long")
+    sizes = spark.createDataFrame([(7, 60), (8, 3)], "sig long, sets long")
+    monkeypatch.setattr(jaccard_join, "MEET", 9)
+    groups: dict = {}
+    for r in jaccard_join.in_blocks(placed, sizes).collect():
+        groups.setdefault((r["sig"], r["low"], r["high"]), []).append((r["sid"], r["block"]))
+    met = [(sig, *sorted((a, b))) for (sig, low, high), g in groups.items()
+           for (a, x), (b, y) in itertools.combinations(g, 2) if low == high or x != y]
+    assert sorted(met) == [(s, a, b) for s, n in ((7, 60), (8, 3)) for a, b in itertools.combinations(range(n), 2)]
+    assert max(map(len, groups.values())) < 40
+    monkeypatch.setattr(jaccard_join, "MEET", 2)
+    got = {r[0]: (r[1], r[2]) for r in component_ids(frame(spark, near_rows), 3, 60, 100).collect()}
+    assert got == jaccard_components(near_rows, 3, 60, 100)
+
+
 def test_suffix_dedup_on_the_small_table(spark):
     docs = spark.read.parquet(f"{SF001}/documents.parquet")
     rows = [(r["doc_id"], r["text"]) for r in docs.select("doc_id", "text").collect()]
