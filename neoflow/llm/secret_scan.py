@@ -36,10 +36,10 @@ _LEAST = {"assign": 6, "access": 20}
 _STRING = re.compile("[A-Za-z0-9+/_=-]{20,}")
 _HEX_ANY = re.compile("[0-9a-f]+|[0-9A-F]+")
 _UUID = re.compile("[0-9a-fA-F]{8}(?:-[0-9a-fA-F]{4}){3}-[0-9a-fA-F]{12}")
-#: Words, numbers or CamelCase parts joined by one kind of separator.
-_IDENTIFIER = re.compile(r"(?:[A-Z]?[a-z]{2,}|[A-Z]{2,12}|\d{1,8})(?:[-_/]?(?:[A-Z][a-z]+|[a-z]{2,}|[A-Z]{2,12}|\d{1,8}))*")
-#: An identifier's parts have four characters or more on average; a random string's have two.
-_PART = re.compile(r"[A-Z]?[a-z]+|[A-Z]+|\d+")
+#: Parts of an identifier: CamelCase words, letters of one case, numbers; one separator between two of them at most.
+_PART = re.compile(r"[A-Z]?[a-z]+|[A-Z]+(?![a-z])|[0-9]+")
+_SEPARATORS = re.compile(r"[-_/]")
+_LETTERS_DIGITS = re.compile(r"[A-Za-z0-9]+")
 
 
 @lru_cache(maxsize=1)
@@ -62,11 +62,23 @@ def base_spans(text: str) -> list[tuple[str, int, int]]:
     return out + [("hex", *m.span()) for m in _HEX.finditer(text)]
 
 
-def is_known(s: str) -> bool:
+def is_identifier(s: str, encoding) -> bool:
+    """Words, numbers or CamelCase parts joined by single separators. They have four characters or more
+    on average and their letters take few tokens; a random string's parts don't."""
+    pieces = _SEPARATORS.split(s)
+    if not all(map(_LETTERS_DIGITS.fullmatch, pieces)):
+        return False
+    parts = [p for piece in pieces for p in _PART.findall(piece)]
+    words = [p for p in parts if p[0] > "9"]
+    if any(len(w) < 2 for w in words) or 4 * len(parts) > len(s):
+        return False
+    tokens = sum(len(encoding.encode_ordinary(w)) for w in words)
+    return sum(map(len, words)) >= MAX_RATIO_LETTERS * tokens
+
+
+def is_known(s: str, encoding) -> bool:
     """Digests and identifiers, which aren't secrets however few characters a token has."""
-    if _UUID.fullmatch(s) or (len(s) in DIGESTS and _HEX_ANY.fullmatch(s)):
-        return True
-    return bool(_IDENTIFIER.fullmatch(s)) and 4 * len(_PART.findall(s)) <= len(s)
+    return bool(_UUID.fullmatch(s) or (len(s) in DIGESTS and _HEX_ANY.fullmatch(s))) or is_identifier(s, encoding)
 
 
 def is_random(s: str, encoding) -> bool:
@@ -82,7 +94,7 @@ def spans(text: str | None, encoding) -> list[tuple[str, int, int]]:
     out = base_spans(text)
     for m in _STRING.finditer(text):
         a, b = m.span()
-        if not any(s < b and a < e for _, s, e in out) and not is_known(m[0]) and is_random(m[0], encoding):
+        if not any(s < b and a < e for _, s, e in out) and not is_known(m[0], encoding) and is_random(m[0], encoding):
             out.append(("random", a, b))
     return sorted(out, key=lambda x: (x[1], KINDS.index(x[0])))
 

@@ -286,6 +286,18 @@ def test_token_efficiency():
         assert not secret_scan.spans(f"a {known} b", encoding), known
 
 
+def test_random_strings_of_one_case_and_long_paths():
+    encoding = secret_scan.vocabulary(RANKS)
+    rng = random.Random(9)
+    lower, upper, digits = "abcdefghijklmnopqrstuvwxyz", "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "0123456789"
+    for chars, length, least in ((lower, 20, 0.6), (lower, 32, 0.75), (upper, 20, 0.85), (upper, 32, 0.95),
+                                 (lower + digits, 20, 0.96), (lower + digits, 32, 0.985)):
+        hits = [len(secret_scan.spans("".join(rng.choice(chars) for _ in range(length)), encoding)) for _ in range(500)]
+        assert sum(hits) >= least * 500, (chars, length)
+    for path in ("src/components/navigation/header/", "usr/local/share/applications/" * 3000, "SomeLongName" * 3000 + "/"):
+        assert not secret_scan.spans(path, encoding), path[:40]
+
+
 def test_secret_scan_edges(spark):
     rows = [(1, None), (2, ""), (3, "x" * 200_000 + " password=abc123"), (3, "token: short"), (None, "😀 secret='a1b2c3d4'")]
     got = [(r["doc_id"], [tuple(x) for x in r["found"]]) for r in secret_scan.scan(frame(spark, rows), RANKS).collect()]
