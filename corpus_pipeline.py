@@ -37,11 +37,10 @@ def benchmark_decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str)
 
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The pieces of all documents with their sequence and offset."""
+    """Packed sequences are written; returned are the pieces read back from them, with sequence and offset."""
     import public_tokenizers
 
-    return packing.pack(docs, public_tokenizers.path("word_bpe_49k.json"), with_ids=False).select(
-        "doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset")
+    return packing.packed_pieces(docs, public_tokenizers.path("word_bpe_49k.json"))
 
 
 STAGES = [

@@ -343,11 +343,27 @@ def padded_length(tokens):
 
 
 def sequences(packed: DataFrame) -> DataFrame:
-    """(sequence_id, tokens, padded, ids): the packed sequences themselves, at most WINDOW ids each."""
-    parts = F.transform(F.array_sort(F.collect_list(F.struct("offset", "ids"))), lambda x: F.hex(x["ids"]))
-    return (packed.groupBy("sequence_id")
-            .agg(F.sum("length").alias("tokens"), F.unhex(F.array_join(parts, "")).alias("ids"))
-            .select("sequence_id", "tokens", padded_length(F.col("tokens")).alias("padded"), "ids"))
-
-
-__all__ = ["Places", "WordTokenizer", "combinations", "nnls", "pack", "padded_length", "sequences", "solve"]
+    """(sequence_id, tokens, padded, ids, pieces): the packed sequences themselves, at most WINDOW ids
+    each, with what lies where in them (offset, doc_id, start, length, doc_tokens)."""
+    place = ("offset", "doc_id", "start", "length", "doc_tokens")
+    parts = F.array_sort(F.collect_list(F.struct(*place, "ids")))
+    return (packed.groupBy("sequence_id").agg(F.sum("length").alias("tokens"), parts.alias("parts"))
+            .select("sequence_id", "tokens", padded_length(F.col("tokens")).alias("padded"),
+                    F.unhex(F.array_join(F.transform("parts", lambda x: F.hex(x["ids"])), "")).alias("ids"),
+                    F.transform("parts", lambda x: F.struct(*(x[c].alias(c) for c in place))).alias("pieces")))
+
+
+def packed_pieces(docs: DataFrame, tokenizer_path: str) -> DataFrame:
+    """Packs ``docs``, writes the sequences and reads each piece back from its place in them: (doc_id,
+    start, length, ids_crc32, doc_tokens, sequence_id, offset)."""
+    path = scratch_path(docs.sparkSession, "packing-sequences")
+    sequences(pack(docs, tokenizer_path)).write.parquet(path)
+    ids = F.col("ids")
+    at = lambda x: F.substring(ids, (4 * x["offset"] + 1).cast("int"), (4 * x["length"]).cast("int"))
+    rows = F.transform("pieces", lambda x: F.struct(
+        *(x[c].alias(c) for c in ("doc_id", "start", "length", "doc_tokens", "offset")), F.crc32(at(x)).alias("ids_crc32")))
+    return (docs.sparkSession.read.parquet(path).select("sequence_id", F.explode(rows).alias("x"))
+            .select("x.doc_id", "x.start", "x.length", "x.ids_crc32", "x.doc_tokens", "sequence_id", "x.offset"))
+
+
+__all__ = ["Places", "WordTokenizer", "combinations", "nnls", "pack", "packed_pieces", "padded_length", "sequences", "solve"]

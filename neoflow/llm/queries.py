@@ -84,9 +84,8 @@ def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
-    from neoflow.llm.packing import pack
-    return pack(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"), with_ids=False).select(
-        "doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset")
+    from neoflow.llm.packing import packed_pieces
+    return packed_pieces(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
 
 
 def _joined(spans):
@@ -154,9 +153,9 @@ def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
     from neoflow.llm.suffix_dedup import remove_repeats
     length = F.transform("spans", lambda x: x["end"] - x["start"])
-    return remove_repeats(table(spark, sf_dir, "documents"), with_kept=False).select(
+    return remove_repeats(table(spark, sf_dir, "documents")).select(
         "doc_id", "n_bytes", F.aggregate(length, F.lit(0).cast("long"), lambda a, x: a + x).alias("n_removed"),
-        F.size("spans").cast("long").alias("n_spans"), F.lower(F.hex("kept_sha")).alias("kept_sha256"))
+        F.size("spans").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"))
 
 
 @register("op6_licenses")

@@ -3,6 +3,7 @@
 import hashlib
 import random
 from collections import Counter, defaultdict
+from zlib import crc32
 
 import numpy as np
 import public_tokenizers
@@ -115,6 +116,21 @@ def test_packing_the_small_table(spark):
         assert len(r["ids"]) == 4 * r["tokens"] and r["padded"] in (4096, r["tokens"])
 
 
+def test_queries_read_ids_and_kept_bytes_of_the_real_output(spark, monkeypatch):
+    """Digests follow the operators' ids and bytes: with other ones they are others."""
+    from neoflow.llm import queries, suffix_dedup
+    real = packing.pack
+    monkeypatch.setattr(packing, "pack", lambda *a, **k: real(*a, **k).withColumn(
+        "ids", F.when(F.col("ids").isNotNull(), F.unhex(F.repeat(F.lit("01000000"), F.col("length").cast("int"))))))
+    got = queries.op2(spark, SF001).collect()
+    assert len(got) > 100 and all(r["ids_crc32"] == crc32(b"\x01\0\0\0" * r["length"]) for r in got)
+    rows = spark.createDataFrame([(1, 3, [], b"-", b"abc")], "doc_id long, n_bytes long, spans array<struct<start:long,end:long>>, "
+                                 "kept_sha binary, kept binary")
+    monkeypatch.setattr(suffix_dedup, "remove_repeats", lambda docs, with_kept=True: rows.withColumn(
+        "kept", F.when(F.lit(with_kept), F.col("kept"))))
+    assert [r["kept_sha256"] for r in queries.op7(spark, SF001).collect()] == [sha("abc")]
+
+
 def test_packing_edges(spark):
     assert packing.pack(frame(spark, []), TOKENIZER).count() == 0
     got = packing.pack(frame(spark, [(1, "a"), (1, "a"), (None, None)]), TOKENIZER, with_ids=False).collect()
