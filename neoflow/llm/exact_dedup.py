@@ -19,7 +19,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from neoflow.llm.golomb import Universe, flags, shuffle_width, with_bitmaps
+from neoflow.llm.golomb import Universe, answered, shuffle_width, with_bitmaps
 from neoflow.llm.rows import select_rows
 from neoflow.session import scratch_path
 
@@ -65,7 +65,7 @@ def _sender(universe: Universe):
 def _unpack(batches):
     for batch in batches:
         for r in batch.to_pylist():
-            hit = flags(r["bitmap"], len(r["uid"]))
+            hit = answered(r["blob"], r["bitmap"])[1]
             yield pa.RecordBatch.from_arrays(
                 [*(pa.array(r[c], pa.int64()) for c in ("uid", "doc_id", "tkey")),
                  pa.array(r["sha"], pa.binary()), pa.array(hit)],
@@ -96,12 +96,12 @@ def exact_dedup(docs: DataFrame) -> DataFrame:
     path = scratch_path(spark, "exact-dedup-messages")
     docs.mapInArrow(_sender(universe), _MESSAGE).write.parquet(path)
 
-    answered = scratch_path(spark, "exact-dedup-rows")
+    done = scratch_path(spark, "exact-dedup-rows")
     (with_bitmaps(spark.read.parquet(path), n)
-     .select("uid", "doc_id", "tkey", "sha", "bitmap")
+     .select("uid", "doc_id", "tkey", "sha", "blob", "bitmap")
      .mapInArrow(_unpack, "uid long, doc_id long, tkey long, sha binary, suspect boolean")
-     .write.parquet(answered))
-    rows = spark.read.parquet(answered)
+     .write.parquet(done))
+    rows = spark.read.parquet(done)
     suspects = rows.filter("suspect")
 
     ids = suspects.select("doc_id").distinct()

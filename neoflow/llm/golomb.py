@@ -1,6 +1,7 @@
 """Golomb-Rice codes of sorted integers, and the duplicate-finding exchange
-built on them: senders ship sorted compressed fingerprints to hash owners and
-get back one bit per fingerprint that says whether it occurs more than once.
+built on them: senders ship sorted compressed fingerprints to hash owners, each
+distinct one of a chunk once, and get back one bit for each that says whether it
+occurs more than once.
 """
 
 from __future__ import annotations
@@ -12,7 +13,8 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-#: Fingerprints an owner holds at once (8 bytes each, once decoded).
+#: Fingerprints an owner holds at once on average (8 bytes each, once decoded); copies of one
+#: count once a chunk of a sender, so a group of copies adds no more than there are chunks.
 PER_OWNER = 2_000_000
 #: Extra fingerprint bits over log2(number of fingerprints): one false suspect in 2**EXTRA_BITS.
 EXTRA_BITS = 8
@@ -49,6 +51,31 @@ def rice_decode(blob: bytes) -> np.ndarray:
     return np.cumsum(gaps)
 
 
+def counted_encode(values: np.ndarray) -> bytes:
+    """Sorted non-negative integers -> the distinct ones, which of them repeat, and how often."""
+    distinct, counts = np.unique(np.asarray(values, np.int64), return_counts=True)
+    at = np.flatnonzero(counts > 1)
+    codes = rice_encode(distinct), rice_encode(at), rice_encode(np.cumsum(counts[at]))
+    return struct.pack("<II", *map(len, codes[:2])) + b"".join(codes)
+
+
+def counted_decode(blob: bytes) -> tuple[np.ndarray, np.ndarray]:
+    """(distinct values, how often each occurs)."""
+    first, second = struct.unpack_from("<II", blob)
+    first, second = 8 + first, 8 + first + second
+    distinct = rice_decode(blob[8:first])
+    counts = np.ones(len(distinct), np.int64)
+    counts[rice_decode(blob[first:second])] = np.diff(rice_decode(blob[second:]), prepend=0)
+    return distinct, counts
+
+
+def answered(blob: bytes, bitmap: bytes) -> tuple[np.ndarray, np.ndarray]:
+    """A message's values, repeats included, and whether each occurs again anywhere."""
+    distinct, counts = counted_decode(blob)
+    hit = np.unpackbits(np.frombuffer(bitmap, np.uint8), count=len(distinct)).astype(bool)
+    return np.repeat(distinct, counts), np.repeat(hit, counts)
+
+
 class Universe:
     """Owners and the value range of each, from the number of fingerprints."""
 
@@ -68,25 +95,24 @@ class Universe:
         order = np.lexsort((value, owner))
         cuts = np.flatnonzero(np.diff(owner[order])) + 1
         for part in np.split(order, cuts) if len(order) else ():
-            yield int(owner[part[0]]), part, rice_encode(value[part])
+            yield int(owner[part[0]]), part, counted_encode(value[part])
 
 
 def _answer(group: pd.DataFrame) -> pd.DataFrame:
-    """One owner: a bitmap for each message, 1 where the value occurs again in
+    """One owner: a bitmap for each message, 1 where the distinct value occurs again in
     any message of this owner (its own included)."""
-    lists = [rice_decode(b) for b in group["blob"]]
-    every = np.concatenate(lists)
-    values, counts = np.unique(every, return_counts=True)
-    again = values[counts > 1]
-    maps = [np.packbits(np.isin(x, again, kind="sort")).tobytes() for x in lists]
+    lists = [counted_decode(b) for b in group["blob"]]
+    values, senders = np.unique(np.concatenate([x for x, _ in lists]), return_counts=True)
+    several = values[senders > 1]
+    maps = [np.packbits((counts > 1) | np.isin(x, several, kind="sort")).tobytes() for x, counts in lists]
     return pd.DataFrame({"sender": group["sender"], "chunk": group["chunk"],
                          "owner": group["owner"], "bitmap": maps})
 
 
 def duplicate_bitmaps(messages: DataFrame) -> DataFrame:
     """``messages(sender, chunk, owner, blob)``, written and so fixed, -> the
-    owners' answers (sender, chunk, owner, bitmap). An owner's group is bounded
-    by PER_OWNER; only codes and bitmaps travel."""
+    owners' answers (sender, chunk, owner, bitmap). An owner's group is about
+    PER_OWNER distinct values, those of several chunks once for each; only codes and bitmaps travel."""
     # A given number of partitions: codes are small, and owners packed by size would decode in a few tasks.
     return (messages.select("sender", "chunk", "owner", "blob")
             .repartition(shuffle_width(messages), "owner").groupBy("owner")
@@ -102,13 +128,9 @@ def with_bitmaps(messages: DataFrame, n: int) -> DataFrame:
     return messages.join(answers, ["sender", "chunk", "owner"])
 
 
-def flags(bitmap: bytes, n: int) -> np.ndarray:
-    return np.unpackbits(np.frombuffer(bitmap, np.uint8), count=n).astype(bool)
-
-
 def shuffle_width(df: DataFrame) -> int:
     return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
 
 
-__all__ = ["Universe", "duplicate_bitmaps", "flags", "rice_decode", "rice_encode",
-           "shuffle_width", "with_bitmaps"]
+__all__ = ["Universe", "answered", "counted_decode", "counted_encode", "duplicate_bitmaps", "rice_decode",
+           "rice_encode", "shuffle_width", "with_bitmaps"]

@@ -33,7 +33,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from neoflow.llm.components import components
-from neoflow.llm.golomb import Universe, flags, rice_decode, shuffle_width, with_bitmaps
+from neoflow.llm.golomb import Universe, answered, shuffle_width, with_bitmaps
 from neoflow.session import scratch_path
 
 LENGTH, GRAM = 100, 32
@@ -150,8 +150,7 @@ _SUSPECT = "anchor long, around long, id long, tkey long, place long"
 def _suspects(batches):
     for batch in batches:
         for r in batch.to_pylist():
-            value = rice_decode(r["blob"])
-            hit = flags(r["bitmap"], len(value))
+            value, hit = answered(r["blob"], r["bitmap"])
             doc = np.frombuffer(r["doc"], np.uint32)[hit]
             yield pa.RecordBatch.from_arrays(
                 [pa.array((r["owner"] << 32) + value[hit]), pa.array(np.frombuffer(r["around"], np.int64)[hit]),

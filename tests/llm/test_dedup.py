@@ -51,6 +51,23 @@ def test_rice_codes():
         assert golomb.rice_decode(golomb.rice_encode(np.array(values, dtype=np.int64))).tolist() == list(values)
 
 
+def test_owners_get_each_value_of_a_chunk_once():
+    """A third of all rows are copies: an owner decodes one value for them, and answers for every row."""
+    rng = np.random.default_rng(4)
+    universe = golomb.Universe(30_000, 1)
+    fp = rng.integers(0, 1 << 64, 20_000, dtype=np.uint64)
+    chunks = [np.concatenate([part, np.full(5_000, 77, np.uint64)]) for part in (fp[:10_000], fp[9_000:])]
+    rows = [(0, c, owner, at, blob) for c, part in enumerate(chunks) for owner, at, blob in universe.messages(part)]
+    assert sum(len(golomb.counted_decode(r[4])[0]) for r in rows) <= 21_002
+    group = golomb.pd.DataFrame([(r[0], r[1], r[2], r[4]) for r in rows], columns=["sender", "chunk", "owner", "blob"])
+    maps = golomb._answer(group)["bitmap"]
+    places = [universe.place(c)[1] for c in chunks]
+    values, counts = np.unique(np.concatenate(places), return_counts=True)
+    for (_, c, _, at, blob), bitmap in zip(rows, maps):
+        value, hit = golomb.answered(blob, bitmap)
+        assert (value == places[c][at]).all() and (hit == np.isin(value, values[counts > 1])).all()
+
+
 def test_exact_dedup_edges(spark):
     rows = [(1, "Ab"), (2, "aB"), (3, None), (4, ""), (5, "é"), (6, "É"), (7, "ab"), (8, "x" * 300_000), (9, "X" * 300_000)]
     got = {r["doc_id"]: r for r in exact_dedup(frame(spark, rows)).collect()}
