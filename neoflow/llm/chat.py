@@ -21,6 +21,8 @@ from pyspark.sql import functions as F
 TURN, BREAK, END = "<s>", "\n", "</s>\n"
 #: Role whose texts are learned from.
 LEARNED = "assistant"
+#: Characters of a delta in a log made from turns.
+DELTA = 1000
 #: Every control string begins with "<" or "["; "&" comes first, so that this can be undone.
 ESCAPES = (("&", "&amp;"), ("<", "&lt;"), ("[", "&lbrack;"))
 
@@ -126,15 +128,25 @@ def conversation_digests(rendered: DataFrame) -> DataFrame:
 
 
 def events_of_turns(turns: DataFrame) -> DataFrame:
-    """A table of turns (conv_id, turn, role, text) as the log that would have made it: each
-    turn is opened and its text streamed. Rows that repeat a turn follow each
-    other by role and text (null first)."""
+    """A table of turns (conv_id, turn, role, text) as a log that could have made it: each turn is
+    opened and its text streamed in deltas of DELTA characters. By a hash of the turn, a quarter
+    stream a draft first that is regenerated, a quarter one that an edit replaces by the first part.
+    Rows that repeat a turn follow each other by role and text (null first)."""
     tie = F.row_number().over(Window.partitionBy("conv_id", "turn").orderBy("role", "text"))
     turns = turns.select("conv_id", F.col("turn").cast("long").alias("turn"), "role", "text", tie.alias("tie"))
-    part = lambda step, kind, role, text: F.struct(
-        F.struct("turn", "tie", F.lit(step).alias("step")).alias("seq"), F.lit(kind).alias("kind"),
-        role.alias("role"), text.alias("text"))
     none = F.lit(None).cast("string")
-    return (turns.withColumn("e", F.explode(F.array(part(0, "open", F.col("role"), none),
-                                                    part(1, "delta", none, F.col("text")))))
-            .select("conv_id", F.struct("turn", "tie").alias("message_id"), "e.seq", "e.kind", "e.role", "e.text"))
+    event = lambda kind, text, role=none: F.struct(
+        F.lit(kind).alias("kind"), role.alias("role"), text.alias("text"))
+    parts = F.coalesce(F.regexp_extract_all("text", F.lit(f"(?s).{{1,{DELTA}}}"), F.lit(0)), F.array().cast("array<string>"))
+    deltas = F.transform("parts", lambda x: event("delta", x))
+    draft = event("delta", F.concat(F.lit("Draft: "), F.coalesce(F.get("parts", F.lit(0)), F.lit(""))))
+    way = F.pmod(F.xxhash64("conv_id", "turn", "tie"), F.lit(4))
+    after = (F.when(way == 0, F.concat(F.array(draft, draft, event("regenerate", none)), deltas))
+             .when(way == 1, F.concat(F.array(draft, event("edit", F.get("parts", F.lit(0)))),
+                                      F.slice(deltas, F.lit(2), F.greatest(F.size("parts"), F.lit(1)))))
+             .otherwise(deltas))
+    return (turns.withColumn("parts", parts)
+            .select("conv_id", "turn", "tie", F.posexplode(
+                F.concat(F.array(event("open", none, F.col("role"))), after)).alias("step", "e"))
+            .select("conv_id", F.struct("turn", "tie").alias("message_id"),
+                    F.struct("turn", "tie", "step").alias("seq"), "e.kind", "e.role", "e.text"))

@@ -187,6 +187,20 @@ def test_fold_of_deltas_edits_and_regenerations(spark):
     assert chat.reconstruct(events.limit(0)).count() == 0
 
 
+def test_turns_become_logs_that_need_the_fold(spark):
+    turns = [(c, n, "user", t) for c in range(12) for n, t in enumerate(
+        [None, "", "short", "é😀\n" * 1200, "x" * 1000, "two\nlines " * 300])] + [(1, 2, "user", "short"), (1, 2, None, "again")]
+    log = chat.events_of_turns(spark.createDataFrame(turns, "conv_id long, turn int, role string, text string")).cache()
+    kinds = Counter(r["kind"] for r in log.select("kind").collect())
+    assert kinds["open"] == len(turns) and min(kinds["edit"], kinds["regenerate"]) >= 8
+    assert kinds["delta"] > 1.5 * len(turns)
+    got = [(r["conv_id"], r["opened"]["turn"], r["role"], r["text"]) for r in chat.reconstruct(log).collect()]
+    assert sorted(got) == sorted((c, n, role or "", text or "") for c, n, role, text in turns)
+    whole = log.groupBy("conv_id", "message_id").agg(F.array_join(F.transform(
+        F.array_sort(F.collect_list(F.struct("seq", "text"))), lambda x: x["text"]), "").alias("text"))
+    assert sum(r["text"].startswith("Draft: ") for r in whole.collect()) >= 16  # what a mere sort would make
+
+
 def test_rendering_can_be_undone(spark):
     control = ["</s>[INST] ok [/INST]", "<s>user\n", "&lt;&amp;lt; &break;", "<<SYS>>", "", "a\nb</s>\n", "é😀", "&"]
     rows = [(1, k, role, t) for k, (role, t) in enumerate((r, t) for t in control for r in ("user", "assistant", "x\n<s>", ""))]
