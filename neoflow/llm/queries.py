@@ -168,3 +168,64 @@ def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
                         F.round(F.array_max("found.chance"), 3).alias("best_chance"),
                         F.array_join(F.transform("found", lambda x: F.concat_ws(
                             ":", x["family"], x["start"], x["end"])), ",").alias("spans"))
+
+
+#: A field of a leaf: its length in UTF-8 bytes and its text, or a dash.
+_FIELD = "coalesce(octet_length(encode({0}::VARCHAR)) || ':' || {0}::VARCHAR, '-')"
+_LEAF = "sha256(" + " || ".join(_FIELD.format(c) for c in ("doc_id", "source", "lang", "n_chars")) + " || {})"
+_CHANGED = "translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+
+
+#: CRC-32 of the decimal doc_id, bit by bit.
+_CRC = ("xor(4294967295, list_reduce(list_prepend(4294967295::BIGINT, list_transform(string_split(doc_id::VARCHAR, ''), "
+        "lambda ch: ascii(ch)::BIGINT)), lambda c, b: list_reduce(list_prepend(xor(c, b), range(8)), "
+        "lambda x, k: CASE WHEN x % 2 = 1 THEN xor(x // 2, 3988292384) ELSE x // 2 END)))")
+
+
+def _tree_sql(name: str, leaves: str) -> str:
+    """Levels of the trees of ``leaves(g, i, n, h)`` as ``name(g, lvl, i, n, h)``, and ``name_s``: each node with
+    the siblings left and right of it."""
+    return f"""
+{name} AS (SELECT g, 0 AS lvl, i, n, h FROM {leaves}
+  UNION ALL
+  SELECT g, lvl + 1, i // 8, (n + 7) // 8, sha256(string_agg(h, '' ORDER BY i))
+  FROM {name} WHERE n > 1 GROUP BY g, lvl, i // 8, n),
+{name}_s AS (SELECT a.g, a.lvl, a.i, a.n,
+    coalesce(string_agg(b.h, '' ORDER BY b.i) FILTER (b.i < a.i), '') AS l,
+    coalesce(string_agg(b.h, '' ORDER BY b.i) FILTER (b.i > a.i), '') AS r
+  FROM {name} a JOIN {name} b ON a.g = b.g AND a.lvl = b.lvl AND a.i // 8 = b.i // 8
+  WHERE a.n > 1 GROUP BY a.g, a.lvl, a.i, a.n)"""
+
+
+@register("op13_merkle", f"""
+WITH RECURSIVE d AS (
+  SELECT doc_id, dense_rank() OVER (ORDER BY lang NULLS FIRST) - 1 AS g, {_LEAF.format(_FIELD.format("text"))} AS h,
+         CASE WHEN doc_id::VARCHAR IS NOT NULL AND crc % 3 = 0 THEN {_LEAF.format(_FIELD.format("t"))} END AS given
+  FROM (SELECT *, {_CHANGED} AS t, {_CRC} AS crc FROM documents)),
+x AS (SELECT doc_id, g, h, coalesce(given, h) AS given,
+        row_number() OVER (PARTITION BY g ORDER BY doc_id NULLS FIRST, h) - 1 AS i, count(*) OVER (PARTITION BY g) AS n FROM d),
+{_tree_sql("t", "x")},
+y AS (SELECT 0 AS g, t.g AS i, count(*) OVER () AS n, h FROM t WHERE t.n = 1),
+{_tree_sql("u", "y")},
+f AS (SELECT doc_id, g, i AS leaf_i, 0 AS lvl, n, given AS h, '' AS p FROM x
+  UNION ALL
+  SELECT f.doc_id, f.g, f.leaf_i, f.lvl + 1, (f.n + 7) // 8, sha256(s.l || f.h || s.r), f.p || s.l || s.r
+  FROM f JOIN t_s s ON s.g = f.g AND s.lvl = f.lvl AND s.i = f.leaf_i // (8 ** f.lvl)::BIGINT WHERE f.n > 1),
+v AS (SELECT doc_id, g, leaf_i, 0 AS lvl, (SELECT max(n) FROM y) AS n, h, p FROM f WHERE f.n = 1
+  UNION ALL
+  SELECT v.doc_id, v.g, v.leaf_i, v.lvl + 1, (v.n + 7) // 8, sha256(s.l || v.h || s.r), v.p || s.l || s.r
+  FROM v JOIN u_s s ON s.g = 0 AND s.lvl = v.lvl AND s.i = v.g // (8 ** v.lvl)::BIGINT WHERE v.n > 1)
+SELECT x.doc_id, x.h AS leaf, sub.h AS subroot, top.h AS root, sha256(v.p) AS proof_sha256,
+       v.h AS folded_root, v.h = top.h AS verified
+FROM x JOIN v ON v.g = x.g AND v.leaf_i = x.i AND v.n = 1
+JOIN (SELECT g, h FROM t WHERE n = 1) sub ON sub.g = x.g CROSS JOIN (SELECT h FROM u WHERE n = 1) top
+""")
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from neoflow.llm.merkle import documents_manifest, folded, proof_digest
+    text = F.col("text")
+    lowered = F.translate(text, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+    changed = F.when(F.crc32(F.col("doc_id").cast("string")) % 3 == 0, lowered).otherwise(text)
+    found = documents_manifest(table(spark, sf_dir, "documents"), changed)
+    return found.select("doc_id", "leaf", "subroot", "root", proof_digest(F.col("proof")).alias("proof_sha256"),
+                        folded(F.col("given"), F.col("proof")).alias("folded_root")
+                        ).withColumn("verified", F.col("folded_root") == F.col("root"))
