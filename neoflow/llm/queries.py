@@ -229,3 +229,50 @@ def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "leaf", "subroot", "root", proof_digest(F.col("proof")).alias("proof_sha256"),
                         folded(F.col("given"), F.col("proof")).alias("folded_root")
                         ).withColumn("verified", F.col("folded_root") == F.col("root"))
+
+
+@register("op11_hard_negatives", """
+WITH e AS (SELECT vec_id AS id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+       list_transform(embedding, lambda x: floor(256 * x::DOUBLE)::BIGINT) AS v
+  FROM embeddings WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+s AS (SELECT a.id AS a, b.id AS b, a.label = b.label AS same,
+       list_sum(list_transform(list_zip(a.v, b.v), lambda z: z[1] * z[2]))::BIGINT AS score
+  FROM e a JOIN e b ON a.id % 50 = 0 AND a.id <> b.id),
+p AS (SELECT a, b, score FROM s WHERE same
+  QUALIFY row_number() OVER (PARTITION BY a ORDER BY score DESC, b) <= 5)
+SELECT p.a AS anchor_id, p.b AS positive_id,
+       row_number() OVER (PARTITION BY p.a, p.b ORDER BY n.score DESC, n.b)::INTEGER AS rank,
+       n.b AS negative_id, p.score AS positive_score, n.score AS negative_score
+FROM p JOIN s n ON n.a = p.a AND NOT n.same AND 50 * p.score <= 100 * n.score AND 100 * n.score <= 95 * p.score
+QUALIFY row_number() OVER (PARTITION BY p.a, p.b ORDER BY n.score DESC, n.b) <= 3
+""")
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from neoflow.llm.hard_negatives import finite, hard_negatives, quantised
+    rows = table(spark, sf_dir, "embeddings").filter(finite(F.col("embedding")))
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hard_negatives(rows.select(F.col("vec_id").alias("id"), label.alias("label"),
+                                      quantised(F.col("embedding")).alias("vector"),
+                                      (F.col("vec_id") % 50 == 0).alias("anchor")))
+
+
+def _linked_sql(words: int, num: int, more: str = "") -> str:
+    """Components of documents whose sets of shingles link, from all pairs that share one."""
+    return f"""
+WITH RECURSIVE w AS (SELECT doc_id, regexp_extract_all({_LOW}, '[^\\x20\\x09-\\x0D]+') AS w FROM documents),
+s AS (SELECT DISTINCT doc_id, array_to_string(w[i:i + {words - 1}], ' ') AS g
+      FROM (SELECT doc_id, w, unnest(range(1, greatest(len(w) - {words - 2}, least(len(w), 1) + 1))) AS i FROM w)),
+n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+p AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS shared FROM s a JOIN s b USING (g) GROUP BY 1, 2),
+l AS (SELECT a, b FROM p JOIN n x ON x.doc_id = a JOIN n y ON y.doc_id = b
+      WHERE 100 * shared >= {num} * (x.n + y.n - shared)),
+r AS (SELECT doc_id AS a, doc_id AS c FROM documents UNION SELECT r.a, l.b FROM r JOIN l ON l.a = r.c)
+SELECT doc_id, coalesce(n, 0) AS n_shingles, component_id{more}
+FROM (SELECT a AS doc_id, min(c) AS component_id FROM r GROUP BY a) LEFT JOIN n USING (doc_id)
+"""
+
+
+@register("op12_hyperminhash", _linked_sql(4, 80, ", doc_id = component_id AS kept"))
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from neoflow.llm.hyperminhash import component_ids
+    return component_ids(table(spark, sf_dir, "documents"))
