@@ -13,7 +13,7 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return bool(p.getFileSystem(hconf).exists(p))
 
 
-def delete_path(spark: SparkSession, path: str) -> None:
-    """Remove one file."""
+def delete_path(spark: SparkSession, path: str, recursive: bool = False) -> None:
+    """Remove one file (``recursive``: or a folder)."""
     p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-    p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, False)
+    p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, recursive)
