@@ -14,6 +14,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from neoflow.operators.offsets import between_offsets, from_offsets, is_spec, offsets_for_timestamp, spec_bounds
 from neoflow.schemas import RECORD_SCHEMA
 
 KAFKA = "kafka"
@@ -29,8 +30,8 @@ class TopicSource:
     them and ``bootstrap``, files ``path`` (and read every topic without them).
 
     starting: ``"latest"`` (only messages arriving after the first start;
-    ignored when restarting from a checkpoint), ``"earliest"``, or, with Kafka
-    only, a JSON offset spec.
+    ignored when restarting from a checkpoint), ``"earliest"``, or a JSON offset
+    spec, ``{"topic": {"0": 23, "1": -1}}`` (-2 earliest, -1 latest).
     starting_timestamp: epoch milliseconds; each partition starts at its first
     record from then on, or at its end if there is none.
     fail_on_data_loss: False keeps going when wanted offsets / files are gone.
@@ -93,8 +94,8 @@ def kafka_batch_options(src: TopicSource, ending: str = "latest") -> dict[str, s
 def _check_files(src: TopicSource) -> None:
     if src.kind != FILES or not src.path:
         raise ValueError("a file-backed topic needs kind='files' and a path")
-    if src.starting not in ("latest", "earliest"):
-        raise ValueError(f"a file-backed topic starts at latest, earliest or a timestamp, not {src.starting!r}")
+    if src.starting not in ("latest", "earliest") and not is_spec(src.starting):
+        raise ValueError(f"a file-backed topic starts at latest, earliest, a timestamp or offsets, not {src.starting!r}")
 
 
 def _subscribed(records: DataFrame, src: TopicSource) -> DataFrame:
@@ -126,18 +127,23 @@ def read_topic_stream(spark: SparkSession, src: TopicSource) -> DataFrame:
 
 
 def read_topic(spark: SparkSession, src: TopicSource, ending: str = "latest") -> DataFrame:
-    """Bounded replay (batch): from ``starting_timestamp`` if the source has one,
-    else from the beginning."""
+    """Bounded replay (batch): from ``starting_timestamp`` or the offset spec if the source
+    has one, else from the beginning; to ``ending``, the end or an offset spec (exclusive). A
+    partition that a start spec doesn't name is read from its beginning, one that an end spec doesn't
+    name to its end; where both are specs, only partitions that either names are read."""
     if src.kind == KAFKA:
         return spark.read.format("kafka").options(**kafka_batch_options(src, ending)).load()
     _check_files(src)
-    if ending != "latest":
-        raise ValueError(f"a replay of a file-backed topic ends at latest, not {ending!r}")
+    if ending != "latest" and not is_spec(ending):
+        raise ValueError(f"a replay of a file-backed topic ends at latest or at offsets, not {ending!r}")
     r = spark.read.schema(RECORD_SCHEMA)
     if not src.fail_on_data_loss:
         r = r.option("ignoreMissingFiles", "true")
     records = _subscribed(r.parquet(src.path), src)
     if src.starting_timestamp is not None:
-        from neoflow.operators.offsets import from_offsets, offsets_for_timestamp
         records = from_offsets(records, offsets_for_timestamp(records, src.starting_timestamp))
+    if is_spec(src.starting) or is_spec(ending):
+        starting = src.starting if src.starting_timestamp is None else "earliest"
+        records = between_offsets(records, spec_bounds(spark, starting, ending),
+                                  others=not (is_spec(starting) and is_spec(ending)))
     return records

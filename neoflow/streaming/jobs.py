@@ -16,7 +16,7 @@ from dataclasses import replace
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
-from neoflow.operators.offsets import from_offsets, start_at_latest
+from neoflow.operators.offsets import from_offsets, is_spec, start_at_latest
 from neoflow.operators.parse import parse_and_flatten
 from neoflow.sinks.parquet import default_checkpoint, parquet_append_stream
 from neoflow.sinks.view import live_view
@@ -30,16 +30,21 @@ def landing_stream(spark: SparkSession, src: TopicSource, schema="narrow",
                    checkpoint: str | None = None) -> DataFrame:
     """Streaming 15-column object table from a topic.
 
-    For a file-backed topic with ``starting="latest"`` the start table is
-    kept in ``checkpoint`` (required then)."""
+    A file-backed topic that isn't read from its beginning needs ``checkpoint``."""
     recs = read_topic_stream(spark, src)
-    if src.kind == FILES and (src.starting == "latest" or src.starting_timestamp is not None):
-        if not checkpoint:
-            raise ValueError("a file-backed topic started at latest / a timestamp needs the checkpoint folder")
-        existing = read_topic(spark, replace(src, starting_timestamp=None))
-        starts = start_at_latest(spark, existing, checkpoint, src.starting_timestamp)
-        recs = from_offsets(recs, starts)
-    return parse_and_flatten(recs, schema=schema)
+    return parse_and_flatten(from_start(spark, src, recs, checkpoint), schema=schema)
+
+
+def from_start(spark: SparkSession, src: TopicSource, recs: DataFrame, checkpoint: str | None) -> DataFrame:
+    """The records of a stream from where the source says that it starts: at latest, at a timestamp
+    or at offsets. On a file-backed topic the start table is kept in ``checkpoint``."""
+    if src.kind != FILES or (src.starting == "earliest" and src.starting_timestamp is None):
+        return recs
+    if not checkpoint:
+        raise ValueError("a file-backed topic that isn't read from its beginning needs the checkpoint folder")
+    existing = read_topic(spark, replace(src, starting="earliest", starting_timestamp=None))
+    spec = src.starting if is_spec(src.starting) and src.starting_timestamp is None else None
+    return from_offsets(recs, start_at_latest(spark, existing, checkpoint, src.starting_timestamp, spec))
 
 
 def topic_to_parquet(spark: SparkSession, src: TopicSource, out_path: str,
