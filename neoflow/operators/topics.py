@@ -58,11 +58,27 @@ _CONNECT_TYPES = [
     (T.BooleanType, "boolean"), (T.StringType, "string"), (T.BinaryType, "bytes"),
 ]
 
+# Logical types, by the type that carries them.
+_LOGICAL_TYPES = [
+    (T.DateType, "int32", "org.apache.kafka.connect.data.Date"),
+    (T.TimestampType, "int64", "org.apache.kafka.connect.data.Timestamp"),
+    (T.DecimalType, "bytes", "org.apache.kafka.connect.data.Decimal"),
+]
+
 
 def connect_schema(dtype: T.DataType, nullable: bool = True, name: str | None = None) -> dict:
     """Spark type -> JSON converter schema object (built once on the driver
     from the schema, never from data)."""
     out: dict
+    for cls, tname, logical in _LOGICAL_TYPES:
+        if isinstance(dtype, cls):
+            out = {"type": tname, "name": logical, "version": 1}
+            if isinstance(dtype, T.DecimalType):
+                out["parameters"] = {"scale": str(dtype.scale)}
+            out["optional"] = bool(nullable)
+            if name is not None:
+                out["field"] = name
+            return out
     for cls, tname in _CONNECT_TYPES:
         if isinstance(dtype, cls):
             out = {"type": tname}
@@ -84,7 +100,7 @@ def connect_schema(dtype: T.DataType, nullable: bool = True, name: str | None =
     return out
 
 
-def _json_value(c: Column) -> Column:
+def json_value(c: Column) -> Column:
     """JSON text of any value: serialise {"p": c} and cut the member out."""
     t = F.to_json(F.struct(c.alias("p")), {"ignoreNullFields": "false"})
     return F.substring(t, F.lit(6), F.length(t) - 6)
@@ -93,7 +109,7 @@ def _json_value(c: Column) -> Column:
 def envelope_encode(c: Column, dtype: T.DataType, schemas_enable: bool = True) -> Column:
     """Value -> converter JSON text: ``{"schema": .., "payload": ..}`` with
     schemas on, the bare payload with schemas off."""
-    payload = _json_value(c)
+    payload = json_value(c)
     payload = F.coalesce(payload, F.lit("null"))
     if not schemas_enable:
         return payload
