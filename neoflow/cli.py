@@ -48,6 +48,7 @@ def _parser() -> argparse.ArgumentParser:
     feed.add_argument("--topic-path", help="file-backed topic folder")
     feed.add_argument("--bootstrap")
     feed.add_argument("--topic", default="objects")
+    feed.add_argument("--partitions", type=int, help="partitions of the topic that messages are dealt to, in order")
     feed.add_argument("--lenient", action="store_true", help="skip days missing from the feed")
     return p
 
@@ -95,7 +96,7 @@ def main(argv: list[str] | None = None, spark=None) -> int:
         if args.available_now:
             run_available_now(qs)
         else:
-            qs[0].awaitTermination()
+            spark.streams.awaitAnyTermination()  # a view that fails ends the job too
         return 0
     from neoflow.sinks.topic import TopicSink, create_topic
     from neoflow.fs import path_exists
@@ -108,7 +109,7 @@ def main(argv: list[str] | None = None, spark=None) -> int:
     else:
         sink = TopicSink(kind="kafka", bootstrap=args.bootstrap, topic=args.topic)
     feed_to_topic(spark, read_feed_documents(spark, args.docs), args.start, args.end, sink,
-                  strict=not args.lenient)
+                  strict=not args.lenient, num_partitions=args.partitions)
     return 0
 
 

@@ -96,6 +96,21 @@ def fan_out(doc_days: DataFrame, start, end, key_cols: list[str] | None = None,
     return out.withColumn("number", F.col("_first") + F.col("pos")).drop("_first") if number else out
 
 
+def fan_out_variant(docs: DataFrame, start, end, text_col: str = "value") -> DataFrame:
+    """Documents -> (day_str, pos, object, value) of the objects of the days in [start, end], by way of a variant:
+    days and then objects are exploded from the parsed document, so no day's list is one value of
+    a row. The object's text is written anew (members in the variant's order), where ``fan_out``
+    hands the document's own text on; a document that is no JSON gives no rows."""
+    day = docs.select(F.try_parse_json(text_col).alias("_doc")).select(
+        F.try_variant_get("_doc", f"$.{FEED_MEMBER}", "variant").alias("_days"))
+    spark = docs.sparkSession
+    days = day.lateralJoin(spark.tvf.variant_explode(F.col("_days").outer()).select(
+        F.col("key").alias("day_str"), F.col("value").alias("_objects"))).filter(in_days(start, end))
+    objs = days.lateralJoin(spark.tvf.variant_explode(F.col("_objects").outer()).select("pos", F.col("value").alias("_object")))
+    out = objs.select("day_str", "pos", F.to_json("_object").alias("object"))
+    return out.withColumn("value", stamp_field_raw(F.col("object"), STAMP_FIELD, F.col("day_str")))
+
+
 def first_numbers(doc_days: DataFrame, start, end, doc_col: str) -> DataFrame:
     """(day_str, doc, _first): the running number (from 1) of each (day, document)'s
     first object, in (day, document) order over the whole run.
