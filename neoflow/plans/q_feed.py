@@ -174,12 +174,12 @@ def feed_emission_order(spark, sf_dir):
 
 @register("feed_exact_semantics", """
 SELECT event_id, event_type, strftime(ts, '%Y-%m-%d') AS "current_date", 1 AS n_current_date, 'kept' AS twin
-FROM events WHERE event_type IS NOT NULL""", ["FAN-2", "FAN-4", "FAN-5", "FAN-6"])
+FROM events""", ["FAN-2", "FAN-4", "FAN-5", "FAN-6"])
 def feed_exact_semantics(spark, sf_dir):
     """Documents of one event each that also hold a key which isn't quite a day, an
     earlier entry of the same day, and objects with an old ``current_date``; bounds
     with one-digit months and days."""
-    e = table(spark, sf_dir, "events").filter("event_type is not null")
+    e = table(spark, sf_dir, "events")
     day = F.date_format("ts", "yyyy-MM-dd")
     obj = lambda **more: F.to_json(F.struct("event_id", F.lit("1999-01-01").alias("current_date"), "event_type",
                                             *(v.alias(k) for k, v in more.items())))

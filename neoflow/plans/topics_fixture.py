@@ -46,7 +46,7 @@ def payload_topic(spark: SparkSession, sf_dir: str) -> str:
     path = scratch_path(spark, "topic-objects")
     sink = TopicSink(kind=FILES, path=path, topic=fx.PAYLOAD_TOPIC)
     msgs = fx.payload_messages(spark, sf_dir).select("value", F.col("ts").alias("timestamp"))
-    append_records(spark, msgs, sink)
+    append_records(spark, msgs, sink, num_partitions=2 * spark.sparkContext.defaultParallelism)
     _CACHE[key] = path
     return path
 
