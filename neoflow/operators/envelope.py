@@ -80,7 +80,7 @@ def _bytes_decimal(c: Column, dtype: T.DecimalType) -> Column:
     """Base64 of any number of bytes; over 64 bits' worth of number is null."""
     hexed = F.hex(F.unbase64(c))
     negative = F.substring(hexed, 1, 1) >= "8"
-    full = F.when(negative, F.lpad(hexed, 16, "F")).otherwise(F.lpad(hexed, 16, "0"))
+    full = F.when(F.length(hexed) >= 16, hexed).when(negative, F.lpad(hexed, 16, "F")).otherwise(F.lpad(hexed, 16, "0"))
     spare = F.substring(hexed, F.lit(1), F.greatest(F.length(hexed) - 16, F.lit(0)))
     only_sign = F.when(negative, F.regexp_replace(spare, "F", "")).otherwise(F.regexp_replace(spare, "0", "")) == ""
     last = F.substring(full, F.greatest(F.length(full) - 15, F.lit(1)), F.lit(16))
