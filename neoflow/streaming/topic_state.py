@@ -138,7 +138,9 @@ def latest_changes(records: DataFrame, delete_retention_ms: int = 86_400_000) ->
     """Stream of records -> a row (topic, partition, key, offset, value, timestamp) whenever a key's latest
     record changes, a null value for a deletion. The state holds one row a live key, and a
     deleted key's for ``delete_retention_ms`` more, in which an older record of it that comes late is
-    still known to be old; with 0 it goes at once. Records without a key or offset are dropped."""
+    still known to be old; with 0 it goes at once. Records without a key or offset are dropped. With a
+    retention the query waits for its timers: give it a processing-time trigger, an ``availableNow``
+    run would not end."""
     last = records.select("topic", "partition", "key", "offset", "value", "timestamp").mapInArrow(_last_of_keys, CHANGE)
     return last.groupBy("topic", "partition", "key").transformWithState(
         LatestValue(delete_retention_ms), CHANGE, "Append", "ProcessingTime" if delete_retention_ms else "None")
