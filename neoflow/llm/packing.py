@@ -16,7 +16,6 @@ from __future__ import annotations
 
 import os
 import re
-import struct
 from collections import Counter, defaultdict
 from functools import lru_cache
 from zlib import crc32
@@ -34,20 +33,30 @@ END_ID = 2
 #: Lengths are solved for in bins of so many tokens.
 BIN = 32
 #: Distinct words whose ids a worker keeps (twice as many for a while).
-CACHE_WORDS = 400_000
+CACHE_WORDS = 200_000
+#: Counts of (task, length) up to which their prefix sums are broadcast (24 bytes each); beyond it Spark joins by a shuffle.
+BROADCAST_COUNTS = 400_000
+#: Codec of the written ids.
+CODEC = "zstd"
 
 #: Letters whose lower case is one letter, then marks: encoded the same apart as together.
 _PLAIN = re.compile("([A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff]+)([.,;:!?)%*&#$]*)").fullmatch
 
 
+def id_kind(vocabulary: int) -> str:
+    """How ids are stored."""
+    return "<u2" if vocabulary <= 1 << 16 else "<u4"
+
+
 class WordTokenizer:
-    """Ids of texts as little-endian uint32, by a tokenizer that drops white space:
-    words between blanks are encoded apart from each other, each once."""
+    """Ids of texts, little-endian in two bytes each (four if the vocabulary needs them), by a tokenizer that
+    drops white space: words between blanks are encoded apart from each other, each once."""
 
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
         self.tokenizer = Tokenizer.from_file(path)
+        self.kind = id_kind(self.tokenizer.get_vocab_size())
         self.known: dict[str, bytes] = {"": b""}
         self.old: dict[str, bytes] = {}
         self.mark = self.tokenizer.encode("|", add_special_tokens=False).ids[0]
@@ -58,15 +67,15 @@ class WordTokenizer:
         own = [w for w in words if "|" in w]
         rest = [w for w in words if "|" not in w]
         for w, e in zip(own, self.tokenizer.encode_batch_fast(own, add_special_tokens=False) if own else ()):
-            out[w] = np.array(e.ids, "<u4").tobytes()
+            out[w] = np.array(e.ids, self.kind).tobytes()
         for at in range(0, len(rest), 4096):
             some = rest[at:at + 4096]
             [e] = self.tokenizer.encode_batch_fast([" | ".join(some)], add_special_tokens=False)
-            ids = np.array(e.ids, "<u4")
+            ids = np.array(e.ids, self.kind)
             ends = np.append(np.flatnonzero(ids == self.mark), len(ids))
-            raw, first = ids.tobytes(), 0
+            raw, first, size = ids.tobytes(), 0, ids.itemsize
             for w, end in zip(some, ends.tolist()):
-                out[w] = raw[4 * first:4 * end]
+                out[w] = raw[size * first:size * end]
                 first = end + 1
         return out
 
@@ -115,29 +124,27 @@ def _groups(texts: list[str], size: int = 1 << 20):
         yield first, len(texts)
 
 
-def _cutter(path: str, with_ids: bool):
-    end = struct.pack("<I", END_ID)
-
+def _cutter(path: str):
     def run(batches):
         tok, part, ranks = word_tokenizer(path), TaskContext.get().partitionId(), Counter()
+        end = np.array([END_ID], tok.kind).tobytes()
+        size = len(end)
         for batch in batches:
             ids, texts = batch.column(0).to_pylist(), [t or "" for t in batch.column(1).to_pylist()]
-            out = {"doc_id": [], "start": [], "length": [], "ids_crc32": [], "doc_tokens": [],
-                   "part": [], "rank": [], "ids": []}
             for a, b in _groups(texts):
+                out = {"doc_id": [], "start": [], "length": [], "doc_tokens": [], "part": [], "rank": [], "ids": []}
                 for doc_id, raw in zip(ids[a:b], tok.encode(texts[a:b])):
                     raw += end
-                    n = len(raw) // 4
+                    n = len(raw) // size
                     for start in range(0, n, WINDOW):
-                        piece = raw[4 * start:4 * (start + WINDOW)]
-                        m = len(piece) // 4
-                        for k, v in zip(out, (doc_id, start, m, crc32(piece), n, part, ranks[m],
-                                              piece if with_ids else None)):
+                        m = min(WINDOW, n - start)
+                        for k, v in zip(out, (doc_id, start, m, n, part, ranks[m],
+                                              raw if m == n else raw[size * start:size * (start + m)])):
                             out[k].append(v)
                         ranks[m] += 1
-            yield pa.RecordBatch.from_arrays(
-                [*(pa.array(v, pa.int64()) for k, v in out.items() if k != "ids"),
-                 pa.array(out["ids"], pa.binary())], names=list(out))
+                yield pa.RecordBatch.from_arrays(
+                    [*(pa.array(v, pa.int64()) for k, v in out.items() if k != "ids"),
+                     pa.array(out["ids"], pa.binary())], names=list(out))
     return run
 
 
@@ -296,45 +303,56 @@ class Places:
         return sequence, offset
 
 
-def _placer(places: Places):
+def _wide(ids: bytes, tokens: int) -> np.ndarray:
+    """Stored ids in four bytes each."""
+    return np.frombuffer(ids, "<u2" if len(ids) == 2 * tokens else "<u4").astype("<u4")
+
+
+def _placer(places: Places, wide: bool, with_ids: bool):
     def run(batches):
         for batch in batches:
             t = pa.Table.from_batches([batch])
             s, o = places(t["length"].to_numpy(), t["rank"].to_numpy())
-            yield from (t.drop_columns(["rank"]).append_column("sequence_id", pa.array(s))
-                        .append_column("offset", pa.array(o)).combine_chunks().to_batches())
+            t = t.drop_columns(["rank"]).append_column("sequence_id", pa.array(s)).append_column("offset", pa.array(o))
+            if wide:
+                ids = [_wide(i, n) for i, n in zip(t["ids"].to_pylist(), t["length"].to_pylist())]
+                t = t.append_column("ids_crc32", pa.array([crc32(i) for i in ids], pa.int64()))
+                t = t.set_column(t.schema.get_field_index("ids"), "ids",
+                                 pa.array([i.tobytes() if with_ids else None for i in ids], pa.binary()))
+            yield from t.combine_chunks().to_batches()
     return run
 
 
-def pack(docs: DataFrame, tokenizer_path: str, with_ids: bool = True) -> DataFrame:
-    """``docs(doc_id, text)`` -> one row per piece: (doc_id, start, length, ids_crc32,
-    doc_tokens, ids, sequence_id, offset).
+def pack(docs: DataFrame, tokenizer_path: str, with_ids: bool = True, wide: bool = True) -> DataFrame:
+    """``docs(doc_id, text)`` -> one row per piece: (doc_id, start, length, doc_tokens, ids, sequence_id,
+    offset, ids_crc32).
 
-    ``ids`` are little-endian uint32 (null unless ``with_ids``). Each document ends
-    with END_ID, so a null or empty text is one piece of one token. Documents up to
+    ``ids`` are little-endian uint32 (null unless ``with_ids``); without ``wide`` they are in two bytes each
+    where the vocabulary allows (``id_kind``) and there is no ``ids_crc32``. Each document
+    ends with END_ID, so a null or empty text is one piece of one token. Documents up to
     WINDOW tokens stay whole; longer ones are cut every WINDOW tokens. Rows that
-    repeat a doc_id are packed each; an empty table gives no rows; further columns
+    repeat a doc_id are packed each, null ids too; an empty table gives no rows; further columns
     aren't read.
     """
     spark = docs.sparkSession
     path = scratch_path(spark, "packing-pieces")
     (docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-     .mapInArrow(_cutter(tokenizer_path, with_ids),
-                 "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, "
-                 "part long, rank long, ids binary")
-     .write.parquet(path))
+     .mapInArrow(_cutter(tokenizer_path),
+                 "doc_id long, start long, length long, doc_tokens long, part long, rank long, ids binary")
+     .write.option("compression", CODEC).parquet(path))
     pieces = spark.read.parquet(path)
     counts = pieces.groupBy("part", "length").agg(F.count("*").alias("n"))
     histogram = {r["length"]: r["n"] for r in counts.groupBy("length").agg(F.sum("n").alias("n")).collect()}
     before = Window.partitionBy("length").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
     first = counts.select("part", "length", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("first"))
+    # The ids stay where they are while their ranks are joined.
+    if counts.count() <= BROADCAST_COUNTS:
+        first = F.broadcast(first)
     places = Places(solve(histogram))
-    placed = ("doc_id long, start long, length long, ids_crc32 long, doc_tokens long, ids binary, "
-              "sequence_id long, offset long")
-    return (pieces.join(first, ["part", "length"])
-            .select("doc_id", "start", "length", "ids_crc32", "doc_tokens", "ids",
-                    (F.col("first") + F.col("rank")).alias("rank"))
-            .mapInArrow(_placer(places), placed))
+    ranked = (pieces.join(first, ["part", "length"])
+              .select("doc_id", "start", "length", "doc_tokens", "ids", (F.col("first") + F.col("rank")).alias("rank")))
+    placed = "doc_id long, start long, length long, doc_tokens long, ids binary, sequence_id long, offset long"
+    return ranked.mapInArrow(_placer(places, wide, with_ids), placed + ", ids_crc32 long" * wide)
 
 
 def padded_length(tokens):
@@ -347,23 +365,35 @@ def sequences(packed: DataFrame) -> DataFrame:
     each, with what lies where in them (offset, doc_id, start, length, doc_tokens)."""
     place = ("offset", "doc_id", "start", "length", "doc_tokens")
     parts = F.array_sort(F.collect_list(F.struct(*place, "ids")))
+    nothing = F.lit(b"").cast("binary")
     return (packed.groupBy("sequence_id").agg(F.sum("length").alias("tokens"), parts.alias("parts"))
             .select("sequence_id", "tokens", padded_length(F.col("tokens")).alias("padded"),
-                    F.unhex(F.array_join(F.transform("parts", lambda x: F.hex(x["ids"])), "")).alias("ids"),
+                    F.aggregate("parts", nothing, lambda done, x: F.concat(done, x["ids"])).alias("ids"),
                     F.transform("parts", lambda x: F.struct(*(x[c].alias(c) for c in place))).alias("pieces")))
 
 
+_PIECE = ("doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset")
+
+
+def _read_back(batches):
+    """Sequences' pieces, with the CRC-32 of their ids in four bytes each."""
+    for batch in batches:
+        rows = []
+        for sequence, tokens, ids, pieces in zip(*(c.to_pylist() for c in batch.columns)):
+            held = _wide(ids, tokens)
+            for p in pieces:
+                own = held[p["offset"]:p["offset"] + p["length"]]
+                rows.append((p["doc_id"], p["start"], p["length"], crc32(own), p["doc_tokens"], sequence, p["offset"]))
+        yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in (zip(*rows) if rows else [()] * 7)], names=list(_PIECE))
+
+
 def packed_pieces(docs: DataFrame, tokenizer_path: str) -> DataFrame:
     """Packs ``docs``, writes the sequences and reads each piece back from its place in them: (doc_id,
-    start, length, ids_crc32, doc_tokens, sequence_id, offset)."""
+    start, length, ids_crc32, doc_tokens, sequence_id, offset). Nulls, empty and repeated rows as in ``pack``."""
     path = scratch_path(docs.sparkSession, "packing-sequences")
-    sequences(pack(docs, tokenizer_path)).write.parquet(path)
-    ids = F.col("ids")
-    at = lambda x: F.substring(ids, (4 * x["offset"] + 1).cast("int"), (4 * x["length"]).cast("int"))
-    rows = F.transform("pieces", lambda x: F.struct(
-        *(x[c].alias(c) for c in ("doc_id", "start", "length", "doc_tokens", "offset")), F.crc32(at(x)).alias("ids_crc32")))
-    return (docs.sparkSession.read.parquet(path).select("sequence_id", F.explode(rows).alias("x"))
-            .select("x.doc_id", "x.start", "x.length", "x.ids_crc32", "x.doc_tokens", "sequence_id", "x.offset"))
+    sequences(pack(docs, tokenizer_path, wide=False)).write.option("compression", CODEC).parquet(path)
+    return (docs.sparkSession.read.parquet(path).select("sequence_id", "tokens", "ids", "pieces")
+            .mapInArrow(_read_back, ", ".join(f"{c} long" for c in _PIECE)))
 
 
 __all__ = ["Places", "WordTokenizer", "combinations", "nnls", "pack", "packed_pieces", "padded_length", "sequences", "solve"]
