@@ -132,7 +132,7 @@ def from_wire(c: Column, dtype: T.DataType) -> Column:
 
 def describe(c: Column, dtype: T.DataType) -> Column:
     """A value with its schema: the envelope's JSON text."""
-    schema = json.dumps(connect_schema(dtype), separators=(",", ":"))
+    schema = json.dumps(connect_schema(dtype, logical=True), separators=(",", ":"))
     payload = F.coalesce(json_value(to_wire(c, dtype)), F.lit("null"))
     return F.concat(F.lit('{"schema":' + schema + ',"payload":'), payload, F.lit("}"))
 

@@ -66,32 +66,28 @@ _LOGICAL_TYPES = [
 ]
 
 
-def connect_schema(dtype: T.DataType, nullable: bool = True, name: str | None = None) -> dict:
+def connect_schema(dtype: T.DataType, nullable: bool = True, name: str | None = None, logical: bool = False) -> dict:
     """Spark type -> JSON converter schema object (built once on the driver
-    from the schema, never from data)."""
-    out: dict
-    for cls, tname, logical in _LOGICAL_TYPES:
+    from the schema, never from data). Dates, timestamps and decimals need ``logical``
+    (see ``operators.envelope``)."""
+    out: dict | None = None
+    for cls, tname, lname in _LOGICAL_TYPES if logical else ():
         if isinstance(dtype, cls):
-            out = {"type": tname, "name": logical, "version": 1}
+            out = {"type": tname, "name": lname, "version": 1}
             if isinstance(dtype, T.DecimalType):
                 out["parameters"] = {"scale": str(dtype.scale)}
-            out["optional"] = bool(nullable)
-            if name is not None:
-                out["field"] = name
-            return out
-    for cls, tname in _CONNECT_TYPES:
+    for cls, tname in _CONNECT_TYPES if out is None else ():
         if isinstance(dtype, cls):
             out = {"type": tname}
-            break
-    else:
+    if out is None:
         if isinstance(dtype, T.StructType):
             out = {"type": "struct",
-                   "fields": [connect_schema(f.dataType, f.nullable, f.name) for f in dtype.fields]}
+                   "fields": [connect_schema(f.dataType, f.nullable, f.name, logical) for f in dtype.fields]}
         elif isinstance(dtype, T.ArrayType):
-            out = {"type": "array", "items": connect_schema(dtype.elementType, dtype.containsNull)}
+            out = {"type": "array", "items": connect_schema(dtype.elementType, dtype.containsNull, None, logical)}
         elif isinstance(dtype, T.MapType):
-            out = {"type": "map", "keys": connect_schema(dtype.keyType, False),
-                   "values": connect_schema(dtype.valueType, dtype.valueContainsNull)}
+            out = {"type": "map", "keys": connect_schema(dtype.keyType, False, None, logical),
+                   "values": connect_schema(dtype.valueType, dtype.valueContainsNull, None, logical)}
         else:
             raise TypeError(f"no envelope type for {dtype.simpleString()}")
     out["optional"] = bool(nullable)

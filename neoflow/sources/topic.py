@@ -14,7 +14,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from neoflow.operators.offsets import between_offsets, from_offsets, is_spec, offsets_for_timestamp, spec_bounds
+from neoflow.operators.offsets import between_offsets, from_offsets, is_spec, offsets_for_timestamp, parse_spec, spec_bounds
 from neoflow.schemas import RECORD_SCHEMA
 
 KAFKA = "kafka"
@@ -94,7 +94,9 @@ def kafka_batch_options(src: TopicSource, ending: str = "latest") -> dict[str, s
 def _check_files(src: TopicSource) -> None:
     if src.kind != FILES or not src.path:
         raise ValueError("a file-backed topic needs kind='files' and a path")
-    if src.starting not in ("latest", "earliest") and not is_spec(src.starting):
+    if is_spec(src.starting):
+        parse_spec(src.starting)
+    elif src.starting not in ("latest", "earliest"):
         raise ValueError(f"a file-backed topic starts at latest, earliest, a timestamp or offsets, not {src.starting!r}")
 
 

@@ -21,7 +21,9 @@ from neoflow.session import build_session  # noqa: E402
 
 STREAMING = {"landed_date_range", "stream_to_parquet", "str_01_processing_time", "stream_restart", "stream_rate_limited",
              "live_view", "live_view_preview", "stream_batches_counted", "src_01_feed_scan", "src_04_fail_on_data_loss", "str_04_partition_routing", "start_at_latest",
-             "lines_to_records", "records_to_lines", "feed_to_topic", "feed_emission_order"}
+             "lines_to_records", "records_to_lines", "feed_to_topic", "feed_emission_order",
+             "topic_offsets", "topic_lines_numbered", "stream_from_offsets", "stream_offset_gaps", "stream_latest_per_key",
+             "growing_lines", "feed_stream_numbers", "described_messages", "mirror_target_offsets"}
 
 
 def facts(plan: str) -> dict:
@@ -78,8 +80,8 @@ def main(argv):
               f"{f['codegen']} | {scans} |")
     print("\nStreaming queries (run inside their callables): the landing query is "
           "`FileScan/Kafka -> Project(from_json) -> Project(flatten, codegen) -> "
-          "[range Exchange on (date, hash) for availableNow] -> FileStreamSink partitioned by date`; "
-          "no state store. `start_at_latest` adds a join to the per-partition start table "
+          "Exchange (REBALANCE on date) -> FileStreamSink partitioned by date`; "
+          "no state store; gaps and latest values reduce in mapInArrow before one Exchange to their keyed state. `start_at_latest` adds a join to the per-partition start table "
           "(one row per topic partition, planner-broadcast by its size). "
           "`landed_date_range` reads the landed table through the sink's metadata log with "
           "`PartitionFilters: [isnotnull(date), date >= 1995-01-01, date <= 1996-12-31]`.")
