@@ -13,11 +13,12 @@ first one: 16 bits a register.
    equal registers, corrected by the chance that two different minima fall into one
    register at the sets' sizes; pairs more than MARGIN below the threshold are left out
    (over five standard deviations).
-4. All others are verified on the full sets. First each set of a band meets the band's
-   least set; what verified links connect is one component. Then, in bands that still
-   hold several components, sets of different ones meet, estimates only, in blocks, and
-   those the estimate lets pass are verified too. So links inside a component are
-   left out, but none that connects two.
+4. All others are verified on the full sets. First each set meets, of its bands' least
+   sets, the one with the best estimate; what verified links connect is one component.
+   Then, in bands that still hold several components, sets of different ones meet in
+   blocks inside a task, best estimates first, and each verified link makes two
+   components one, so that a task gives at most one link a component and block. Links
+   inside a component are left out, but none that connects two.
 """
 
 from __future__ import annotations
@@ -38,8 +39,9 @@ BANDS = BUCKETS // ROWS
 MANTISSA = 10
 #: Estimates this far below the threshold are no candidates.
 MARGIN = 0.2
-#: Sets of a band that meet in one task, at most about twice as many; more are split and met block against block.
-MEET = 8_000
+#: Sets of a band, and shingles of theirs, that meet in one task, at most about twice as many; more are
+#: split and met block against block.
+MEET, MEET_SHINGLES = 4_000, 2_000_000
 #: Texts looked up again up to which their ids (8 bytes each) are broadcast; beyond it Spark joins by a shuffle.
 BROADCAST_IDS = 500_000
 #: Words whose hashes a task keeps, shingles hashed at a time, and keys of sets a task has met lately.
@@ -125,14 +127,16 @@ class Rule:
         """The smaller set is large enough for a link."""
         return self.den * np.minimum(n, m) >= self.num * np.maximum(n, m)
 
-    def possible(self, a: np.ndarray, b: np.ndarray, n: np.ndarray, m: np.ndarray) -> np.ndarray:
-        """Which pairs (rows of registers ``a``, or one row, and ``b``, sizes ``n`` and ``m``) may be links."""
-        out = self.sizes(n, m)
-        at = np.flatnonzero(out)
+    def estimates(self, a: np.ndarray, b: np.ndarray, n: np.ndarray, m: np.ndarray) -> np.ndarray:
+        """Estimated similarity of pairs (rows of registers ``a``, or one row, and ``b``, sizes ``n`` and ``m``);
+        0 where the sizes or the estimate rule a link out."""
+        out = np.zeros(len(m))
+        at = np.flatnonzero(self.sizes(n, m))
         if len(at):
             n = np.broadcast_to(n, m.shape)
             equal = ((a if a.ndim == 1 else a[at]) == b[at]).sum(-1)
-            out[at] = similarity(equal, n[at], m[at]) >= self.least
+            found = similarity(equal, n[at], m[at])
+            out[at] = np.where(found >= self.least, found, 0.0)
         return out
 
 
@@ -164,12 +168,13 @@ def _signed(n_words: int):
 
 
 def _banded(batches):
-    """(name, bands: the band's registers as one integer each)."""
+    """(name, n, bands: the band's registers as one integer each)."""
     for batch in batches:
-        regs = b"".join(batch.column(1).to_pylist())
+        regs = b"".join(batch.column(2).to_pylist())
         flat = pa.array(np.frombuffer(regs, "<i8"))
         offsets = pa.array(np.arange(0, len(flat) + 1, BANDS, dtype=np.int32))
-        yield pa.RecordBatch.from_arrays([batch.column(0), pa.ListArray.from_arrays(offsets, flat)], names=["name", "bands"])
+        yield pa.RecordBatch.from_arrays([*batch.columns[:2], pa.ListArray.from_arrays(offsets, flat)],
+                                         names=["name", "n", "bands"])
 
 
 def _regs(column: pa.Array) -> np.ndarray:
@@ -177,12 +182,13 @@ def _regs(column: pa.Array) -> np.ndarray:
 
 
 def _estimated(rule: Rule):
-    """Rows (a, b, n_a, n_b, registers of a and b): the pairs that the estimate lets pass."""
+    """Rows (a, b, n_a, n_b, registers of a and b): the pairs that the estimate lets pass, with it."""
     def run(batches):
         for batch in batches:
             n, m = batch.column(2).to_numpy(), batch.column(3).to_numpy()
-            may = rule.possible(_regs(batch.column(4)), _regs(batch.column(5)), n, m)
-            yield pa.RecordBatch.from_arrays(batch.columns[:2], names=["a", "b"]).filter(pa.array(may, pa.bool_()))
+            got = rule.estimates(_regs(batch.column(4)), _regs(batch.column(5)), n, m)
+            yield pa.RecordBatch.from_arrays([*batch.columns[:2], pa.array(got)], names=["a", "b", "estimate"]).filter(
+                pa.array(got > 0, pa.bool_()))
     return run
 
 
@@ -196,58 +202,68 @@ def _shingled(n_words: int):
     return run
 
 
+def shared(x: np.ndarray, y: np.ndarray) -> int:
+    """How many shingles two sorted sets share."""
+    if len(x) > len(y):
+        x, y = y, x
+    return int((y[np.minimum(np.searchsorted(y, x), len(y) - 1)] == x).sum())
+
+
 def _verified(rule: Rule):
     """Rows (a, b, shingles of a and b): the pairs that are links."""
     def run(batches):
         for batch in batches:
-            keep = []
-            for x, y in zip(batch.column(2), batch.column(3)):
-                x, y = np.frombuffer(x.as_py(), np.uint64), np.frombuffer(y.as_py(), np.uint64)
-                if len(x) > len(y):
-                    x, y = y, x
-                at = np.searchsorted(y, x)
-                keep.append(rule.linked(int((y[np.minimum(at, len(y) - 1)] == x).sum()), len(x), len(y)))
+            sets = [[np.frombuffer(t.as_py(), np.uint64) for t in batch.column(i)] for i in (2, 3)]
+            keep = [rule.linked(shared(x, y), len(x), len(y)) for x, y in zip(*sets)]
             yield pa.RecordBatch.from_arrays(batch.columns[:2], names=["a", "b"]).filter(pa.array(keep, pa.bool_()))
     return run
 
 
-def _apart(rule: Rule):
-    """Rows (band, value, low, high, name, n, registers, component, block) sorted by the first four: pairs of one
-    band's sets in different components that the estimate lets pass; where ``low`` and ``high``
-    differ only those of one block with the other."""
-    def pairs(rows, blocks_differ):
-        names = [r[3] for r in rows]
-        comp = np.unique(names, return_inverse=True)[1]
-        if comp.max() == 0:
+def _joining(rule: Rule):
+    """Rows (band, value, low, high, name, n, registers, component, block, tokens) sorted by the first four:
+    verified links of one band's sets that make its components one; where ``low`` and ``high``
+    differ only sets of one block meet those of the other."""
+    def links(rows, blocks_differ):
+        names, comp = np.unique([r[3] for r in rows], return_inverse=True)
+        if len(names) == 1:
             return
         n = np.array([r[1] for r in rows], np.int64)
         block = np.array([r[4] for r in rows], np.int64)
         regs = np.frombuffer(b"".join(r[2] for r in rows), np.uint16).reshape(len(rows), BUCKETS)
-        # Each set meets those of later components; the largest component comes last and meets none itself.
+        sets = [np.frombuffer(r[5], np.uint64) for r in rows]
+        # Members of smaller components look for links to larger ones; the largest one's need not look.
         size = np.bincount(comp)
-        place = np.empty(len(size), np.int64)
-        place[np.argsort(size, kind="stable")] = np.arange(len(size))
-        comp = place[comp]
-        for i in np.flatnonzero(comp < comp.max()):
-            meets = comp > comp[i]
+        rank = np.empty(len(size), np.int64)
+        rank[np.argsort(size, kind="stable")] = np.arange(len(size))
+        first, now = rank[comp], rank[comp]
+        for i in np.flatnonzero(first < first.max()):
+            meets = (first > first[i]) & (now != now[i])
             if blocks_differ:
                 meets &= block != block[i]
             other = np.flatnonzero(meets)
-            other = other[rule.possible(regs[i], regs[other], n[i], n[other])] if len(other) else other
-            if len(other):
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array([rows[i][0]] * len(other), pa.binary()), pa.array([rows[j][0] for j in other], pa.binary())],
-                    names=["a", "b"])
+            if not len(other):
+                continue
+            got = rule.estimates(regs[i], regs[other], n[i], n[other])
+            for at in np.argsort(-got, kind="stable")[:np.count_nonzero(got)]:
+                j = other[at]
+                if now[i] != now[j] and rule.linked(shared(sets[i], sets[j]), int(n[i]), int(n[j])):
+                    now[now == now[i]] = now[j]
+                    yield rows[i][0], rows[j][0]
+
+    def found(rows, blocks_differ):
+        pairs = list(links(rows, blocks_differ)) if len(rows) > 1 else []
+        if pairs:
+            yield pa.RecordBatch.from_arrays([pa.array(c, pa.binary()) for c in zip(*pairs)], names=["a", "b"])
 
     def run(batches):
         now, rows = None, []
         for batch in batches:
             for band, value, low, high, *rest in zip(*(c.to_pylist() for c in batch.columns)):
                 if (band, value, low, high) != now:
-                    yield from pairs(rows, now[2] != now[3]) if len(rows) > 1 else ()
+                    yield from found(rows, now is not None and now[2] != now[3])
                     now, rows = (band, value, low, high), []
                 rows.append(rest)
-        yield from pairs(rows, now[2] != now[3]) if len(rows) > 1 else ()
+        yield from found(rows, now is not None and now[2] != now[3])
     return run
 
 
@@ -287,56 +303,57 @@ def near_duplicates(docs: DataFrame, n_words: int = 4, num: int = 80, den: int =
         F.first("n").alias("n"), F.max("registers").alias("registers"), F.min("doc_id").alias("least"),
         F.min(F.struct("doc_id", "tkey")).alias("at"), F.count("*").alias("rows"))
         .withColumn("name", _name(F.col("least"), F.col("key"))), "sets")
-    bands = _written(sets.select("name", "registers").mapInArrow(_banded, "name binary, bands array<long>")
-                     .select("name", F.posexplode("bands").alias("band", "value")), "bands")
-    shared = _written(bands.groupBy("band", "value").agg(F.min("name").alias("first"), F.count("*").alias("sets"))
-                      .filter("sets > 1"), "shared")
+    bands = _written(sets.select("name", "n", "registers").mapInArrow(_banded, "name binary, n long, bands array<long>")
+                     .select("name", "n", F.posexplode("bands").alias("band", "value")), "bands")
+    common = _written(bands.groupBy("band", "value").agg(F.min("name").alias("first"), F.count("*").alias("sets"))
+                      .filter("sets > 1"), "common")
 
-    def verify(pairs: DataFrame, name: str) -> DataFrame:
-        wanted = pairs.select(F.explode(F.array("a", "b")).alias("name")).distinct()
+    def tokens(names: DataFrame, step: str) -> DataFrame:
+        """(name, tokens) of the sets ``names``, their texts read again."""
         at = _written(sets.select("name", F.col("at.doc_id").alias("at_id"), F.col("at.tkey").alias("at_key"))
-                      .join(wanted, "name"), f"{name}-at")
+                      .join(names, "name"), f"{step}-at")
         if at.count() <= BROADCAST_IDS:
             at = F.broadcast(at)
         # Rows that repeat an id and a text give a set twice; one is enough.
-        tokens = _written(docs.join(at, F.col("doc_id").eqNullSafe(F.col("at_id")) & (F.col("tkey") == F.col("at_key")))
-                          .select("name", "text").mapInArrow(_shingled(n_words), "name binary, tokens binary")
-                          .groupBy("name").agg(F.first("tokens").alias("tokens")), f"{name}-tokens")
-        side = lambda c, t: tokens.select(F.col("name").alias(c), F.col("tokens").alias(t))
-        return _written(pairs.join(side("a", "x"), "a").join(side("b", "y"), "b").select("a", "b", "x", "y")
-                        .mapInArrow(_verified(rule), "a binary, b binary"), name)
+        return _written(docs.join(at, F.col("doc_id").eqNullSafe(F.col("at_id")) & (F.col("tkey") == F.col("at_key")))
+                        .select("name", "text").mapInArrow(_shingled(n_words), "name binary, tokens binary")
+                        .groupBy("name").agg(F.first("tokens").alias("tokens")), f"{step}-tokens")
 
     side = lambda c: sets.select(F.col("name").alias(c), F.col("n").alias(f"n_{c}"),
                                  F.col("registers").alias(f"registers_{c}"))
-    starred = (bands.join(shared, ["band", "value"]).filter("name <> first")
+    starred = (bands.join(common, ["band", "value"]).filter("name <> first")
                .select(F.col("first").alias("a"), F.col("name").alias("b")).distinct())
     near = _written(starred.join(side("a"), "a").join(side("b"), "b")
                     .select("a", "b", "n_a", "n_b", "registers_a", "registers_b")
-                    .mapInArrow(_estimated(rule), "a binary, b binary"), "near")
-    links = verify(near, "links")
+                    .mapInArrow(_estimated(rule), "a binary, b binary, estimate double")
+                    .groupBy("b").agg(F.max_by("a", F.struct("estimate", "a")).alias("a")), "near")
+    known = tokens(near.select(F.explode(F.array("a", "b")).alias("name")).distinct(), "near")
+    has = lambda c, t: known.select(F.col("name").alias(c), F.col("tokens").alias(t))
+    links = _written(near.join(has("a", "x"), "a").join(has("b", "y"), "b").select("a", "b", "x", "y")
+                     .mapInArrow(_verified(rule), "a binary, b binary"), "links")
     joined = components(links).select(F.col("node").alias("name"), "component")
 
-    placed = (bands.join(shared.filter("sets > 2").select("band", "value"), ["band", "value"])
+    placed = (bands.join(common.select("band", "value"), ["band", "value"])
               .join(joined, "name", "left").withColumn("component", F.coalesce("component", "name")))
-    # Of bands with the same sets one is enough. Two sets alone in a band have met already.
+    # Of bands with the same sets one is enough.
     still = _written(
         placed.groupBy("band", "value").agg(
             F.min("component").alias("low"), F.max("component").alias("high"), F.count("*").alias("sets"),
+            F.sum("n").alias("shingles"),
             F.bit_xor(F.xxhash64("name")).alias("x"), F.bit_xor(F.xxhash64("name", F.lit(1))).alias("y"))
-        .filter("low <> high").groupBy("sets", "x", "y").agg(F.min(F.struct("band", "value")).alias("b"))
-        .select("b.band", "b.value", F.ceil(F.col("sets") / MEET).cast("long").alias("blocks")), "open")
-    blocked = (placed.join(still, ["band", "value"])
-               .withColumn("block", F.pmod(F.xxhash64("name", F.lit(2)), F.col("blocks")))
+        .filter("low <> high").groupBy("sets", "shingles", "x", "y").agg(F.min(F.struct("band", "value")).alias("b"))
+        .select("b.band", "b.value", F.greatest(F.ceil(F.col("sets") / MEET), F.ceil(F.col("shingles") / MEET_SHINGLES))
+                .cast("long").alias("blocks")), "open")
+    waiting = _written(placed.join(still, ["band", "value"]).select("band", "value", "name", "n", "component", "blocks"), "waiting")
+    opened = tokens(waiting.select("name").distinct(), "open")
+    meeting = ["band", "value", "low", "high"]
+    blocked = (waiting.withColumn("block", F.pmod(F.xxhash64("name", F.lit(2)), F.col("blocks")))
                .withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
                .withColumns({"low": F.least("block", "other"), "high": F.greatest("block", "other")}))
-    meeting = ["band", "value", "low", "high"]
-    apart = _written(blocked.join(sets.select("name", "n", "registers"), "name")
-                     .select(*meeting, "name", "n", "registers", "component", "block")
-                     .repartition(*meeting).sortWithinPartitions(*meeting)
-                     .mapInArrow(_apart(rule), "a binary, b binary")
-                     .select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
-                     .join(near, ["a", "b"], "left_anti"), "apart")
-    links = _written(links.union(verify(apart, "more")), "all-links")
+    more = (blocked.join(sets.select("name", "registers"), "name").join(opened, "name")
+            .select(*meeting, "name", "n", "registers", "component", "block", "tokens")
+            .repartition(*meeting).sortWithinPartitions(*meeting).mapInArrow(_joining(rule), "a binary, b binary"))
+    links = _written(links.union(more), "all-links")
     final = components(links)
 
     # A component's least name begins with its least id. Sets of one row without a link stand for themselves.
