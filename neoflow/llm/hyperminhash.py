@@ -16,9 +16,11 @@ first one: 16 bits a register.
 4. All others are verified on the full sets. First each set meets, of its bands' least
    sets, the one with the best estimate; what verified links connect is one component.
    Then, in bands that still hold several components, sets of different ones meet in
-   blocks inside a task, best estimates first, and each verified link makes two
-   components one, so that a task gives at most one link a component and block. Links
-   inside a component are left out, but none that connects two.
+   blocks inside a task: where sizes, estimate and odd sketches (whose Hamming distance
+   never exceeds the difference of two sets) allow a link, the sets' shingles are
+   fetched, and each verified link makes two components one, so that a task gives at
+   most one link a component and block. Links inside a component are left out, but
+   none that connects two.
 """
 
 from __future__ import annotations
@@ -32,6 +34,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from neoflow.llm.components import components
+from neoflow.llm.jaccard_join import folded, odd_sketch
 from neoflow.session import scratch_path
 
 BUCKETS, ROWS = 128, 4
@@ -123,6 +126,10 @@ class Rule:
     def linked(self, both: int, n: int, m: int) -> bool:
         return self.den * both >= self.num * (n + m - both)
 
+    def differ(self, n, m):
+        """Shingles that linked sets of these sizes differ in, at most."""
+        return (n + m) * (self.den - self.num) // (self.den + self.num)
+
     def sizes(self, n, m):
         """The smaller set is large enough for a link."""
         return self.den * np.minimum(n, m) >= self.num * np.maximum(n, m)
@@ -140,15 +147,15 @@ class Rule:
         return out
 
 
-_SIGNED = "doc_id long, tkey long, n long, key binary, registers binary"
+_SIGNED = "doc_id long, tkey long, n long, key binary, registers binary, sketch binary"
 
 
 def _signed(n_words: int):
-    """Size, key and registers of every text's set; registers only where the task hasn't met the set lately."""
+    """Size, key, registers and sketch of every text's set; the last two only where the task hasn't met the set lately."""
     def run(batches):
         shingle, lately = Shingler(n_words), {}
         for batch in batches:
-            n, keys, regs = [], [], []
+            n, keys, regs, sketches = [], [], [], []
             for t in batch.column(1):
                 s = shingle(t.as_py())
                 n.append(len(s))
@@ -156,25 +163,27 @@ def _signed(n_words: int):
                 keys.append(key)
                 if key is None or key in lately:
                     regs.append(None)
+                    sketches.append(None)
                     continue
                 if len(lately) >= LATELY:
                     lately.clear()
                 lately[key] = True
                 regs.append(registers(s).tobytes())
+                sketches.append(odd_sketch(s))
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), batch.column(2), pa.array(n, pa.int64()), pa.array(keys, pa.binary()),
-                 pa.array(regs, pa.binary())], names=["doc_id", "tkey", "n", "key", "registers"])
+                 pa.array(regs, pa.binary()), pa.array(sketches, pa.binary())],
+                names=["doc_id", "tkey", "n", "key", "registers", "sketch"])
     return run
 
 
 def _banded(batches):
-    """(name, n, bands: the band's registers as one integer each)."""
+    """(name, bands: the band's registers as one integer each)."""
     for batch in batches:
-        regs = b"".join(batch.column(2).to_pylist())
+        regs = b"".join(batch.column(1).to_pylist())
         flat = pa.array(np.frombuffer(regs, "<i8"))
         offsets = pa.array(np.arange(0, len(flat) + 1, BANDS, dtype=np.int32))
-        yield pa.RecordBatch.from_arrays([*batch.columns[:2], pa.ListArray.from_arrays(offsets, flat)],
-                                         names=["name", "n", "bands"])
+        yield pa.RecordBatch.from_arrays([batch.column(0), pa.ListArray.from_arrays(offsets, flat)], names=["name", "bands"])
 
 
 def _regs(column: pa.Array) -> np.ndarray:
@@ -219,51 +228,87 @@ def _verified(rule: Rule):
     return run
 
 
-def _joining(rule: Rule):
-    """Rows (band, value, low, high, name, n, registers, component, block, tokens) sorted by the first four:
-    verified links of one band's sets that make its components one; where ``low`` and ``high``
-    differ only sets of one block meet those of the other."""
-    def links(rows, blocks_differ):
-        names, comp = np.unique([r[3] for r in rows], return_inverse=True)
-        if len(names) == 1:
-            return
-        n = np.array([r[1] for r in rows], np.int64)
-        block = np.array([r[4] for r in rows], np.int64)
-        regs = np.frombuffer(b"".join(r[2] for r in rows), np.uint16).reshape(len(rows), BUCKETS)
-        sets = [np.frombuffer(r[5], np.uint64) for r in rows]
-        # Members of smaller components look for links to larger ones; the largest one's need not look.
+class _Block:
+    """Sets of one band, (name, n, registers, component, block, extra) each, in the order of their components'
+    sizes: members of smaller components look for links to larger ones."""
+
+    def __init__(self, rows: list[list], blocks_differ: bool):
+        self.names = [r[0] for r in rows]
+        self.n = np.array([r[1] for r in rows], np.int64)
+        self.regs = np.frombuffer(b"".join(r[2] for r in rows), np.uint16).reshape(len(rows), BUCKETS)
+        comp = np.unique([r[3] for r in rows], return_inverse=True)[1]
         size = np.bincount(comp)
         rank = np.empty(len(size), np.int64)
         rank[np.argsort(size, kind="stable")] = np.arange(len(size))
-        first, now = rank[comp], rank[comp]
-        for i in np.flatnonzero(first < first.max()):
-            meets = (first > first[i]) & (now != now[i])
-            if blocks_differ:
-                meets &= block != block[i]
+        self.component = rank[comp]
+        self.block = np.array([r[4] for r in rows], np.int64) if blocks_differ else None
+        self.extra = [r[5] for r in rows]
+
+    def candidates(self, rule: Rule, now: np.ndarray):
+        """(set, those of larger components that the estimate lets pass, best first); sets that are one
+        component in ``now`` by then don't meet."""
+        for i in np.flatnonzero(self.component < self.component.max()):
+            meets = (self.component > self.component[i]) & (now != now[i])
+            if self.block is not None:
+                meets &= self.block != self.block[i]
             other = np.flatnonzero(meets)
-            if not len(other):
-                continue
-            got = rule.estimates(regs[i], regs[other], n[i], n[other])
-            for at in np.argsort(-got, kind="stable")[:np.count_nonzero(got)]:
-                j = other[at]
-                if now[i] != now[j] and rule.linked(shared(sets[i], sets[j]), int(n[i]), int(n[j])):
+            if len(other):
+                got = rule.estimates(self.regs[i], self.regs[other], self.n[i], self.n[other])
+                yield i, other[np.argsort(-got, kind="stable")[:np.count_nonzero(got)]]
+
+
+def _waiting(rule: Rule):
+    """Extra: the sketch. The sets of a block for which sizes, estimate and sketches allow a link to another component."""
+    def run(block: _Block):
+        size = min(map(len, block.extra)) // 8
+        sketch = np.stack([folded(np.frombuffer(x, np.uint64), size) for x in block.extra])
+        may = np.zeros(len(block.names), bool)
+        for i, other in block.candidates(rule, block.component):
+            far = np.bitwise_count(sketch[other] ^ sketch[i]).sum(-1, dtype=np.int64)
+            other = other[far <= rule.differ(block.n[i], block.n[other])]
+            may[other] = True
+            may[i] |= len(other) > 0
+        return [(block.names[i],) for i in np.flatnonzero(may)]
+    return run
+
+
+def _joining(rule: Rule):
+    """Extra: the shingles. Verified links that make the block's components one."""
+    def run(block: _Block):
+        sets = [np.frombuffer(x, np.uint64) for x in block.extra]
+        now, out = block.component.copy(), []
+        for i, other in block.candidates(rule, now):
+            for j in other:
+                if now[i] != now[j] and rule.linked(shared(sets[i], sets[j]), len(sets[i]), len(sets[j])):
                     now[now == now[i]] = now[j]
-                    yield rows[i][0], rows[j][0]
+                    out.append((block.names[i], block.names[j]))
+        return out
+    return run
+
+
+_MEETING = ["band", "value", "low", "high"]
+
 
-    def found(rows, blocks_differ):
-        pairs = list(links(rows, blocks_differ)) if len(rows) > 1 else []
-        if pairs:
-            yield pa.RecordBatch.from_arrays([pa.array(c, pa.binary()) for c in zip(*pairs)], names=["a", "b"])
+def _in_blocks(met, names: list[str], keep: bool):
+    """Rows of _MEETING and a block's sets, sorted by the first: what ``met`` gives for each block of several
+    components, with its place if ``keep``; where ``low`` and ``high`` differ, sets of one meet those of the other."""
+    def found(place, rows):
+        if len(rows) > 1 and len({r[3] for r in rows}) > 1:
+            got = met(_Block(rows, place[2] != place[3]))
+            if got:
+                at = [pa.array([x] * len(got), pa.int64()) for x in place] if keep else []
+                yield pa.RecordBatch.from_arrays([*at, *(pa.array(c, pa.binary()) for c in zip(*got))],
+                                                 names=_MEETING * keep + names)
 
     def run(batches):
         now, rows = None, []
         for batch in batches:
             for band, value, low, high, *rest in zip(*(c.to_pylist() for c in batch.columns)):
                 if (band, value, low, high) != now:
-                    yield from found(rows, now is not None and now[2] != now[3])
+                    yield from found(now, rows)
                     now, rows = (band, value, low, high), []
                 rows.append(rest)
-        yield from found(rows, now is not None and now[2] != now[3])
+        yield from found(now, rows)
     return run
 
 
@@ -300,13 +345,16 @@ def near_duplicates(docs: DataFrame, n_words: int = 4, num: int = 80, den: int =
     members = _written(docs.mapInArrow(_signed(n_words), _SIGNED), "members")
     # One row a set, copies summed up before the shuffle; ``at`` is a row where its text can be found.
     sets = _written(members.filter("n > 0").groupBy("key").agg(
-        F.first("n").alias("n"), F.max("registers").alias("registers"), F.min("doc_id").alias("least"),
+        F.first("n").alias("n"), F.max("registers").alias("registers"), F.max("sketch").alias("sketch"),
+        F.min("doc_id").alias("least"),
         F.min(F.struct("doc_id", "tkey")).alias("at"), F.count("*").alias("rows"))
         .withColumn("name", _name(F.col("least"), F.col("key"))), "sets")
-    bands = _written(sets.select("name", "n", "registers").mapInArrow(_banded, "name binary, n long, bands array<long>")
-                     .select("name", "n", F.posexplode("bands").alias("band", "value")), "bands")
-    common = _written(bands.groupBy("band", "value").agg(F.min("name").alias("first"), F.count("*").alias("sets"))
-                      .filter("sets > 1"), "common")
+    bands = _written(sets.select("name", "registers").mapInArrow(_banded, "name binary, bands array<long>")
+                     .select("name", F.posexplode("bands").alias("band", "value"))
+                     .withColumn("band", F.col("band").cast("long")), "bands")
+    several = (bands.groupBy("band", "value").agg(F.min("name").alias("first"), F.count("*").alias("sets"))
+               .filter("sets > 1").drop("sets"))
+    common = _written(bands.join(several, ["band", "value"]), "common")
 
     def tokens(names: DataFrame, step: str) -> DataFrame:
         """(name, tokens) of the sets ``names``, their texts read again."""
@@ -321,8 +369,7 @@ def near_duplicates(docs: DataFrame, n_words: int = 4, num: int = 80, den: int =
 
     side = lambda c: sets.select(F.col("name").alias(c), F.col("n").alias(f"n_{c}"),
                                  F.col("registers").alias(f"registers_{c}"))
-    starred = (bands.join(common, ["band", "value"]).filter("name <> first")
-               .select(F.col("first").alias("a"), F.col("name").alias("b")).distinct())
+    starred = (common.filter("name <> first").select(F.col("first").alias("a"), F.col("name").alias("b")).distinct())
     near = _written(starred.join(side("a"), "a").join(side("b"), "b")
                     .select("a", "b", "n_a", "n_b", "registers_a", "registers_b")
                     .mapInArrow(_estimated(rule), "a binary, b binary, estimate double")
@@ -333,7 +380,7 @@ def near_duplicates(docs: DataFrame, n_words: int = 4, num: int = 80, den: int =
                      .mapInArrow(_verified(rule), "a binary, b binary"), "links")
     joined = components(links).select(F.col("node").alias("name"), "component")
 
-    placed = (bands.join(common.select("band", "value"), ["band", "value"])
+    placed = (common.select("band", "value", "name").join(sets.select("name", "n"), "name")
               .join(joined, "name", "left").withColumn("component", F.coalesce("component", "name")))
     # Of bands with the same sets one is enough.
     still = _written(
@@ -344,15 +391,23 @@ def near_duplicates(docs: DataFrame, n_words: int = 4, num: int = 80, den: int =
         .filter("low <> high").groupBy("sets", "shingles", "x", "y").agg(F.min(F.struct("band", "value")).alias("b"))
         .select("b.band", "b.value", F.greatest(F.ceil(F.col("sets") / MEET), F.ceil(F.col("shingles") / MEET_SHINGLES))
                 .cast("long").alias("blocks")), "open")
-    waiting = _written(placed.join(still, ["band", "value"]).select("band", "value", "name", "n", "component", "blocks"), "waiting")
-    opened = tokens(waiting.select("name").distinct(), "open")
-    meeting = ["band", "value", "low", "high"]
-    blocked = (waiting.withColumn("block", F.pmod(F.xxhash64("name", F.lit(2)), F.col("blocks")))
-               .withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
-               .withColumns({"low": F.least("block", "other"), "high": F.greatest("block", "other")}))
-    more = (blocked.join(sets.select("name", "registers"), "name").join(opened, "name")
-            .select(*meeting, "name", "n", "registers", "component", "block", "tokens")
-            .repartition(*meeting).sortWithinPartitions(*meeting).mapInArrow(_joining(rule), "a binary, b binary"))
+    blocked = _written(placed.join(still, ["band", "value"])
+                       .withColumn("block", F.pmod(F.xxhash64("name", F.lit(2)), F.col("blocks")))
+                       .withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
+                       .select("band", "value", F.least("block", "other").alias("low"), F.greatest("block", "other").alias("high"),
+                               "name", "n", "component", "block"), "blocked")
+
+    def meet(rows: DataFrame, extra: DataFrame, run, schema: str) -> DataFrame:
+        payload = sets.select("name", "registers").join(extra, "name")
+        return (rows.join(payload, "name").select(*_MEETING, "name", "n", "registers", "component", "block", "extra")
+                .repartition(*_MEETING).sortWithinPartitions(*_MEETING).mapInArrow(run, schema))
+
+    waiting = _written(meet(blocked, sets.select("name", F.col("sketch").alias("extra")),
+                            _in_blocks(_waiting(rule), ["name"], True),
+                            "band long, value long, low long, high long, name binary"), "waiting")
+    opened = tokens(waiting.select("name").distinct(), "open").withColumnRenamed("tokens", "extra")
+    more = meet(blocked.join(waiting, [*_MEETING, "name"], "left_semi"), opened,
+                _in_blocks(_joining(rule), ["a", "b"], False), "a binary, b binary")
     links = _written(links.union(more), "all-links")
     final = components(links)
 
