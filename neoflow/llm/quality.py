@@ -9,11 +9,13 @@ cut lies at a quantile of the sample's scores.
 from __future__ import annotations
 
 import math
+from collections.abc import Iterator
 from dataclasses import dataclass
 from itertools import islice
 from operator import eq
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -151,7 +153,14 @@ def score_quality(docs: DataFrame, labels: DataFrame) -> DataFrame:
 
 
 def keep_good(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """The rows of ``docs`` that the classifier doesn't reject, all columns."""
-    columns = docs.columns
-    return (score(docs, fit(docs, labels), columns)
-            .filter(F.col("quality_score") >= CUT).select(*columns))
+    """The rows of ``docs`` that the classifier doesn't reject, all columns, whatever their names. Only the
+    text goes to Python; null and empty texts are scored by their (empty) features."""
+    model = fit(docs, labels)
+
+    @F.pandas_udf("boolean")
+    def good(texts: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        for some in texts:
+            rows = np.array([features(t if isinstance(t, str) else None) for t in some]).reshape(-1, N_FEATURES)
+            yield pd.Series(model.score(rows) >= CUT)
+
+    return docs.filter(good("text"))
