@@ -92,9 +92,15 @@ def spans(text: str | None, encoding) -> list[tuple[str, int, int]]:
     reported where no pattern has reported part of it."""
     text = text or ""
     out = base_spans(text)
+    # Strings come in order and apart from each other: of the patterns' spans, by start, one pass says
+    # which is the first that begins behind a string and how far those before it reach.
+    taken, at, reach = sorted((s, e) for _, s, e in out), 0, 0
     for m in _STRING.finditer(text):
         a, b = m.span()
-        if not any(s < b and a < e for _, s, e in out) and not is_known(m[0], encoding) and is_random(m[0], encoding):
+        while at < len(taken) and taken[at][0] < b:
+            reach = max(reach, taken[at][1])
+            at += 1
+        if reach <= a and not is_known(m[0], encoding) and is_random(m[0], encoding):
             out.append(("random", a, b))
     return sorted(out, key=lambda x: (x[1], KINDS.index(x[0])))
 
