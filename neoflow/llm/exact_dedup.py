@@ -27,6 +27,8 @@ from neoflow.session import scratch_path
 CHUNK = 200_000
 #: Suspects up to which their ids (8 bytes each) are broadcast; beyond it Spark joins by a shuffle.
 BROADCAST_IDS = 500_000
+#: Groups of copies up to which they are broadcast (about 60 bytes each); beyond it suspects are joined by a shuffle.
+BROADCAST_GROUPS = 200_000
 
 _MESSAGE = ("sender long, chunk long, owner long, blob binary, uid array<long>, "
             "doc_id array<long>, tkey array<long>, sha array<binary>")
@@ -121,11 +123,21 @@ def exact_dedup(docs: DataFrame) -> DataFrame:
                       .otherwise(F.raise_error(F.lit("two texts have one SHA-256")).cast("long"))
                       .alias("group_size"))
               .filter("group_size > 1"))
+    path = scratch_path(spark, "exact-dedup-groups")
+    groups.write.parquet(path)
+    groups = spark.read.parquet(path)
+    if groups.count() <= BROADCAST_GROUPS:
+        groups = F.broadcast(groups)
+    # Only suspects are joined; a text that is no suspect has no copy.
     own = F.col("keep_uid").isNull()
-    return (rows.join(groups, "sha", "left")
-            .select("doc_id", "tkey", F.when(own, F.col("doc_id")).otherwise(F.col("keep_id")).alias("keep_id"),
-                    F.coalesce("group_size", F.lit(1).cast("long")).alias("group_size"),
-                    F.coalesce(F.col("uid") == F.col("keep_uid"), F.lit(True)).alias("kept"), "sha"))
+    copies = suspects.join(groups, "sha", "left").select(
+        "doc_id", "tkey", F.when(own, F.col("doc_id")).otherwise(F.col("keep_id")).alias("keep_id"),
+        F.coalesce("group_size", F.lit(1).cast("long")).alias("group_size"),
+        F.coalesce(F.col("uid") == F.col("keep_uid"), F.lit(True)).alias("kept"), "sha")
+    single = rows.filter("not suspect").select(
+        "doc_id", "tkey", F.col("doc_id").alias("keep_id"), F.lit(1).cast("long").alias("group_size"),
+        F.lit(True).alias("kept"), "sha")
+    return copies.unionByName(single)
 
 
 def drop_copies(docs: DataFrame) -> DataFrame:
