@@ -16,6 +16,7 @@ from __future__ import annotations
 
 import os
 import re
+from array import array
 from collections import Counter, defaultdict
 from functools import lru_cache
 from zlib import crc32
@@ -57,9 +58,14 @@ class WordTokenizer:
         from tokenizers import Tokenizer
         self.tokenizer = Tokenizer.from_file(path)
         self.kind = id_kind(self.tokenizer.get_vocab_size())
+        self.code = {"<u2": "H", "<u4": "I"}[self.kind]
         self.known: dict[str, bytes] = {"": b""}
         self.old: dict[str, bytes] = {}
         self.mark = self.tokenizer.encode("|", add_special_tokens=False).ids[0]
+        self.marks: dict[str, bytes] = {}
+        self.model = self.tokenizer.model
+        probe = ["q", "hello", "unbelievably", "été", "naïveté", "àíñßø", "überaus", "señor"]
+        self.direct = all(self._by_model(w) == raw for w, raw in self._ask(probe).items())
 
     def _ask(self, words: list[str]) -> dict[str, bytes]:
         """Encodes words in few calls, a mark between each two; words with the mark inside on their own."""
@@ -79,22 +85,36 @@ class WordTokenizer:
                 first = end + 1
         return out
 
+    def _by_model(self, core: str) -> bytes:
+        """A word of lower-case letters, by the model alone: no normalizing and cutting to be done."""
+        piece = core if core.isascii() else core.encode().decode("latin-1").translate(_BYTE_LETTERS)
+        return array(self.code, [t.id for t in self.model.tokenize(piece)]).tobytes()
+
+    def _letters(self, core: str) -> bytes:
+        return self._by_model(core) if self.direct else self._ask([core])[core]
+
     def learn(self, words: list[str]) -> None:
         """New words. A word of Latin letters with marks after it is its lower-case
         letters and the marks, each encoded once."""
-        known, old, plain, ask = self.known, self.old, {}, set()
+        known, old, marks, ask = self.known, self.old, self.marks, []
         for w in words:
-            if (raw := old.get(w)) is not None:
-                known[w] = raw
-            elif m := _PLAIN(w):
-                core, marks = m.groups()
-                plain[w] = pair = (core.lower(), marks)
-                ask.update(pair)
-            else:
-                ask.add(w)
-        known.update(self._ask([w for w in ask if w not in known]))
-        for w, (core, marks) in plain.items():
-            known[w] = known[core] + known[marks]
+            raw = old.get(w)
+            if raw is None:
+                if m := _PLAIN(w):
+                    core, end = m.groups()
+                    core = core.lower()
+                    raw = known.get(core) or old.get(core)
+                    if raw is None:
+                        known[core] = raw = self._letters(core)
+                    if end:
+                        if end not in marks:
+                            marks[end] = self._ask([end])[end]
+                        raw += marks[end]
+                else:
+                    ask.append(w)
+                    continue
+            known[w] = raw
+        known.update(self._ask(ask))
 
     def encode(self, texts: list[str]) -> list[bytes]:
         if len(self.known) > CACHE_WORDS:  # words still in use come back from the old ones
@@ -112,6 +132,15 @@ def word_tokenizer(path: str) -> WordTokenizer:
     return WordTokenizer(path)
 
 
+def _byte_letters() -> dict[int, int]:
+    """Byte-level vocabularies write printable bytes as themselves and the others, in order, as code points from 256 on."""
+    printable = {*range(33, 127), *range(161, 173), *range(174, 256)}
+    return {b: 256 + i for i, b in enumerate(b for b in range(256) if b not in printable)}
+
+
+_BYTE_LETTERS = _byte_letters()
+
+
 def _groups(texts: list[str], size: int = 1 << 20):
     """Runs of texts with about ``size`` characters each."""
     first = total = 0
