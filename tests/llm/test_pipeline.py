@@ -65,3 +65,16 @@ def test_edge_rows_in_every_stage(spark, name):
         assert STAGES[name](spark, docs.limit(0), SF001).count() == 0
     if name in ("exact_dedup", "near_duplicates"):
         assert n == (5 if name == "exact_dedup" else 6)  # a null and an empty text are equal texts, and sets that link with nothing
+
+
+@pytest.mark.parametrize("name", [n for n, _ in corpus_pipeline.STAGES[:-1]])
+def test_columns_of_any_name_are_handed_on(spark, name):
+    """Names that the stages use themselves travel with their values."""
+    names = ["quality_score", "__own", "__id", "__tkey", "__keep", "row", "id", "own", "of", "at", "keep", "tkey", "key"]
+    docs = spark.read.parquet(f"{SF001}/documents.parquet").limit(60)
+    plain = {r["doc_id"] for r in STAGES[name](spark, docs, SF001).collect()}
+    full = docs.withColumns({c: F.concat(F.lit(c), F.col("doc_id").cast("string")) for c in names})
+    got = STAGES[name](spark, full, SF001)
+    assert got.columns == full.columns
+    rows_ = got.collect()
+    assert {r["doc_id"] for r in rows_} == plain and all(r[c] == f"{c}{r['doc_id']}" for r in rows_ for c in names)

@@ -335,3 +335,22 @@ def test_secret_scan_edges(spark):
         (1, []), (2, []), (3, [("assign", 200_001, 200_016)]), (3, []), (None, [("assign", 2, 18)])]))
     assert secret_scan.scan(frame(spark, []), RANKS).count() == 0
     assert hashlib.sha256(b"").hexdigest() == sha("")
+
+
+def test_many_random_strings_take_one_pass():
+    """32,000 candidates with a hex span between each two: seconds, not minutes."""
+    import random
+    import time
+    import public_tokenizers
+    from neoflow.llm import secret_scan
+    rng = random.Random(4)
+    letters = "abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789"
+    text = " ".join("".join(rng.choices(letters, k=24)) + " " + "".join(rng.choices("0123456789abcdef", k=26)) for _ in range(32_000))
+    encoding = secret_scan.vocabulary(public_tokenizers.path("byte_bpe_50k.tiktoken"))
+    secret_scan.spans("warm up", encoding)
+    before = time.process_time()
+    found = secret_scan.spans(text, encoding)
+    assert time.process_time() - before < 20
+    kinds = [k for k, _, _ in found]
+    assert kinds.count("hex") == 32_000 and kinds.count("random") > 28_000
+    assert all(a[2] <= b[1] for a, b in zip(found, found[1:]))
