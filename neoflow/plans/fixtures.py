@@ -57,15 +57,20 @@ def _diam(lo: Column, hi: Column, factor: float) -> Column:
                     (hi * F.lit(factor)).alias("estimated_diameter_max"))
 
 
-def payload_objects(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One row per message with the object struct in ``obj`` plus the order
-    key, line number and order date (for record timestamps)."""
+def payload_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One narrow row per message: the columns of its order and line."""
     o = table(spark, sf_dir, "orders").select(
         "o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate", "o_orderpriority")
     li = table(spark, sf_dir, "lineitem").select(
         "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity",
         "l_extendedprice", "l_discount", "l_tax", "l_shipdate")
-    j = o.join(li, o.o_orderkey == li.l_orderkey, "left")
+    # Merged, not broadcast: the wide messages are made in the join's tasks, however few the scans have.
+    return o.join(li.hint("merge"), o.o_orderkey == li.l_orderkey, "left")
+
+
+def objects_of(lines: DataFrame) -> DataFrame:
+    """``payload_lines`` -> one row per message with the object struct in ``obj`` plus the order
+    key, line number and order date (for record timestamps)."""
     ship = F.col("l_shipdate")
     line = _approach(ship, F.col("l_quantity"), F.col("l_extendedprice"), F.col("l_discount"),
                      F.col("l_tax"), F.col("l_partkey"), F.col("l_suppkey"))
@@ -91,16 +96,24 @@ def payload_objects(spark: SparkSession, sf_dir: str) -> DataFrame:
         (F.col("o_orderpriority") == "1-URGENT").alias("is_sentry_object"),
         format_day("o_orderdate").alias("current_date"),
     )
-    return j.select("o_orderkey", "l_linenumber", "o_orderdate", obj.alias("obj"))
+    return lines.select("o_orderkey", "l_linenumber", "o_orderdate", obj.alias("obj"))
 
 
-def payload_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
+def payload_objects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return objects_of(payload_lines(spark, sf_dir))
+
+
+def messages_of(lines: DataFrame) -> DataFrame:
     """(value: JSON text, ts) per message, nulls written as ``null``."""
-    return payload_objects(spark, sf_dir).select(
+    return objects_of(lines).select(
         to_json_keep_nulls("obj").alias("value"),
         F.col("o_orderdate").cast("timestamp").alias("ts"))
 
 
+def payload_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return messages_of(payload_lines(spark, sf_dir))
+
+
 def as_records(messages: DataFrame, topic: str, value_col: str = "value",
                ts_col: str | None = "ts", key: Column | None = None) -> DataFrame:
     """Text messages -> record table. Records are numbered per Spark

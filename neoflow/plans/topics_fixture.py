@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from neoflow.fs import path_exists
 from neoflow.plans import fixtures as fx
 from neoflow.session import scratch_path
-from neoflow.sinks.topic import FILES, TopicSink, append_records, create_topic
+from neoflow.sinks.topic import CODEC, FILES, TopicSink, append_records, create_topic
 
 _CACHE: dict[tuple, str] = {}
 
@@ -21,20 +21,27 @@ _CACHE: dict[tuple, str] = {}
 SLICE_BOUNDS = ["1994-01-01", "1996-01-01", "1998-01-01"]
 
 
+def _sliced_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``payload_lines`` with their slice, joined once per application and kept as narrow rows: only a slice's
+    messages are made of them, so orders and lines are not joined again for each slice."""
+    lines = fx.payload_lines(spark, sf_dir)
+    ts = F.col("o_orderdate").cast("timestamp")
+    number = sum((F.when(ts >= F.lit(b).cast("timestamp"), 1).otherwise(0) for b in SLICE_BOUNDS), F.lit(0))
+    sliced = lines.withColumn("slice", number)
+    key = (spark.sparkContext.applicationId, sf_dir, "lines")
+    path = _CACHE.get(key)
+    if not (path and path_exists(spark, path)):
+        path = scratch_path(spark, "payload-lines")
+        (sliced.sortWithinPartitions("slice", "o_orderkey")
+         .write.partitionBy("slice").option("compression", CODEC).parquet(path))
+        _CACHE[key] = path
+    return spark.read.schema(sliced.schema).parquet(path)
+
+
 def payload_slices(spark: SparkSession, sf_dir: str) -> list[DataFrame]:
-    msgs = fx.payload_messages(spark, sf_dir)
-    bounds = [None] + SLICE_BOUNDS + [None]
-    out = []
-    for lo, hi in zip(bounds[:-1], bounds[1:]):
-        cond = F.lit(True)
-        if lo:
-            cond = cond & (F.col("ts") >= F.lit(lo).cast("timestamp"))
-        if hi:
-            cond = cond & (F.col("ts") < F.lit(hi).cast("timestamp"))
-        if lo is None:
-            cond = cond | F.col("ts").isNull()
-        out.append(msgs.filter(cond).select("value", F.col("ts").alias("timestamp")))
-    return out
+    lines = _sliced_lines(spark, sf_dir)
+    return [fx.messages_of(lines.filter(F.col("slice") == i)).select("value", F.col("ts").alias("timestamp"))
+            for i in range(len(SLICE_BOUNDS) + 1)]
 
 
 def payload_topic(spark: SparkSession, sf_dir: str) -> str:
@@ -46,7 +53,9 @@ def payload_topic(spark: SparkSession, sf_dir: str) -> str:
     path = scratch_path(spark, "topic-objects")
     sink = TopicSink(kind=FILES, path=path, topic=fx.PAYLOAD_TOPIC)
     msgs = fx.payload_messages(spark, sf_dir).select("value", F.col("ts").alias("timestamp"))
-    append_records(spark, msgs, sink, num_partitions=2 * spark.sparkContext.defaultParallelism)
+    # Coalesced, not shuffled: the messages are many times as wide as the rows they are made of,
+    # and those of one order stay together.
+    append_records(spark, msgs.coalesce(2 * spark.sparkContext.defaultParallelism), sink)
     _CACHE[key] = path
     return path
 

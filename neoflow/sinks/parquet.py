@@ -45,7 +45,7 @@ def parquet_append_stream(df: DataFrame, path: str, checkpoint: str | None = Non
     layout (see ``cluster_for_write``), the same for every trigger."""
     cols = [partition_by] if isinstance(partition_by, str) else list(partition_by or [])
     df = cluster_for_write(df, cols, cluster)
-    w = (df.writeStream.format("parquet").outputMode("append")
+    w = (df.writeStream.format("parquet").outputMode("append").option("compression", "zstd")
          .option("checkpointLocation", checkpoint or default_checkpoint(path))
          .trigger(**(trigger or {"processingTime": "5 seconds"})))
     if cols:

@@ -12,6 +12,10 @@ offsets, dense and unique in each (topic, partition):
    are written with their offsets. An append that was cut off is finished first, from
    what it has staged; a batch that was committed is not written again.
 
+Where each task has a partition of its own, a message's offset is known when it is staged: the
+partition's end plus its row. Such messages are written once, and the committed files are
+moved into the topic.
+
 One writer at a time appends to a topic.
 """
 
@@ -96,6 +100,8 @@ def write_topic_stream(records: DataFrame, sink: TopicSink, checkpoint: str,
 # ------------------------------------------------------------ file-backed appends
 
 _RUN = ["topic", "partition", "_task"]
+#: Codec of the files of a topic: messages of one topic repeat each other's member names.
+CODEC = "zstd"
 
 
 def _partition(messages: DataFrame, sink: TopicSink) -> Column:
@@ -139,20 +145,26 @@ def append_records(spark: SparkSession, messages: DataFrame, sink: TopicSink,
     if sink.kind != FILES or not sink.path:
         raise ValueError("a file-backed topic needs kind='files' and a path")
     log = CommitLog(spark, f"{sink.path.rstrip('/')}/_commits")
+    own = follow is None and not sink.num_partitions and not {"topic", "partition"} & set(messages.columns)
     staged = None
     while True:
         last = recover(spark, sink)
         writers = dict(last.payload["writers"]) if last else {}
         if writer is not None and batch is not None and batch <= writers.get(writer, -1):
             return
-        if staged is None:
-            staged = _stage(spark, messages, sink, num_partitions, follow)
-        payload = {"staged": staged, "follow": follow, **_place(spark, sink, staged, last)}
+        if own:
+            payload = _stage_numbered(spark, messages, sink, num_partitions, last)
+        else:
+            if staged is None:
+                staged = _stage(spark, messages, sink, num_partitions, follow)
+            payload = {"staged": staged, "follow": follow, **_place(spark, sink, staged, last)}
         if writer is not None:
             writers[writer] = batch
         try:
             commit = log.begin(last.version + 1 if last else 0, payload | {"writers": writers})
         except FileExistsError:
+            if own:  # numbered from ends that have moved on
+                delete_path(spark, payload["moved"], recursive=True)
             continue
         _finish(spark, sink, log, commit, False)
         return
@@ -182,21 +194,51 @@ def _stage(spark: SparkSession, messages: DataFrame, sink: TopicSink, num_partit
         records = (records.withColumn("_arrival", F.monotonically_increasing_id())
                    .sortWithinPartitions("topic", "partition", "_arrival").drop("_arrival"))
     (records.withColumn("_task", F.spark_partition_id()).withColumn("_row", F.monotonically_increasing_id())
-     .write.parquet(path))
+     .write.option("compression", CODEC).parquet(path))
     return path
 
 
+def _stage_numbered(spark: SparkSession, messages: DataFrame, sink: TopicSink, num_partitions: int | None,
+                    last: Commit | None) -> dict:
+    """Stages messages of which each task has a partition of its own with their offsets, and writes the partitions'
+    ends after the append."""
+    name = uuid.uuid4().hex[:12]
+    path, ends_path = (f"{sink.path.rstrip('/')}/_{kind}/{name}" for kind in ("staged", "offsets"))
+    ends = _ends(spark, sink, last)
+    end = (ends.filter(F.col("topic").eqNullSafe(F.lit(sink.topic)))
+           .select(F.col("partition").alias("_p"), F.col("next_offset").alias("_end")))
+    row = F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1))
+    records = _record_frame(messages.repartition(num_partitions) if num_partitions else messages, sink, [row.alias("_row")])
+    # One row a partition of the topic: broadcast, so that the messages stay in their tasks.
+    (records.join(F.broadcast(end), F.col("partition") == F.col("_p"), "left")
+     .withColumn("offset", F.coalesce("_end", F.lit(0).cast("long")) + F.col("_row")).select(*RECORD_COLUMNS)
+     .write.option("compression", CODEC).parquet(path))
+    after = (spark.read.schema(RECORD_SCHEMA).parquet(path).groupBy("topic", "partition")
+             .agg((F.max("offset") + 1).alias("next_offset")))
+    _write_ends(ends, after, f"{ends_path}/ends")
+    return {"moved": path, "ends": f"{ends_path}/ends"}
+
+
+def _ends(spark: SparkSession, sink: TopicSink, last: Commit | None) -> DataFrame:
+    """(topic, partition, next_offset) before an append."""
+    if last is not None:
+        return spark.read.parquet(last.payload["ends"])
+    from neoflow.operators.offsets import next_offsets
+    # A topic whose records were written with offsets of their own goes on from them.
+    there = spark.read.schema(RECORD_SCHEMA).parquet(sink.path) if path_exists(spark, sink.path) and \
+        _has_files(spark, sink.path) else spark.createDataFrame([], RECORD_SCHEMA)
+    return next_offsets(there).withColumnRenamed("start_offset", "next_offset")
+
+
+def _write_ends(ends: DataFrame, after: DataFrame, path: str) -> None:
+    (ends.select("topic", "partition", "next_offset").unionByName(after)
+     .groupBy("topic", "partition").agg(F.max("next_offset").alias("next_offset")).write.parquet(path))
+
+
 def _place(spark: SparkSession, sink: TopicSink, staged: str, last: Commit | None) -> dict[str, str]:
     """Writes each run's first offset and the partitions' ends after the append."""
     base = f"{sink.path.rstrip('/')}/_offsets/{uuid.uuid4().hex[:12]}"
-    if last is not None:
-        ends = spark.read.parquet(last.payload["ends"])
-    else:
-        from neoflow.operators.offsets import next_offsets
-        # A topic whose records were written with offsets of their own goes on from them.
-        there = spark.read.schema(RECORD_SCHEMA).parquet(sink.path) if path_exists(spark, sink.path) and \
-            _has_files(spark, sink.path) else spark.createDataFrame([], RECORD_SCHEMA)
-        ends = next_offsets(there).withColumnRenamed("start_offset", "next_offset")
+    ends = _ends(spark, sink, last)
     runs = (spark.read.parquet(staged).groupBy(*_RUN).agg(F.min("_row").alias("_first"), F.count(F.lit(1)).alias("_n")))
     earlier = Window.partitionBy("topic", "partition").orderBy("_task").rowsBetween(Window.unboundedPreceding, -1)
     end = ends.select(F.col("topic").alias("_t"), F.col("partition").alias("_p"), F.col("next_offset").alias("_end"))
@@ -205,8 +247,7 @@ def _place(spark: SparkSession, sink: TopicSink, staged: str, last: Commit | Non
               .select(*_RUN, "_first", "_n", (F.coalesce("_end", F.lit(0)) + F.col("_before")).alias("_base")))
     placed.write.parquet(f"{base}/runs")
     after = spark.read.parquet(f"{base}/runs").select("topic", "partition", (F.col("_base") + F.col("_n")).alias("next_offset"))
-    (ends.select("topic", "partition", "next_offset").unionByName(after)
-     .groupBy("topic", "partition").agg(F.max("next_offset").alias("next_offset")).write.parquet(f"{base}/ends"))
+    _write_ends(ends, after, f"{base}/ends")
     return {"runs": f"{base}/runs", "ends": f"{base}/ends"}
 
 
@@ -218,6 +259,11 @@ def _has_files(spark: SparkSession, path: str) -> bool:
 
 def _finish(spark: SparkSession, sink: TopicSink, log: CommitLog, commit: Commit, again: bool) -> None:
     """Writes a committed append's records; of one that was cut off those that aren't there yet."""
+    if "moved" in commit.payload:
+        _move_files(spark, commit.payload["moved"], sink.path)
+        delete_path(spark, commit.payload["moved"], recursive=True)
+        log.finish(commit.version)
+        return
     runs = spark.read.parquet(commit.payload["runs"]).select(
         F.col("topic").alias("_t"), F.col("partition").alias("_p"), F.col("_task").alias("_k"), "_first", "_base")
     at = (F.col("topic").eqNullSafe(F.col("_t")) & F.col("partition").eqNullSafe(F.col("_p"))
@@ -240,11 +286,25 @@ def _finish(spark: SparkSession, sink: TopicSink, log: CommitLog, commit: Commit
                  .select(F.col("topic").alias("_t"), F.col("partition").alias("_p"), F.col("offset").alias("_o")))
         records = records.join(there, F.col("topic").eqNullSafe(F.col("_t")) & (F.col("partition") == F.col("_p"))
                                & (F.col("offset") == F.col("_o")), "left_anti")
-    records.write.mode("append").parquet(sink.path)
+    records.write.mode("append").option("compression", CODEC).parquet(sink.path)
     delete_path(spark, commit.payload["staged"], recursive=True)
     log.finish(commit.version)
 
 
+def _move_files(spark: SparkSession, source: str, target: str) -> None:
+    """The data files of a folder into another one; those of a move that was cut off are there already."""
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+    p, to = path(source), path(target)
+    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if not fs.exists(p):
+        return
+    fs.mkdirs(to)
+    for status in fs.listStatus(p):
+        name = status.getPath().getName()
+        if not name.startswith(("_", ".")) and not fs.rename(status.getPath(), path(to, name)):
+            raise OSError(f"{name} of {source} can't be moved to {target}")
+
+
 def create_topic(spark, sink: TopicSink) -> None:
     """An empty file-backed topic (the folder, so readers can start on it)."""
     empty = spark.createDataFrame([], RECORD_SCHEMA)

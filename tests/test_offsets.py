@@ -111,6 +111,29 @@ def test_cut_off_append_is_finished(spark, monkeypatch, written):
     assert places(spark, sink) == {("cut", 0): list(range(18))}
 
 
+def test_cut_off_move_is_finished(spark, monkeypatch):
+    """Messages whose tasks have partitions of their own are written once and moved, also after a half of the move."""
+    sink = new(spark, "moved")
+    msgs = spark.range(90, numPartitions=3).select(F.col("id").cast("string").alias("value"))
+    append_records(spark, msgs, sink, writer="w", batch=0)
+    move = topic_sink._move_files
+
+    def half(spark, source, target):
+        folder = source.removeprefix("file:")
+        files = sorted(f for f in os.listdir(folder) if f.startswith("part-"))
+        os.rename(f"{folder}/{files[0]}", f"{target.removeprefix('file:')}/{files[0]}")
+        raise OSError("lost")
+
+    monkeypatch.setattr(topic_sink, "_move_files", half)
+    with pytest.raises(OSError):
+        append_records(spark, msgs, sink, writer="w", batch=1)
+    monkeypatch.setattr(topic_sink, "_move_files", move)
+    append_records(spark, msgs, sink, writer="w", batch=1)  # the replay of the batch
+    append_records(spark, msgs, sink, writer="w", batch=2)
+    assert places(spark, sink) == {("moved", p): list(range(90)) for p in range(3)}
+    assert not os.listdir(f"{sink.path.removeprefix('file:')}/_staged")
+
+
 def test_topic_with_offsets_of_its_own_goes_on(spark):
     sink = new(spark, "own")
     recs(spark, [("a", "1", "own", 0, 41, 0), ("a", "1", "own", 1, 7, 0)]).write.mode("append").parquet(sink.path)

@@ -2,6 +2,7 @@
 two queries on one plan, start at latest, partition routing."""
 
 import os
+import re
 
 import pytest
 from pyspark.sql import functions as F
@@ -11,6 +12,7 @@ from neoflow.operators.parse import parse_and_flatten
 from neoflow.plans import fixtures as fx
 from neoflow.plans.topics_fixture import new_topic, payload_slices, payload_topic
 from neoflow.session import scratch_path
+from neoflow.sinks.commits import CommitLog
 from neoflow.sinks.parquet import landed_table
 from neoflow.sinks.topic import append_records
 from neoflow.sinks.view import live_view, memory_view_for_tests
@@ -210,3 +212,20 @@ def test_entry_smoke(spark):
     assert df.count() > 0
     qs, sql = entry.queries(), entry.oracle_sql()
     assert set(sql) <= set(qs)
+
+
+def test_slices_share_one_join_and_messages_are_not_shuffled(spark, tmp_path, monkeypatch):
+    from neoflow.plans import topics_fixture
+    for part in payload_slices(spark, SF001):
+        assert "Join" not in part._jdf.queryExecution().optimizedPlan().toString()
+    plans = []
+    append = topics_fixture.append_records
+    monkeypatch.setattr(topics_fixture, "_CACHE", {})
+    monkeypatch.setattr(topics_fixture, "append_records", lambda spark, msgs, sink, *a, **k: (
+        plans.append((msgs._jdf.queryExecution().optimizedPlan().toString(), a, k)), append(spark, msgs, sink, *a, **k)))
+    path = topics_fixture.payload_topic(spark, SF001)
+    (plan, more, named), = plans
+    assert not re.search(r"Repartition \d+, true", plan)  # coalesced at most
+    assert not more and not named.get("num_partitions")
+    commit = CommitLog(spark, f"{path}/_commits").last()
+    assert "moved" in commit.payload and commit.done  # written once, not staged and written again
