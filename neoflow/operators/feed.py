@@ -190,13 +190,16 @@ def emission_order(msgs: DataFrame, doc_col: str, num_partitions: int | None = N
     return msgs.repartitionByRange(n, *keys).sortWithinPartitions(*keys)
 
 
-def in_emission_order(numbered: DataFrame, total: Column, num_partitions: int) -> DataFrame:
+def in_emission_order(numbered: DataFrame, total: Column, num_partitions: int, tasks: int | None = None) -> DataFrame:
     """Numbered messages with ``partition``: numbers 1..total cut into
     ``num_partitions`` equal runs, one Spark partition each, sorted by number. Where
-    a message goes is arithmetic, so nothing is sampled."""
-    per = F.greatest(F.ceil(total / F.lit(num_partitions)), F.lit(1))
-    placed = numbered.withColumn("partition", F.floor((F.col("number") - 1) / per).cast("int"))
-    return placed.repartitionById(num_partitions, "partition").sortWithinPartitions("number")
+    a message goes is arithmetic, so nothing is sampled. With ``tasks`` the numbers are cut into that
+    many Spark partitions, in order, whatever the topic partition."""
+    cut = lambda n: F.floor((F.col("number") - 1) / F.greatest(F.ceil(total / F.lit(n)), F.lit(1))).cast("int")
+    placed = numbered.withColumn("partition", cut(num_partitions))
+    if tasks is None:
+        return placed.repartitionById(num_partitions, "partition").sortWithinPartitions("number")
+    return (placed.withColumn("_part", cut(tasks)).repartitionById(tasks, "_part").sortWithinPartitions("number").drop("_part"))
 
 
 def to_message_bytes(msgs: DataFrame, value_col: str = "value") -> DataFrame:

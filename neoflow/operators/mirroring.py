@@ -10,9 +10,11 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from neoflow.fs import path_exists
 from neoflow.operators.topics import mirror
+from neoflow.session import scratch_path
 from neoflow.sinks.topic import TopicSink, append_records
 
 SYNC_SCHEMA = ("topic string, target_topic string, partition int, source_first long, target_first long, n long")
@@ -48,18 +50,30 @@ def translate(positions: DataFrame, syncs: DataFrame, back: bool = False) -> Dat
     records before it (``back``: from the target's topic and position to the source's). Null where
     no run begins at or before the position: nothing of it was mirrored.
 
-    Each run meets the positions of its partition and is reduced in its task; positions are those of
-    consumers, far fewer than records."""
+    Runs and positions are put in one order, cut into ranges, and each position takes the last run
+    before it, in its range or else in the ranges before: no run meets a position that isn't its own."""
+    spark = positions.sparkSession
     own, other = ("target_first", "source_first") if back else ("source_first", "target_first")
     name = "target_topic" if back else "topic"
-    runs = syncs.select(F.col(name).alias("_t"), F.col("partition").alias("_p"), F.col(own).alias("_own"),
-                        F.col(other).alias("_other"), F.col("n").alias("_n"))
-    asked = positions.select("topic", "partition", "position").distinct()
-    at = (F.col("topic").eqNullSafe(F.col("_t")) & F.col("partition").eqNullSafe(F.col("_p")) & (F.col("_own") <= F.col("position")))
-    found = (runs.join(asked, at).groupBy("topic", "partition", "position")
-             .agg(F.max_by(F.struct("_own", "_other", "_n"), "_own").alias("_run"))
-             .select(F.col("topic").alias("_t"), F.col("partition").alias("_p"), F.col("position").alias("_q"),
-                     (F.col("_run._other") + F.least(F.col("position") - F.col("_run._own"), F.col("_run._n"))).alias("translated")))
+    # Of runs that begin at the same place the one with the least other side counts.
+    run = F.struct(F.col(own).alias("own"), (-F.col(other)).alias("other"), "n")
+    runs = syncs.select(F.col(name).alias("_t"), F.col("partition").alias("_p"), F.col(own).alias("_at"), F.lit(0).alias("_kind"),
+                        run.alias("_run"))
+    asked = positions.select(F.col("topic").alias("_t"), F.col("partition").alias("_p"), F.col("position").cast("long").alias("_at"),
+                             F.lit(1).alias("_kind"), F.lit(None).cast(runs.schema["_run"].dataType).alias("_run")).distinct()
+    path = scratch_path(spark, "positions")
+    (runs.unionByName(asked).filter(F.col("_at").isNotNull()).repartitionByRange("_t", "_p", "_at", "_kind")
+     .withColumn("_range", F.spark_partition_id()).write.parquet(path))
+    placed = spark.read.parquet(path)
+    before = Window.partitionBy("_t", "_p").orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+    earlier = (placed.groupBy("_range", "_t", "_p").agg(F.max("_run").alias("_last"))
+               .select(F.col("_range").alias("_r"), F.col("_t").alias("_et"), F.col("_p").alias("_ep"), F.max("_last").over(before).alias("_earlier")))
+    within = Window.partitionBy("_range", "_t", "_p").orderBy("_at", "_kind").rowsBetween(Window.unboundedPreceding, 0)
+    last = placed.withColumn("_own", F.max("_run").over(within)).filter("_kind = 1")
+    there = (F.col("_range") == F.col("_r")) & F.col("_t").eqNullSafe(F.col("_et")) & F.col("_p").eqNullSafe(F.col("_ep"))
+    found = (last.join(earlier, there).withColumn("_found", F.coalesce("_own", "_earlier")).filter("_found is not null")
+             .select("_t", "_p", F.col("_at").alias("_q"),
+                     (F.least(F.col("_at") - F.col("_found.own"), F.col("_found.n")) - F.col("_found.other")).alias("translated")))
     same = (F.col("topic").eqNullSafe(F.col("_t")) & F.col("partition").eqNullSafe(F.col("_p"))
             & F.col("position").eqNullSafe(F.col("_q")))
     return positions.join(found, same, "left").select(*positions.columns, "translated")

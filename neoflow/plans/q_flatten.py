@@ -14,6 +14,7 @@ from neoflow.plans.topics_fixture import payload_topic_records
 from neoflow.plans.registry import register, register_subset
 from neoflow.plans.tables import table
 from neoflow.schemas import OUTPUT_COLUMNS
+from neoflow.session import scratch_path
 
 # ---------------------------------------------------------------- oracles
 
@@ -90,8 +91,11 @@ def prj_04_qualified_names(spark, sf_dir):
     """Two aliased relations over the same messages, joined and projected by
     qualified names: every message with the number of its customer's messages."""
     parsed = parse_messages(decode_value(payload_topic_records(spark, sf_dir)), schema="narrow")
-    ids = parsed.select(tolerant_int(F.col(f"{PARSED}.id")).alias("id"),
-                        F.col(f"{PARSED}.neo_reference_id").cast("long").alias("ref"))
+    # Parsed once: both relations read the two numbers of each message, not the messages.
+    path = scratch_path(spark, "message-ids")
+    parsed.select(tolerant_int(F.col(f"{PARSED}.id")).alias("id"),
+                  F.col(f"{PARSED}.neo_reference_id").cast("long").alias("ref")).write.parquet(path)
+    ids = spark.read.parquet(path)
     message = ids.alias("message")
     customer = ids.groupBy("ref").agg(F.count(F.lit(1)).alias("n")).alias("customer")
     return message.join(customer, F.col("message.ref") == F.col("customer.ref")).select(

@@ -17,12 +17,17 @@ from neoflow.sinks.commits import CommitLog
 from neoflow.sinks.topic import FILES, TopicSink, append_records, write_topic
 
 
-def feed_messages(doc_days: DataFrame, start, end, doc_col: str, num_partitions: int, sent: int = 0) -> DataFrame:
+#: Messages of a task that writes into a file-backed topic, whose partitions several tasks may write in order.
+TASK_MESSAGES = 200_000
+
+
+def feed_messages(doc_days: DataFrame, start, end, doc_col: str, num_partitions: int, sent: int = 0,
+                  tasks: int | None = None) -> DataFrame:
     """Messages in emission order: (day_str, doc, pos, value, number, partition) from
-    parsed (document, day) rows; ``sent`` messages were numbered before."""
+    parsed (document, day) rows; ``sent`` messages were numbered before. ``tasks``: see ``in_emission_order``."""
     starts = first_numbers(doc_days, start, end, doc_col)
     total = object_counts(doc_days, start, end, doc_col).select(F.coalesce(F.sum("_n"), F.lit(0)).alias("n")).scalar()
-    placed = in_emission_order(fan_out(doc_days, start, end, key_cols=[doc_col], starts=starts), total, num_partitions)
+    placed = in_emission_order(fan_out(doc_days, start, end, key_cols=[doc_col], starts=starts), total, num_partitions, tasks)
     return placed.withColumn("number", F.col("number") + F.lit(sent)) if sent else placed
 
 
@@ -76,11 +81,14 @@ def feed_to_topic(spark: SparkSession, docs: DataFrame, start, end, sink: TopicS
             raise KeyError(f"feed has no objects list for day {miss[0].day_str}")
     if num_partitions is None:
         num_partitions = int(spark.conf.get("spark.sql.shuffle.partitions")) if sink.kind == FILES else 1
-    sent = 0
-    if numbers is not None:
+    sent, tasks = 0, None
+    if numbers is not None or sink.kind == FILES:
         n = object_counts(doc_days, start, end, doc_col).agg(F.coalesce(F.sum("_n"), F.lit(0))).first()[0]
-        sent = numbers.take(batch_id, n)
-    msgs = feed_messages(doc_days, start, end, doc_col, num_partitions, sent)
+        if numbers is not None:
+            sent = numbers.take(batch_id, n)
+        if sink.kind == FILES and n > TASK_MESSAGES * num_partitions:
+            tasks = -(-n // TASK_MESSAGES)
+    msgs = feed_messages(doc_days, start, end, doc_col, num_partitions, sent, tasks)
     if sent_path is not None:
         (msgs.select("number", "day_str", F.col(doc_col).alias("doc"), "pos", "partition")
          .write.mode("overwrite").parquet(f"{sent_path.rstrip('/')}/batch={batch_id or 0}"))

@@ -420,3 +420,20 @@ def test_parts_own_the_lines_that_begin_in_them(tmp_path):
     for size in (1, 7, 64, 10_000):
         got = [v for at in range(0, stop, size) for b in lines_of(Part(path, at, min(at + size, stop), stop)) for v in b.column(2).to_pylist()]
         assert got == text[:-5].split("\n")
+
+
+def test_positions_take_the_last_run_before_them(spark):
+    """Many runs in several ranges and partitions, positions between, before and after them, nulls: by brute force. No
+    run is joined with positions by a range condition."""
+    rows = [("s", "A.s", p, 7 * i + (p or 0), 3 * i, 3) for p in (0, 1, None) for i in range(40)] + [("s", "A.s", 5, 4, 0, 1)]
+    runs = spark.createDataFrame(rows, "topic string, target_topic string, partition int, source_first long, target_first long, n long")
+    asked = [("s", p, q) for p in (0, 1, None, 2, 5) for q in range(0, 300, 3)] * 2 + [("s", 0, None), ("t", 0, 9)]
+    pos = spark.createDataFrame(asked, "topic string, partition int, position long")
+
+    def expected(t, p, q):
+        first = [r for r in rows if r[0] == t and r[2] == p and q is not None and r[3] <= q]
+        return max(((r[3], r[4] + min(q - r[3], r[5])) for r in first), default=(None, None))[1]
+
+    found = translate(pos.repartition(5), runs.repartition(3))
+    assert sorted(map(str, map(tuple, found.collect()))) == sorted(str((*a, expected(*a))) for a in asked)
+    assert " <= " not in found._jdf.queryExecution().optimizedPlan().toString()
