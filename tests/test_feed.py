@@ -250,3 +250,21 @@ def test_cli_takes_keys_for_object_stores_only(monkeypatch):
     with pytest.raises(SystemExit):
         cli.main(["land", "--topic-path", "/t", "--out", "s3://bucket/x"])
     assert seen["spark.hadoop.fs.s3a.secret.key"] == "s"
+
+
+def test_one_topic_partition_is_written_in_order_by_several_tasks(spark, monkeypatch):
+    from neoflow.session import scratch_path
+    from neoflow.sinks.topic import FILES, TopicSink
+    from neoflow.streaming import feed_job
+    monkeypatch.setattr(feed_job, "TASK_MESSAGES", 5)
+    docs = [(f"d{i}", '{"near_earth_objects": {"2024-01-01": [%s]}}' % ", ".join(f'{{"n": {7 * i + k}}}' for k in range(7)))
+            for i in range(6)]
+    sink = TopicSink(kind=FILES, path=scratch_path(spark, "topic-tasks"), topic="feed")
+    sent = scratch_path(spark, "sent-tasks")
+    feed_job.feed_to_topic(spark, spark.createDataFrame(docs, "doc_path string, value string"), "2024-01-01", "2024-01-01",
+                           sink, num_partitions=1, sent_path=sent)
+    rows = spark.read.parquet(sink.path).orderBy("offset").collect()
+    assert [(r.partition, r.offset) for r in rows] == [(0, i) for i in range(42)]
+    assert [r.value.decode() for r in rows] == [f'{{"n":{i},"current_date":"2024-01-01"}}' for i in range(42)]
+    from pyspark.sql import functions as F
+    assert spark.read.parquet(sent).select(F.input_file_name()).distinct().count() > 1  # not one task's file
