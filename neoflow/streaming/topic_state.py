@@ -83,17 +83,35 @@ def find_gaps(records: DataFrame, fail: bool = False) -> DataFrame:
 CHANGE = "topic string, partition int, key binary, offset long, value binary, timestamp timestamp"
 
 
+#: Bytes of last records that a task holds before it passes them on.
+HELD = 32 << 20
+_KEY = ["topic", "partition", "key"]
+
+
+def _last_records(table: pa.Table) -> pa.Table:
+    """Of each key the record with the highest offset, of equal ones the first."""
+    table = table.filter(pc.and_(pc.is_valid(table["key"]), pc.greater_equal(table["offset"], 0)))  # null: no
+    order = np.argsort(-table["offset"].to_numpy(), kind="stable")
+    found = (table.select(_KEY).take(pa.array(order)).append_column("at", pa.array(np.arange(len(order))))
+             .group_by(_KEY).aggregate([("at", "min")]))
+    return table.take(pa.array(order[found["at_min"].to_numpy()])).combine_chunks()
+
+
 def _last_of_keys(batches):
-    """Of each key of a batch the record with the highest offset."""
+    """Of each key of a task the record with the highest offset; where the keys' records take more than
+    HELD bytes, of each part of the task."""
+    held, size = [], 0
     for batch in batches:
-        table = pa.Table.from_batches([batch])
-        best: dict = {}
-        for i, (topic, partition, key, offset) in enumerate(zip(*(table.column(c).to_pylist() for c in (
-                "topic", "partition", "key", "offset")))):
-            if key is not None and offset is not None and offset > best.get((topic, partition, key), (-1,))[0]:
-                best[topic, partition, key] = (offset, i)
-        if best:
-            yield from table.take(pa.array([i for _, i in best.values()])).combine_chunks().to_batches()
+        held.append(_last_records(pa.Table.from_batches([batch])))
+        size += held[-1].nbytes
+        if size > HELD:
+            held = [_last_records(pa.concat_tables(held))]
+            size = held[0].nbytes
+            if size > HELD // 2:
+                yield from held[0].to_batches()
+                held, size = [], 0
+    if held:
+        yield from _last_records(pa.concat_tables(held)).to_batches()
 
 
 class LatestValue(StatefulProcessor):
@@ -118,7 +136,7 @@ class LatestValue(StatefulProcessor):
             until = timerValues.getCurrentProcessingTimeInMs() + self.keep_ms
             self.last.update((best["offset"], until))
             self.handle.registerTimer(until)
-        else:
+        elif known is not None:
             self.last.clear()
         yield Row(topic=key[0], partition=key[1], key=best["key"], offset=best["offset"], value=best["value"],
                   timestamp=best["timestamp"])
