@@ -19,6 +19,7 @@ import re
 from array import array
 from collections import Counter, defaultdict
 from functools import lru_cache
+from operator import attrgetter
 from zlib import crc32
 
 import numpy as np
@@ -34,7 +35,7 @@ END_ID = 2
 #: Lengths are solved for in bins of so many tokens.
 BIN = 32
 #: Distinct words whose ids a worker keeps (twice as many for a while).
-CACHE_WORDS = 200_000
+CACHE_WORDS = 400_000
 #: Counts of (task, length) up to which their prefix sums are broadcast (24 bytes each); beyond it Spark joins by a shuffle.
 BROADCAST_COUNTS = 400_000
 #: Codec of the written ids.
@@ -44,6 +45,9 @@ CODEC = "zstd"
 _PLAIN = re.compile("([A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff]+)([.,;:!?)%*&#$]*)").fullmatch
 
 
+_TOKEN_ID = attrgetter("id")
+
+
 def id_kind(vocabulary: int) -> str:
     """How ids are stored."""
     return "<u2" if vocabulary <= 1 << 16 else "<u4"
@@ -88,7 +92,7 @@ class WordTokenizer:
     def _by_model(self, core: str) -> bytes:
         """A word of lower-case letters, by the model alone: no normalizing and cutting to be done."""
         piece = core if core.isascii() else core.encode().decode("latin-1").translate(_BYTE_LETTERS)
-        return array(self.code, [t.id for t in self.model.tokenize(piece)]).tobytes()
+        return array(self.code, map(_TOKEN_ID, self.model.tokenize(piece))).tobytes()
 
     def _letters(self, core: str) -> bytes:
         return self._by_model(core) if self.direct else self._ask([core])[core]
@@ -97,6 +101,7 @@ class WordTokenizer:
         """New words. A word of Latin letters with marks after it is its lower-case
         letters and the marks, each encoded once."""
         known, old, marks, ask = self.known, self.old, self.marks, []
+        letters = self._by_model if self.direct else self._letters
         for w in words:
             raw = old.get(w)
             if raw is None:
@@ -105,7 +110,7 @@ class WordTokenizer:
                     core = core.lower()
                     raw = known.get(core) or old.get(core)
                     if raw is None:
-                        known[core] = raw = self._letters(core)
+                        known[core] = raw = letters(core)
                     if end:
                         if end not in marks:
                             marks[end] = self._ask([end])[end]
