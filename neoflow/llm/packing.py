@@ -23,6 +23,7 @@ from zlib import crc32
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -41,7 +42,8 @@ BROADCAST_COUNTS = 400_000
 CODEC = "zstd"
 
 #: Letters whose lower case is one letter, then marks: encoded the same apart as together.
-_PLAIN = re.compile("([A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff]+)([.,;:!?)%*&#$]*)").fullmatch
+_PLAIN = "^(?P<core>[A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff]+)(?P<end>[.,;:!?)%*&#$]*)$"
+_LETTERS = re.compile("[a-z\u00df-\u00f6\u00f8-\u00ff]+").fullmatch
 
 
 def id_kind(vocabulary: int) -> str:
@@ -62,7 +64,7 @@ class WordTokenizer:
         self.known: dict[str, bytes] = {"": b""}
         self.old: dict[str, bytes] = {}
         self.mark = self.tokenizer.encode("|", add_special_tokens=False).ids[0]
-        self.marks: dict[str, bytes] = {}
+        self.marks: dict[str, bytes] = {"": b""}
         self.model = self.tokenizer.model
         probe = ["q", "hello", "unbelievably", "été", "naïveté", "àíñßø", "überaus", "señor"]
         self.direct = all(self._by_model(w) == raw for w, raw in self._ask(probe).items())
@@ -90,40 +92,48 @@ class WordTokenizer:
         piece = core if core.isascii() else core.encode().decode("latin-1").translate(_BYTE_LETTERS)
         return array(self.code, [t.id for t in self.model.tokenize(piece)]).tobytes()
 
-    def _letters(self, core: str) -> bytes:
-        return self._by_model(core) if self.direct else self._ask([core])[core]
-
-    def learn(self, words: list[str]) -> None:
-        """New words. A word of Latin letters with marks after it is its lower-case
-        letters and the marks, each encoded once."""
-        known, old, marks, ask = self.known, self.old, self.marks, []
+    def learn(self, words: list[str]) -> list[bytes]:
+        """Ids of lower-case words and of words that aren't just letters; new ones are encoded."""
+        known, old, ask = self.known, self.old, []
         for w in words:
-            raw = old.get(w)
-            if raw is None:
-                if m := _PLAIN(w):
-                    core, end = m.groups()
-                    core = core.lower()
-                    raw = known.get(core) or old.get(core)
-                    if raw is None:
-                        known[core] = raw = self._letters(core)
-                    if end:
-                        if end not in marks:
-                            marks[end] = self._ask([end])[end]
-                        raw += marks[end]
-                else:
+            if w not in known:
+                raw = old.get(w)
+                if raw is None and self.direct and _LETTERS(w):
+                    raw = self._by_model(w)
+                if raw is None:
                     ask.append(w)
-                    continue
-            known[w] = raw
+                else:
+                    known[w] = raw
         known.update(self._ask(ask))
+        return [known[w] for w in words]
 
-    def encode(self, texts: list[str]) -> list[bytes]:
+    def _word_ids(self, words: pa.Array) -> pa.Array:
+        """Ids of distinct words. A word of Latin letters with marks after it is its lower-case
+        letters and the marks, each encoded once."""
+        plain = pc.extract_regex(words, _PLAIN)
+        core = pc.coalesce(pc.utf8_lower(pc.struct_field(plain, "core")), words).dictionary_encode()
+        end = pc.coalesce(pc.struct_field(plain, "end"), "").dictionary_encode()
+        ends = end.dictionary.to_pylist()
+        if new := [m for m in ends if m not in self.marks]:
+            self.marks.update(self._ask(new))
+        cores = self.learn(core.dictionary.to_numpy(zero_copy_only=False).tolist())
+        return pc.binary_join_element_wise(pa.array(cores, pa.large_binary()).take(core.indices),
+                                           pa.array([self.marks[m] for m in ends], pa.large_binary()).take(end.indices),
+                                           pa.scalar(b"", pa.large_binary()))
+
+    def encode(self, texts: list[str] | pa.Array) -> list[bytes]:
         if len(self.known) > CACHE_WORDS:  # words still in use come back from the old ones
             self.known, self.old = {"": b""}, self.known
-        split = [t.replace("\t", " ").replace("\n", " ").replace("\r", " ").split(" ") for t in texts]
-        if new := set().union(*split).difference(self.known):
-            self.learn(list(new))
-        get = self.known.__getitem__
-        return [b"".join(map(get, words)) for words in split]
+        texts = texts if isinstance(texts, pa.Array) else pa.array(texts, pa.string())
+        for blank in "\t\n\r":
+            texts = pc.replace_substring(texts, blank, " ")
+        split = pc.split_pattern(texts, " ")
+        words = split.flatten().dictionary_encode()
+        ids = self._word_ids(words.dictionary).take(words.indices)
+        _, ends, raw = ids.buffers()  # the ids of all words in a row, and where each word's end
+        ends = np.frombuffer(ends, np.int64)[ids.offset:ids.offset + len(ids) + 1][split.offsets.to_numpy()].tolist()
+        raw = memoryview(raw or b"")
+        return [bytes(raw[a:b]) for a, b in zip(ends, ends[1:])]
 
 
 @lru_cache(maxsize=1)
@@ -132,25 +142,26 @@ def word_tokenizer(path: str) -> WordTokenizer:
     return WordTokenizer(path)
 
 
-def _byte_letters() -> dict[int, int]:
+def _byte_letters() -> str:
     """Byte-level vocabularies write printable bytes as themselves and the others, in order, as code points from 256 on."""
     printable = {*range(33, 127), *range(161, 173), *range(174, 256)}
-    return {b: 256 + i for i, b in enumerate(b for b in range(256) if b not in printable)}
+    other = {b: 256 + i for i, b in enumerate(b for b in range(256) if b not in printable)}
+    return "".join(chr(other.get(b, b)) for b in range(256))
 
 
 _BYTE_LETTERS = _byte_letters()
 
 
-def _groups(texts: list[str], size: int = 1 << 20):
-    """Runs of texts with about ``size`` characters each."""
+def _groups(lengths: list[int], size: int = 1 << 22):
+    """Runs of texts with about ``size`` bytes each."""
     first = total = 0
-    for i, t in enumerate(texts):
-        total += len(t)
+    for i, n in enumerate(lengths):
+        total += n
         if total >= size:
             yield first, i + 1
             first, total = i + 1, 0
-    if first < len(texts):
-        yield first, len(texts)
+    if first < len(lengths):
+        yield first, len(lengths)
 
 
 def _cutter(path: str):
@@ -159,8 +170,8 @@ def _cutter(path: str):
         end = np.array([END_ID], tok.kind).tobytes()
         size = len(end)
         for batch in batches:
-            ids, texts = batch.column(0).to_pylist(), [t or "" for t in batch.column(1).to_pylist()]
-            for a, b in _groups(texts):
+            ids, texts = batch.column(0).to_pylist(), pc.fill_null(batch.column(1), "")
+            for a, b in _groups(pc.binary_length(texts).to_pylist()):
                 out = {"doc_id": [], "start": [], "length": [], "doc_tokens": [], "part": [], "rank": [], "ids": []}
                 for doc_id, raw in zip(ids[a:b], tok.encode(texts[a:b])):
                     raw += end

@@ -103,6 +103,20 @@ def check_packed(rows, docs):
     return sequences
 
 
+def test_word_tokenizer_encodes_letters_once_whatever_their_case_and_marks(monkeypatch):
+    tokenizer = packing.WordTokenizer(TOKENIZER)
+    want = lambda t: tokenizer.tokenizer.encode(t, add_special_tokens=False).ids
+    ids = lambda texts: [np.frombuffer(raw, tokenizer.kind).tolist() for raw in tokenizer.encode(texts)]
+    texts = ["Überaus überaus! ÜBERAUS?\tüberaus,", "überaus%&*\nÜberaus.", "", " "]
+    assert ids(texts) == [want(t) for t in texts]
+    assert set(tokenizer.known) == {"", "überaus"}
+    monkeypatch.setattr(packing, "CACHE_WORDS", 2)  # the words kept change with every call
+    some = random.Random(4)
+    for _ in range(30):
+        texts = ["".join(some.choices("aBé É|'.,!\t\n\x00ßÿΩж中🙂12-#()", k=some.randrange(50))) for _ in range(20)]
+        assert ids(texts) == [want(t) for t in texts]
+
+
 def test_packing_the_small_table(spark):
     table = spark.read.parquet(f"{SF001}/documents.parquet").select("doc_id", "text").repartition(5)
     docs = [tuple(r) for r in table.collect()]
