@@ -228,13 +228,14 @@ def equal_runs(symbols: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray
     rest = place[np.minimum(order + 1, n - 1)]
     rest[order == n - 1] = 0
     undecided = np.flatnonzero(~boundary)
+    here, before = rest[undecided], rest[undecided - 1]
     for _ in range(length - 1):
-        if not len(undecided):
+        count = np.cumsum(boundary, dtype=np.int32)
+        equal = count[here] == count[before]
+        if equal.all():  # no boundary is new, so the next steps would find none either
             break
-        count = np.cumsum(boundary)
-        parted = count[rest[undecided]] != count[rest[undecided - 1]]
-        boundary[undecided[parted]] = True
-        undecided = undecided[~parted]
+        boundary[undecided[~equal]] = True
+        undecided, here, before = undecided[equal], here[equal], before[equal]
     return order, boundary
 
 

@@ -233,6 +233,14 @@ def test_suffix_dedup_repeats_nulls_and_empty(spark):
     assert suffix_dedup.remove_repeats(frame(spark, [])).count() == 0
 
 
+def test_backward_extension_ends_once_no_boundary_is_new(monkeypatch):
+    counted, cumsum = [], np.cumsum
+    monkeypatch.setattr(np, "cumsum", lambda *a, **k: counted.append(1) or cumsum(*a, **k))
+    _, boundary = equal_runs(np.ones(50, np.int64), 2000)
+    assert boundary.tolist() == [True] + [False] * 49
+    assert len(counted) < 20  # not one for each of 2,000 steps
+
+
 def test_equal_runs_by_backward_extension():
     rng = np.random.default_rng(3)
     for n, sigma, length in ((1, 2, 3), (60, 2, 5), (300, 3, 9), (200, 1, 17)):
