@@ -13,17 +13,21 @@ who has to be compared with whom is a distributed job, comparing them a BWT:
 4. What is left is one place for each different surroundings of an anchor. Texts
    that such anchors connect form groups; the regions around their places go to
    shards, whole groups to each. Places of anchors with more than LINKED
-   surroundings, and of groups with more than GROUP places, are instead
-   split by the longer common core of their strings (67 or 66 bytes), which
-   bounds them. Each shard's BWT is extended backwards breadth first:
-   after step k it is known which neighbours in the suffix array agree in k
-   bytes; it stops at LENGTH. In an interval of equal strings all but the first go.
-   Cores with more than HOT surroundings are compared string by string instead.
+   surroundings, and of groups with more than GROUP places, meet by the longer
+   common core of half of their strings (67 or 66 bytes) instead. First only hashes
+   of cores and of the strings' bytes are dealt out: of equal bytes all but the first go, and
+   a core that is left with one needs no comparison. Cores with more than HOT
+   different ones are halved again, so that their strings share more bytes, down to
+   single strings. The text of what is left is cut once, what overlaps for one core in one piece.
+   Each shard's BWT is extended backwards breadth first: after step k it is known
+   which neighbours in the suffix array agree in k bytes; it stops at LENGTH. In
+   an interval of equal strings all but the first go.
 """
 
 from __future__ import annotations
 
 import hashlib
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -39,8 +43,6 @@ from neoflow.session import scratch_path
 LENGTH, GRAM = 100, 32
 #: Strings of LENGTH bytes around an anchor, less one.
 REACH = LENGTH - GRAM
-#: The strings around an anchor with more bytes before it, and those with fewer.
-HALF = REACH // 2
 #: Bytes whose anchors are worked out at a time.
 BLOCK = 1 << 17
 #: Anchors that are coded together.
@@ -49,8 +51,10 @@ CHUNK = 1_000_000
 SHARD = 1 << 18
 #: Surroundings of an anchor up to which it connects texts, and places of connected texts that share a shard.
 LINKED, GROUP = 16, 20_000
-#: Surroundings of one core up to which they meet in a shard.
+#: Different surroundings of one core up to which they meet in a shard.
 HOT = 4_000
+#: Rows of cores that a task makes at a time.
+ROWS = 50_000
 #: Rows up to which a table joined with texts is broadcast (ids and places, 40 bytes each).
 BROADCAST_ROWS = 1_000_000
 
@@ -159,35 +163,101 @@ def _suspects(batches):
                 names=["anchor", "around", "id", "tkey", "place"])
 
 
-_PART = "region boolean, core long, id long, tkey long, start long, part binary"
+_CORE = "core long, same long, id long, tkey long, place long, low byte, high byte"
 
 
-def _parts(batches):
-    """Of each text, the regions around places that meet their group; of other places the
-    strings around: those with more of their bytes before the anchor, and the rest."""
+def _cores(batches):
+    """Halves of the strings wanted around places, those that start ``low`` to ``high`` bytes before a place: hash of the
+    core, the bytes that they all hold, and of all their bytes with where the place lies in them."""
+    kinds = (pa.int64(),) * 5 + (pa.int8(),) * 2
+    names = ["core", "same", "id", "tkey", "place", "low", "high"]
+    batch_of = lambda rows: pa.RecordBatch.from_arrays(
+        [pa.array(c, k) for c, k in zip(zip(*rows), kinds)], names=names)
+    digest, least, mask = xxhash.xxh64_intdigest, 1 << 63, (1 << 64) - 1
+    rows = []
     for batch in batches:
-        out = {"region": [], "core": [], "id": [], "tkey": [], "start": [], "part": []}
-        for ident, tkey, text, group, grouped, places in zip(*(c.to_pylist() for c in batch.columns)):
+        for ident, tkey, text, wanted in zip(*(c.to_pylist() for c in batch.columns)):
             n = len(text)
-            for a, b in merged([(max(0, p - REACH), min(n, p + LENGTH)) for p in grouped]):
-                for k, v in zip(out, (True, group, ident, tkey, a, text[a:b])):
-                    out[k].append(v)
-            for p in places:
-                for low, high in ((0, HALF), (HALF + 1, REACH)):
-                    # strings that start ``low`` to ``high`` bytes before p; all hold the core
+            for w in wanted:
+                core, p, mid = w["core"], w["place"], (w["low"] + w["high"]) // 2
+                for low, high in ((w["low"], mid), (mid + 1, w["high"])):
                     a, b = p - low, p - high + LENGTH
-                    if a < 0 or b > n:
+                    if a < 0 or b > n or low > high:
                         continue
-                    start, end = max(0, p - high), min(n, p - low + LENGTH)
+                    start, end = max(0, p - high), min(n, a + LENGTH)
                     if end - start >= LENGTH:
-                        core = xxhash.xxh64_intdigest(text[a:b], seed=low)
-                        for k, v in zip(out, (False, core - (1 << 63), ident, tkey, start, text[start:end])):
-                            out[k].append(v)
-        yield pa.RecordBatch.from_arrays([pa.array(out["region"], pa.bool_()),
-                                          *(pa.array(out[k], pa.int64()) for k in ("core", "id", "tkey", "start")),
+                        rows.append((digest(text[a:b], (core * 131 + low) & mask) - least,
+                                     digest(text[start:end], (p - start) * 1000 + end - p) - least,
+                                     ident, tkey, p, low, high))
+            if len(rows) >= ROWS:
+                yield batch_of(rows)
+                rows = []
+    if rows:
+        yield batch_of(rows)
+
+
+_SETTLED = "again boolean, core long, id long, tkey long, place long, low byte, high byte"
+
+
+def _settled(batches):
+    """Rows of cores come sorted by core, bytes and place. Of equal bytes all but the first are marked ``again``; the
+    first stays if its core has others. One row is kept between batches, the first of the bytes last seen."""
+    last, out = None, False
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        cols = [c.to_numpy() for c in batch.columns]
+        if last is not None:
+            cols = [np.concatenate([[v], c]).astype(c.dtype) for v, c in zip(last, cols)]
+        core, same, *where = cols[:5]
+        differs = lambda c: np.concatenate([[True], c[1:] != c[:-1]])
+        first = differs(core) | differs(same)
+        lead = np.maximum.accumulate(np.where(first, np.arange(len(core)), 0))
+        on = np.any([c != c[lead] for c in where], axis=0)  # a row that repeats id and text isn't handed on
+        firsts = np.flatnonzero(first)
+        fresh = differs(core[firsts])
+        met = ~fresh | np.append(~fresh[1:], False)  # one of several in its core
+        kept = met.copy()
+        if last is not None:
+            if out:
+                kept[0], met[0] = False, True
+        last, out = [c[firsts[-1]] for c in cols], bool(met[-1])
+        on[firsts[kept]] = True
+        at = np.flatnonzero(on)
+        yield pa.RecordBatch.from_arrays([pa.array(~first[at]), *(pa.array(c[at]) for c in [core, *where, *cols[5:]])],
+                                         names=["again", "core", "id", "tkey", "place", "low", "high"])
+
+
+_PART = "core long, id long, tkey long, start long, part binary"
+
+
+def _parts(batches):
+    """The bytes of each text that are wanted for a core, overlapping ones in one part."""
+    for batch in batches:
+        out = {"core": [], "id": [], "tkey": [], "start": [], "part": []}
+        for ident, tkey, text, ranges in zip(*(c.to_pylist() for c in batch.columns)):
+            of: dict[int, list[tuple[int, int]]] = {}
+            for r in ranges:
+                of.setdefault(r["core"], []).append((r["start"], min(r["end"], len(text))))
+            for core, wanted in of.items():
+                for a, b in merged(wanted):
+                    for k, v in zip(out, (core, ident, tkey, a, text[a:b])):
+                        out[k].append(v)
+        yield pa.RecordBatch.from_arrays([*(pa.array(out[k], pa.int64()) for k in ("core", "id", "tkey", "start")),
                                           pa.array(out["part"], pa.binary())], names=list(out))
 
 
+def _ranked(key: np.ndarray) -> tuple[np.ndarray, np.ndarray, int]:
+    """Order of the keys, each key's rank and the last rank; equal keys share one."""
+    order = np.argsort(key)
+    in_order = key[order]
+    fresh = np.zeros(len(key), np.int64)
+    np.cumsum(in_order[1:] != in_order[:-1], out=fresh[1:])
+    rank = np.empty(len(key), np.int64)
+    rank[order] = fresh
+    return order, rank, int(fresh[-1])
+
+
 def suffix_array(symbols: np.ndarray, depth: int) -> tuple[np.ndarray, np.ndarray]:
     """Order of the suffixes by at least ``depth`` symbols (below 512), and each suffix's place
     in it: seven symbols packed into one key, then prefix doubling."""
@@ -195,20 +265,12 @@ def suffix_array(symbols: np.ndarray, depth: int) -> tuple[np.ndarray, np.ndarra
     key, k = np.zeros(n, np.int64), 7
     for j in range(k):
         key[:max(0, n - j)] |= symbols[j:].astype(np.int64) << (9 * (k - 1 - j))
-    rank = np.unique(key, return_inverse=True)[1].astype(np.int64)
-    order = np.argsort(rank, kind="stable")
-    while k < depth:
+    order, rank, last = _ranked(key)
+    while k < depth and last < n - 1:
         follow = np.zeros(n, np.int64)
         follow[:-k or None] = rank[k:] + 1 if k < n else 0
-        key = rank * (int(rank.max()) + 2) + follow
-        order = np.argsort(key, kind="stable")
-        sorted_key = key[order]
-        fresh = np.concatenate([[0], np.cumsum(sorted_key[1:] != sorted_key[:-1])])
-        rank = np.empty(n, np.int64)
-        rank[order] = fresh
+        order, rank, last = _ranked(rank * (last + 2) + follow)
         k *= 2
-        if fresh[-1] == n - 1:
-            break
     place = np.empty(n, np.int64)
     place[order] = np.arange(n)
     return order, place
@@ -228,20 +290,25 @@ def equal_runs(symbols: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray
     rest = place[np.minimum(order + 1, n - 1)]
     rest[order == n - 1] = 0
     undecided = np.flatnonzero(~boundary)
-    here, before = rest[undecided], rest[undecided - 1]
+    here, before, decided = rest[undecided], rest[undecided - 1], 0
     for _ in range(length - 1):
         count = np.cumsum(boundary, dtype=np.int32)
-        equal = count[here] == count[before]
-        if equal.all():  # no boundary is new, so the next steps would find none either
+        differ = count.take(here, mode="clip") != count.take(before, mode="clip")  # all lie inside: spares the test
+        now = int(np.count_nonzero(differ))
+        if now == decided:  # no boundary is new, so the next steps would find none either
             break
-        boundary[undecided[~equal]] = True
-        undecided, here, before = undecided[equal], here[equal], before[equal]
+        boundary[undecided[differ]] = True
+        decided = now
+        if decided * 8 > len(undecided):  # pairs told apart stay so; they are looked up again until they are many
+            left = np.flatnonzero(~differ)
+            undecided, here, before, decided = undecided[left], here[left], before[left], 0
     return order, boundary
 
 
-def repeated_starts(parts: list[bytes], where: list[tuple[int, int, int]], length: int = LENGTH) -> list[np.ndarray]:
-    """For each part, at ``where`` (id, tkey, start), the starts in the text of strings of ``length`` that
-    come earlier in these parts."""
+def repeated_starts(parts: list[bytes], ident: np.ndarray, tkey: np.ndarray, start: np.ndarray,
+                    length: int = LENGTH) -> tuple[np.ndarray, np.ndarray]:
+    """(part, start in the text) of the strings of ``length`` that come earlier in these parts, by part and start;
+    parts start at ``start`` of the text (ident, tkey)."""
     sizes = np.array([len(p) for p in parts])
     ends = np.cumsum(sizes + 1) - 1
     symbols = np.zeros(int(ends[-1]) + 1, np.int64)
@@ -249,74 +316,55 @@ def repeated_starts(parts: list[bytes], where: list[tuple[int, int, int]], lengt
     text[ends] = False
     symbols[text] = np.frombuffer(b"".join(parts), np.uint8).astype(np.int64) + 1  # 0 parts them
     order, boundary = equal_runs(symbols, length)
-    part = np.searchsorted(ends, order)
-    inside = ends[part] - order >= length  # others hold a separator, so equal none of these
-    offset = order - (ends[part] - sizes[part])
-    rank = np.empty(len(parts), np.int64)  # place of the part's text in the order of texts
-    texts = sorted({w[:2] for w in where})
-    index = {t: i for i, t in enumerate(texts)}
-    rank[:] = [index[w[:2]] for w in where]
-    start = offset + np.array([w[2] for w in where])[part]
     run = np.cumsum(boundary) - 1
-    by = np.lexsort((start, rank[part], run))
-    run, keep = run[by], inside[by]
-    rk, st = rank[part][by], start[by]
-    lead = np.concatenate([[True], run[1:] != run[:-1]])
+    whole = np.repeat(ends, sizes + 1) - np.arange(len(symbols)) >= length  # others hold a separator, so equal none of these
+    inside = np.flatnonzero(whole[order] & (np.bincount(run)[run] > 1))
+    order, run = order[inside], run[inside]
+    part = np.repeat(np.arange(len(parts)), sizes + 1)[order]
+    by_text = np.lexsort((tkey, ident))
+    rank = np.empty(len(parts), np.int64)  # place of the part's text in the order of texts
+    rank[by_text] = np.cumsum(np.concatenate(
+        [[False], (np.diff(ident[by_text]) != 0) | (np.diff(tkey[by_text]) != 0)]))
+    st = order - (ends[part] - sizes[part]) + start[part]
+    by = np.lexsort((st, rank[part], run))
+    run, part, st = run[by], part[by], st[by]
+    rk = rank[part]
+    lead = np.concatenate([[True], run[1:] != run[:-1]])[:len(run)]
     first = np.maximum.accumulate(np.where(lead, np.arange(len(by)), 0))
-    again = keep & ((rk != rk[first]) | (st != st[first]))
-    out: list[np.ndarray] = []
-    p, s = part[by][again], st[again]
-    grouped = np.argsort(p, kind="stable")
-    p, s = p[grouped], s[grouped]
-    for i in range(len(parts)):
-        a, b = np.searchsorted(p, [i, i + 1])
-        out.append(np.sort(s[a:b]))
-    return out
+    again = (rk != rk[first]) | (st != st[first])
+    part, st = part[again], st[again]
+    by = np.lexsort((st, part))
+    return part[by], st[by]
 
 
 _RUN = "id long, tkey long, start long, end long"
 
 
-def _runs(where, starts):
-    """Intervals of bytes covered by strings at the given starts."""
-    rows = []
-    for (ident, tkey, _), s in zip(where, starts):
-        if len(s):
-            cut = np.flatnonzero(np.diff(s) > LENGTH)
-            for a, b in zip(np.append(0, cut + 1), np.append(cut, len(s) - 1)):
-                rows.append((ident, tkey, int(s[a]), int(s[b]) + LENGTH))
-    cols = list(zip(*rows)) or [[]] * 4
-    return pa.RecordBatch.from_arrays([pa.array(list(c), pa.int64()) for c in cols],
+def _runs(parts, ident, tkey, start):
+    """Intervals of bytes covered by strings that come earlier."""
+    where = [np.array(c, np.int64) for c in (ident, tkey, start)]
+    part, st = repeated_starts(parts, *where)
+    cut = (np.diff(part) != 0) | (np.diff(st) > LENGTH)
+    some = [True] * bool(len(part))
+    first, last = np.flatnonzero(np.concatenate([some, cut])), np.flatnonzero(np.concatenate([cut, some]))
+    return pa.RecordBatch.from_arrays([pa.array(c) for c in (where[0][part[first]], where[1][part[first]], st[first],
+                                                             st[last] + LENGTH)],
                                       names=["id", "tkey", "start", "end"])
 
 
 def _sharded(batches):
     """Rows come sorted by core; whole cores are gathered up to SHARD bytes."""
-    now, parts, where, size, group = None, [], [], 0, 0
+    now, rows, size = None, [], 0
     for batch in batches:
         for core, ident, tkey, start, part in zip(*(c.to_pylist() for c in batch.columns)):
             if core != now and size >= SHARD:
-                yield _runs(where, repeated_starts(parts, where))
-                parts, where, size = [], [], 0
+                yield _runs(*zip(*rows))
+                rows, size = [], 0
             now = core
-            parts.append(part)
-            where.append((ident, tkey, start))
+            rows.append((part, ident, tkey, start))
             size += len(part)
-    if parts:
-        yield _runs(where, repeated_starts(parts, where))
-
-
-def _strings(batches):
-    for batch in batches:
-        out = {"string": [], "id": [], "tkey": [], "start": []}
-        for ident, tkey, start, part in zip(*(c.to_pylist() for c in batch.columns)):
-            for i in range(len(part) - LENGTH + 1):
-                digest = hashlib.blake2b(part[i:i + LENGTH], digest_size=16).digest()
-                for k, v in zip(out, (digest, ident, tkey, start + i)):
-                    out[k].append(v)
-        yield pa.RecordBatch.from_arrays([pa.array(out["string"], pa.binary()),
-                                          *(pa.array(out[k], pa.int64()) for k in ("id", "tkey", "start"))],
-                                         names=list(out))
+    if rows:
+        yield _runs(*zip(*rows))
 
 
 def merged(runs: list[tuple[int, int]]) -> list[tuple[int, int]]:
@@ -431,25 +479,38 @@ def remove_repeats(docs: DataFrame, with_kept: bool = True) -> DataFrame:
                 F.collect_set(F.when(~meets, F.col("place"))).alias("places")))
     own = _written(own, "own")
     weight = int(own.agg(F.coalesce(F.sum(F.size("grouped") + F.size("places") + 5), F.lit(0))).first()[0])
-    parts = _written(source.join(_small(own, weight), ["id", "tkey"])
-                     .select("id", "tkey", "text", "group", "grouped", "places").mapInArrow(_parts, _PART), "parts")
-
-    def compared(rows: DataFrame) -> DataFrame:
-        return (rows.repartition(shuffle_width(docs), "core").sortWithinPartitions("core")
-                .select("core", "id", "tkey", "start", "part").mapInArrow(_sharded, _RUN))
-
-    regions = compared(parts.filter("region"))
-    parts = parts.filter("not region")
-    cores = _written(parts.groupBy("core").agg(F.count("*").alias("n")).filter("n > 1"), "cores")
-    cold = compared(parts.join(cores.filter(F.col("n") <= HOT), "core", "left_semi"))
-    strings = (parts.join(cores.filter(F.col("n") > HOT), "core", "left_semi").select("id", "tkey", "start", "part")
-               .mapInArrow(_strings, "string binary, id long, tkey long, start long"))
-    at = F.struct("id", "tkey", "start")
-    least = strings.groupBy("string").agg(F.min(at).alias("first"), F.max(at).alias("last")).filter("first <> last")
-    hot = (strings.join(least, "string").filter(at != F.col("first"))
-           .select("id", "tkey", "start", (F.col("start") + LENGTH).alias("end")))
-
-    runs = whole.union(regions).union(cold).union(hot)
+    width = shuffle_width(docs)
+    weight_of = lambda df, n: int(df.agg(F.coalesce(F.sum(n + 4), F.lit(0))).first()[0])
+    nothing, most = F.lit(0).cast("byte"), F.lit(REACH).cast("byte")
+    wanted = own.filter(F.size("places") > 0).select("id", "tkey", F.transform("places", lambda p: F.struct(
+        F.lit(0).cast("long").alias("core"), p.alias("place"), nothing.alias("low"), most.alias("high"))).alias("wanted"))
+    wanted = _small(wanted, weight)
+    start, end = F.greatest(F.col("place") - F.col("high"), F.lit(0)).alias("start"), (F.col("place") - F.col("low") + LENGTH).alias("end")
+    grouped = own.select("id", "tkey", F.col("group").alias("core"), F.explode("grouped").alias("place"),
+                         nothing.alias("low"), most.alias("high"))
+    compare, equal = [grouped.select("core", "id", "tkey", start, end)], []
+    while True:  # each round halves the strings of a core: seven at most
+        cores = _written(source.join(wanted, ["id", "tkey"]).select("id", "tkey", "text", "wanted").mapInArrow(_cores, _CORE)
+                         .repartition(width, "core").sortWithinPartitions("core", "same", "id", "tkey", "place")
+                         .mapInArrow(_settled, _SETTLED), "cores")
+        equal.append(cores.filter("again").select("id", "tkey", start, end))
+        firsts = cores.filter("not again")
+        hot = _written(firsts.groupBy("core").agg(F.count("*").alias("n")).filter(F.col("n") > HOT).select("core"), "hot")
+        n_hot = hot.count()
+        if n_hot == 0:
+            compare.append(firsts.select("core", "id", "tkey", start, end))
+            break
+        compare.append(firsts.join(_small(hot, n_hot), "core", "left_anti").select("core", "id", "tkey", start, end))
+        wanted = _written(firsts.join(_small(hot, n_hot), "core", "left_semi").groupBy("id", "tkey")
+                          .agg(F.collect_list(F.struct("core", "place", "low", "high")).alias("wanted")), "wanted")
+        wanted = _small(wanted, weight_of(wanted, F.size("wanted")))
+    ranges = _written(reduce(DataFrame.unionByName, compare).groupBy("id", "tkey")
+                      .agg(F.collect_list(F.struct("core", "start", "end")).alias("ranges")), "ranges")
+    parts = (source.join(_small(ranges, weight_of(ranges, F.size("ranges"))), ["id", "tkey"])
+             .select("id", "tkey", "text", "ranges").mapInArrow(_parts, _PART))
+    compared = (parts.repartition(width, "core").sortWithinPartitions("core").mapInArrow(_sharded, _RUN))
+
+    runs = reduce(DataFrame.unionByName, [whole, compared, *equal])
     runs = _written(runs.groupBy("id", "tkey").agg(F.collect_set(F.struct("start", "end")).alias("runs"))
                     .mapInArrow(_joined, "id long, tkey long, runs array<struct<start:bigint,end:bigint>>"), "runs")
     touched = (runs.select("id", "tkey", F.lit(False).alias("copy"), "runs")

@@ -4,6 +4,7 @@ import itertools
 import random
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from helpers import SCHEMA, exact_groups, jaccard_components, remove_repeats, sha
 
@@ -225,6 +226,36 @@ def test_suffix_dedup_edges(spark, monkeypatch, hot, linked, group):
     assert spans_of(frame(spark, rows)) == remove_repeats(rows)
 
 
+def test_suffix_dedup_halves_hot_cores_until_few_meet(spark, monkeypatch):
+    """A passage between different words: no shard meets more than HOT of a core, and the result is whole."""
+    monkeypatch.setattr(suffix_dedup, "HOT", 3)
+    monkeypatch.setattr(suffix_dedup, "GROUP", 3)
+    kept, written = {}, suffix_dedup._written
+    monkeypatch.setattr(suffix_dedup, "_written", lambda df, name: kept.setdefault(name, []).append(
+        written(df, name)) or kept[name][-1])
+    rng = random.Random(4)
+    passage = " ".join(prose(30, 8, 900))[:140]
+    rows = [(i, " ".join(prose(12, rng.random(), 900)) + passage + " ".join(prose(12, rng.random(), 900))) for i in range(20)]
+    assert spans_of(frame(spark, rows)) == remove_repeats(rows)
+    assert len(kept["cores"]) > 1  # rounds of halving
+    met = kept["ranges"][0].selectExpr("explode(ranges) AS r").groupBy("r.core").count()
+    assert met.filter("count > 3").count() == 0
+
+
+def test_settled_keeps_one_row_between_batches():
+    rows = [(1, 1, 5, 0, 9), (1, 1, 5, 0, 9), (1, 1, 6, 0, 2), (1, 2, 5, 0, 1), (2, 1, 5, 0, 3), (2, 1, 7, 0, 3), (3, 1, 5, 0, 4),
+            (3, 3, 5, 0, 6), (3, 4, 5, 0, 7)]
+    # equal bytes: all but the first again; the first on if its core has others, each once
+    want = [(False, 1, 5, 9), (True, 1, 6, 2), (False, 1, 5, 1), (True, 2, 7, 3), (False, 3, 5, 4), (False, 3, 5, 6), (False, 3, 5, 7)]
+    kinds = (pa.int64(),) * 5 + (pa.int8(),) * 2
+    names = ["core", "same", "id", "tkey", "place", "low", "high"]
+    for size in range(1, len(rows) + 1):
+        batches = [pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*((*r, 0, 34) for r in rows[i:i + size])), kinds)],
+                                              names=names) for i in range(0, len(rows), size)]
+        got = [(r["again"], r["core"], r["id"], r["place"]) for b in suffix_dedup._settled(batches) for r in b.to_pylist()]
+        assert sorted(got) == sorted(want)
+
+
 def test_suffix_dedup_repeats_nulls_and_empty(spark):
     text = " ".join(prose(40, 3, 400))
     rows = [(1, text), (1, text), (None, text), (2, "short")]
