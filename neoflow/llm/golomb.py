@@ -102,9 +102,9 @@ def _answer(group: pd.DataFrame) -> pd.DataFrame:
     """One owner: a bitmap for each message, 1 where the distinct value occurs again in
     any message of this owner (its own included)."""
     lists = [counted_decode(b) for b in group["blob"]]
-    values, senders = np.unique(np.concatenate([x for x, _ in lists]), return_counts=True)
-    several = values[senders > 1]
-    maps = [np.packbits((counts > 1) | np.isin(x, several, kind="sort")).tobytes() for x, counts in lists]
+    _, which, senders = np.unique(np.concatenate([x for x, _ in lists]), return_inverse=True, return_counts=True)
+    again = np.split((senders > 1)[which], np.cumsum([len(x) for x, _ in lists])[:-1])
+    maps = [np.packbits((counts > 1) | x).tobytes() for (_, counts), x in zip(lists, again)]
     return pd.DataFrame({"sender": group["sender"], "chunk": group["chunk"],
                          "owner": group["owner"], "bitmap": maps})
 

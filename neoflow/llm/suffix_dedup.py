@@ -27,6 +27,7 @@ who has to be compared with whom is a distributed job, comparing them a BWT:
 from __future__ import annotations
 
 import hashlib
+import uuid
 from functools import reduce
 
 import numpy as np
@@ -36,6 +37,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from neoflow.fs import delete_path
 from neoflow.llm.components import components
 from neoflow.llm.golomb import Universe, answered, shuffle_width, with_bitmaps
 from neoflow.session import scratch_path
@@ -53,10 +55,12 @@ SHARD = 1 << 18
 LINKED, GROUP = 16, 20_000
 #: Different surroundings of one core up to which they meet in a shard.
 HOT = 4_000
-#: Rows of cores that a task makes at a time.
+#: Places whose cores a task makes at a time.
 ROWS = 50_000
-#: Rows up to which a table joined with texts is broadcast (ids and places, 40 bytes each).
+#: Hot cores (8 bytes each) up to which they are broadcast.
 BROADCAST_ROWS = 1_000_000
+#: Buckets of texts, at most (Spark's own limit).
+MOST_BUCKETS = 100_000
 
 _LAST_ID = (1 << 63) - 1
 _rng = np.random.default_rng(11)
@@ -125,7 +129,7 @@ def _sender(universe: Universe):
             place = np.concatenate([p[1] for p in parts])
             around = np.concatenate([p[2] for p in parts])
             rows = []
-            for owner, at, blob in universe.messages(fp):
+            for owner, at, blob in universe.messages(_mix(fp)):  # kept hashes are the least: unmixed, most go to a few owners
                 of, mine = np.unique(doc[at], return_inverse=True)
                 rows.append({"sender": sender, "chunk": chunk, "owner": owner, "blob": blob,
                              "doc": mine.astype(np.uint32).tobytes(), "place": place[at].tobytes(),
@@ -169,31 +173,31 @@ _CORE = "core long, same long, id long, tkey long, place long, low byte, high by
 def _cores(batches):
     """Halves of the strings wanted around places, those that start ``low`` to ``high`` bytes before a place: hash of the
     core, the bytes that they all hold, and of all their bytes with where the place lies in them."""
-    kinds = (pa.int64(),) * 5 + (pa.int8(),) * 2
-    names = ["core", "same", "id", "tkey", "place", "low", "high"]
-    batch_of = lambda rows: pa.RecordBatch.from_arrays(
-        [pa.array(c, k) for c, k in zip(zip(*rows), kinds)], names=names)
-    digest, least, mask = xxhash.xxh64_intdigest, 1 << 63, (1 << 64) - 1
-    rows = []
+    digest, least = xxhash.xxh64_intdigest, np.uint64(1 << 63)
+    signed = lambda hashes: pa.array((np.array(hashes, np.uint64) ^ least).view(np.int64))
     for batch in batches:
-        for ident, tkey, text, wanted in zip(*(c.to_pylist() for c in batch.columns)):
-            n = len(text)
-            for w in wanted:
-                core, p, mid = w["core"], w["place"], (w["low"] + w["high"]) // 2
-                for low, high in ((w["low"], mid), (mid + 1, w["high"])):
-                    a, b = p - low, p - high + LENGTH
-                    if a < 0 or b > n or low > high:
-                        continue
-                    start, end = max(0, p - high), min(n, a + LENGTH)
-                    if end - start >= LENGTH:
-                        rows.append((digest(text[a:b], (core * 131 + low) & mask) - least,
-                                     digest(text[start:end], (p - start) * 1000 + end - p) - least,
-                                     ident, tkey, p, low, high))
-            if len(rows) >= ROWS:
-                yield batch_of(rows)
-                rows = []
-    if rows:
-        yield batch_of(rows)
+        ident, tkey, texts, lists = batch.columns
+        ident, tkey, texts = ident.to_numpy(), tkey.to_numpy(), texts.to_pylist()
+        sizes = np.array([len(t) for t in texts], np.int64)
+        rows = np.repeat(np.arange(len(lists)), lists.value_lengths().to_numpy())
+        wanted = [c.to_numpy() for c in lists.flatten().flatten()]
+        for at in range(0, len(rows), ROWS):
+            of = np.tile(rows[at:at + ROWS], 2)
+            core, p, low, high = (c[at:at + ROWS].astype(np.int64) for c in wanted)
+            mid = (low + high) // 2
+            core, p, low, high = np.tile(core, 2), np.tile(p, 2), np.concatenate([low, mid + 1]), np.concatenate([mid, high])
+            a, b = p - low, p - high + LENGTH
+            start, end = np.maximum(p - high, 0), np.minimum(sizes[of], a + LENGTH)
+            on = np.flatnonzero((a >= 0) & (b <= sizes[of]) & (low <= high) & (end - start >= LENGTH))
+            of, core, p, low, high, a, b, start, end = (c[on] for c in (of, core, p, low, high, a, b, start, end))
+            seed = core.view(np.uint64) * np.uint64(131) + low.astype(np.uint64)
+            text = [texts[i] for i in of]
+            cores = [digest(t[i:j], k) for t, i, j, k in zip(text, a.tolist(), b.tolist(), seed.tolist())]
+            same = [digest(t[i:j], k) for t, i, j, k in zip(text, start.tolist(), end.tolist(),
+                                                            ((p - start) * 1000 + end - p).tolist())]
+            yield pa.RecordBatch.from_arrays(
+                [signed(cores), signed(same), *map(pa.array, (ident[of], tkey[of], p, low.astype(np.int8), high.astype(np.int8)))],
+                names=["core", "same", "id", "tkey", "place", "low", "high"])
 
 
 _SETTLED = "again boolean, core long, id long, tkey long, place long, low byte, high byte"
@@ -382,9 +386,20 @@ def _joined(batches):
     """Each text's intervals as maximal runs."""
     kind = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))
     for batch in batches:
-        runs = [[{"start": a, "end": b} for a, b in merged([(r["start"], r["end"]) for r in rows])]
-                for rows in batch.column(2).to_pylist()]
-        yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(runs, kind)],
+        lists = batch.column(2)
+        start, end = (c.to_numpy() for c in lists.flatten().flatten())
+        of = np.repeat(np.arange(len(lists)), lists.value_lengths().to_numpy())
+        by = np.lexsort((start, of))
+        of, start, end = of[by], start[by], end[by]
+        apart = of * (int(end.max(initial=0)) + 1)
+        reached = np.maximum.accumulate(end + apart) - apart  # furthest end of the text's runs so far
+        cut = (of[1:] != of[:-1]) | (start[1:] > reached[:-1])
+        some = [True] * bool(len(of))
+        first, last = np.flatnonzero(np.concatenate([some, cut])), np.flatnonzero(np.concatenate([cut, some]))
+        at = np.concatenate([[0], np.cumsum(np.bincount(of[first], minlength=len(lists)))])
+        runs = pa.StructArray.from_arrays([pa.array(start[first]), pa.array(reached[last])], fields=list(kind.value_type))
+        yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1),
+                                          pa.ListArray.from_arrays(pa.array(at, pa.int32()), runs, type=kind)],
                                          names=["id", "tkey", "runs"])
 
 
@@ -417,6 +432,32 @@ def _written(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.parquet(path)
 
 
+def _dropped(df: DataFrame) -> None:
+    """Deletes what _written() wrote."""
+    for folder in {x.rpartition("/")[0] for x in df.inputFiles()}:
+        delete_path(df.sparkSession, folder, recursive=True)
+
+
+def _dealt(docs: DataFrame, width: int) -> DataFrame:
+    """The texts, written once in buckets by (id, tkey): joins with them shuffle their other side only.
+
+    Buckets are known to a catalog alone, so the table is named in the session's for as long as it takes to look it up.
+    """
+    spark, width = docs.sparkSession, min(width, MOST_BUCKETS)
+    name = f"spark_catalog.default.neoflow_texts_{uuid.uuid4().hex}"
+    (docs.repartition(width, "id", "tkey").write.bucketBy(width, "id", "tkey").option("compression", "zstd")
+     .option("path", scratch_path(spark, "suffix-texts")).saveAsTable(name))
+    try:
+        return spark.table(name)
+    finally:
+        spark.sql(f"DROP TABLE {name}")  # the files stay: the table has a path of its own
+
+
+def _at_texts(texts: DataFrame, listed: DataFrame, how: str = "inner") -> DataFrame:
+    """``texts`` of _dealt() joined with rows of documents; texts are neither shuffled nor sorted."""
+    return texts.join(listed.hint("shuffle_hash"), ["id", "tkey"], how)
+
+
 def _small(df: DataFrame, rows: int) -> DataFrame:
     return F.broadcast(df) if rows <= BROADCAST_ROWS else df
 
@@ -433,6 +474,8 @@ def remove_repeats(docs: DataFrame, with_kept: bool = True) -> DataFrame:
                        F.coalesce(F.col("doc_id").cast("long"), F.lit(_LAST_ID)).alias("id"),
                        F.xxhash64("text").alias("tkey"),
                        F.coalesce(F.col("text").cast("binary"), F.lit(b"")).alias("text"))
+    width = shuffle_width(docs)
+    docs = _dealt(docs, width)
     long = F.length("text") >= LENGTH
     members = _written(docs.filter(long).select("id", "tkey", F.sha2("text", 256).alias("sha"),
                                                 F.length("text").alias("n")).distinct(), "members")
@@ -441,17 +484,16 @@ def remove_repeats(docs: DataFrame, with_kept: bool = True) -> DataFrame:
     first = _written(first, "first")
     copies = _written(members.join(first.filter("copies > 1").select("sha", "first"), "sha")
                       .filter(F.struct("id", "tkey") != F.col("first")).select("id", "tkey"), "copies")
-    n_copies = copies.count()
     total = first.agg(F.sum("n")).first()[0] or 0
     expected = 2 * total // (REACH + 2)
-    universe = Universe(expected, shuffle_width(docs))
+    universe = Universe(expected, width)
 
     source = docs.filter(long).select("id", "tkey", "text")
-    messages = _written(source.join(_small(copies, n_copies), ["id", "tkey"], "left_anti")
-                        .mapInArrow(_sender(universe), _MESSAGE), "messages")
+    messages = _written(_at_texts(source, copies, "left_anti").mapInArrow(_sender(universe), _MESSAGE), "messages")
     suspects = _written(with_bitmaps(messages, expected).select("owner", "blob", "doc", "place", "around", "ids",
                                                                 "tkeys", "bitmap")
                         .mapInArrow(_suspects, _SUSPECT), "suspects")
+    _dropped(messages)
     # Rows that repeat id and text have sent their anchors twice: min() and struct comparison see them as one.
     place = F.struct("id", "tkey", "place")
     around = _written(suspects.groupBy("anchor", "around").agg(F.min(place).alias("first"),
@@ -472,25 +514,21 @@ def remove_repeats(docs: DataFrame, with_kept: bool = True) -> DataFrame:
     large = (placed.filter(F.col("n") <= LINKED).groupBy("component").agg(F.count("*").alias("size"))
              .filter(F.col("size") > GROUP).select("component", F.lit(True).alias("large")))
     meets = (F.col("n") <= LINKED) & F.col("large").isNull()
-    own = (placed.join(large, "component", "left")
+    own = (placed.join(F.broadcast(large), "component", "left")  # one row for GROUP places at least
            .groupBy(F.col("node.id").alias("id"), F.col("node.tkey").alias("tkey"))
            .agg(F.xxhash64(F.first("component")).alias("group"),
                 F.collect_set(F.when(meets, F.col("place"))).alias("grouped"),
                 F.collect_set(F.when(~meets, F.col("place"))).alias("places")))
     own = _written(own, "own")
-    weight = int(own.agg(F.coalesce(F.sum(F.size("grouped") + F.size("places") + 5), F.lit(0))).first()[0])
-    width = shuffle_width(docs)
-    weight_of = lambda df, n: int(df.agg(F.coalesce(F.sum(n + 4), F.lit(0))).first()[0])
     nothing, most = F.lit(0).cast("byte"), F.lit(REACH).cast("byte")
     wanted = own.filter(F.size("places") > 0).select("id", "tkey", F.transform("places", lambda p: F.struct(
         F.lit(0).cast("long").alias("core"), p.alias("place"), nothing.alias("low"), most.alias("high"))).alias("wanted"))
-    wanted = _small(wanted, weight)
     start, end = F.greatest(F.col("place") - F.col("high"), F.lit(0)).alias("start"), (F.col("place") - F.col("low") + LENGTH).alias("end")
     grouped = own.select("id", "tkey", F.col("group").alias("core"), F.explode("grouped").alias("place"),
                          nothing.alias("low"), most.alias("high"))
     compare, equal = [grouped.select("core", "id", "tkey", start, end)], []
     while True:  # each round halves the strings of a core: seven at most
-        cores = _written(source.join(wanted, ["id", "tkey"]).select("id", "tkey", "text", "wanted").mapInArrow(_cores, _CORE)
+        cores = _written(_at_texts(source, wanted).select("id", "tkey", "text", "wanted").mapInArrow(_cores, _CORE)
                          .repartition(width, "core").sortWithinPartitions("core", "same", "id", "tkey", "place")
                          .mapInArrow(_settled, _SETTLED), "cores")
         equal.append(cores.filter("again").select("id", "tkey", start, end))
@@ -503,11 +541,9 @@ def remove_repeats(docs: DataFrame, with_kept: bool = True) -> DataFrame:
         compare.append(firsts.join(_small(hot, n_hot), "core", "left_anti").select("core", "id", "tkey", start, end))
         wanted = _written(firsts.join(_small(hot, n_hot), "core", "left_semi").groupBy("id", "tkey")
                           .agg(F.collect_list(F.struct("core", "place", "low", "high")).alias("wanted")), "wanted")
-        wanted = _small(wanted, weight_of(wanted, F.size("wanted")))
     ranges = _written(reduce(DataFrame.unionByName, compare).groupBy("id", "tkey")
                       .agg(F.collect_list(F.struct("core", "start", "end")).alias("ranges")), "ranges")
-    parts = (source.join(_small(ranges, weight_of(ranges, F.size("ranges"))), ["id", "tkey"])
-             .select("id", "tkey", "text", "ranges").mapInArrow(_parts, _PART))
+    parts = (_at_texts(source, ranges).select("id", "tkey", "text", "ranges").mapInArrow(_parts, _PART))
     compared = (parts.repartition(width, "core").sortWithinPartitions("core").mapInArrow(_sharded, _RUN))
 
     runs = reduce(DataFrame.unionByName, [whole, compared, *equal])
@@ -516,8 +552,6 @@ def remove_repeats(docs: DataFrame, with_kept: bool = True) -> DataFrame:
     touched = (runs.select("id", "tkey", F.lit(False).alias("copy"), "runs")
                .unionByName(copies.select("id", "tkey", F.lit(True).alias("copy"), F.lit(None).cast(
                    runs.schema["runs"].dataType).alias("runs"))))
-    weight = int(runs.agg(F.coalesce(F.sum(F.size("runs") + 4), F.lit(0))).first()[0]) + n_copies
-    return (docs.join(_small(touched, weight), ["id", "tkey"], "left")
-            .select("doc_id", "text", F.coalesce("copy", F.lit(False)).alias("copy"), "runs")
+    return (_at_texts(docs, touched, "left").select("doc_id", "text", F.coalesce("copy", F.lit(False)).alias("copy"), "runs")
             .mapInArrow(_removed(with_kept), "doc_id long, n_bytes long, spans array<struct<start:bigint,end:bigint>>, "
                                              "kept_sha binary, kept binary"))

@@ -2,8 +2,11 @@
 
 import itertools
 import random
+from collections import Counter
+from types import SimpleNamespace
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import pytest
 from helpers import SCHEMA, exact_groups, jaccard_components, remove_repeats, sha
@@ -293,5 +296,79 @@ def test_anchors_don_t_depend_on_blocks(monkeypatch):
         assert ((places >= i) & (places <= i + suffix_dedup.REACH)).any()
 
 
+def test_owners_of_anchors_get_even_shares(monkeypatch):
+    """Anchors are the least hashes of their surroundings, so owners must not be told by their size."""
+    monkeypatch.setattr(suffix_dedup, "TaskContext", SimpleNamespace(get=lambda: SimpleNamespace(partitionId=lambda: 0)))
+    texts = [" ".join(prose(400, i, 5_000)).encode() for i in range(60)]
+    batch = pa.RecordBatch.from_arrays([pa.array(range(60), pa.int64())] * 2 + [pa.array(texts, pa.binary())],
+                                       names=["id", "tkey", "text"])
+    rows = [r for b in suffix_dedup._sender(golomb.Universe(5_000, 25))([batch]) for r in b.to_pylist()]
+    sizes = [len(r["place"]) // 8 for r in rows]
+    assert len(sizes) == 25 and max(sizes) < 2 * sum(sizes) / 25
+
+
+def test_owner_looks_at_each_value_once(monkeypatch):
+    """An owner's answers cost what its values cost together, not what they cost for every message."""
+    rng = np.random.default_rng(8)
+    lists = [np.sort(rng.integers(0, 4_000, int(n))) for n in rng.integers(1, 40, 300)]
+    sorted_values, unique, isin = [], np.unique, np.isin
+    monkeypatch.setattr(golomb.np, "unique", lambda x, *a, **k: sorted_values.append(len(x)) or unique(x, *a, **k))
+    monkeypatch.setattr(golomb.np, "isin", lambda x, y, **k: sorted_values.append(len(x) + len(y)) or isin(x, y))
+    blobs = [golomb.counted_encode(x) for x in lists]
+    sorted_values.clear()
+    got = golomb._answer(pd.DataFrame({"sender": range(300), "chunk": 0, "owner": 7, "blob": blobs}))
+    assert sum(sorted_values) <= sum(map(len, lists))
+    often = Counter(int(v) for x in lists for v in x)
+    for x, blob, bitmap in zip(lists, blobs, got["bitmap"]):
+        values, hit = golomb.answered(blob, bitmap)
+        assert values.tolist() == x.tolist() and hit.tolist() == [often[int(v)] > 1 for v in x]
+
+
+def test_texts_are_dealt_out_once(spark, monkeypatch):
+    """No join with texts shuffles or sorts them, however many rows it has, and groups of one component are not dealt out."""
+    made, written = [], suffix_dedup._written
+    monkeypatch.setattr(suffix_dedup, "_written", lambda df, name: made.append((name, df)) or written(df, name))
+    monkeypatch.setattr(suffix_dedup, "BROADCAST_ROWS", 0)
+    monkeypatch.setattr(suffix_dedup, "LINKED", 1)
+    passage = " ".join(prose(40, 8, 900))
+    rows = [(i, " ".join(prose(12, i, 900)) + passage + " ".join(prose(12, 50 + i, 900))) for i in range(6)] + [(9, passage), (10, passage)]
+    before = {k: spark.conf.get(k) for k in ("spark.sql.adaptive.enabled", "spark.sql.autoBroadcastJoinThreshold")}
+    for k, v in zip(before, ("false", "-1")):
+        spark.conf.set(k, v)
+    try:
+        out = suffix_dedup.remove_repeats(frame(spark, rows))
+        assert {r["doc_id"]: (r["n_bytes"], sum(s["end"] - s["start"] for s in r["spans"]), len(r["spans"]), r["kept_sha"].hex())
+                for r in out.collect()} == remove_repeats(rows)
+        joins = 0
+        for name, df in [*made, ("out", out)]:
+            todo = [df._jdf.queryExecution().executedPlan()]
+            while todo:
+                node = todo.pop()
+                columns = [node.output().apply(i).name() for i in range(node.output().size())]
+                assert "text" not in columns or node.nodeName() not in ("Exchange", "BroadcastExchange", "Sort"), name
+                assert not (node.nodeName() == "SortMergeJoin" and "large" in columns), name
+                joins += node.nodeName() == "ShuffledHashJoin"
+                todo += [node.children().apply(i) for i in range(node.children().size())]
+        assert joins >= 4  # copies, cores, ranges, runs
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    assert not [t for t in spark.catalog.listTables() if t.name.startswith("neoflow_texts")]
+
+
+def test_joined_makes_maximal_runs_of_each_text():
+    rng = random.Random(6)
+    lists = [[(a := rng.randrange(300), a + rng.randrange(1, 60)) for _ in range(rng.randrange(12))] for _ in range(40)] + [[]]
+    kind = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))
+    batch = pa.RecordBatch.from_arrays(
+        [pa.array(range(41), pa.int64()), pa.array(range(41), pa.int64()),
+         pa.array([[{"start": a, "end": b} for a, b in x] for x in lists], kind)], names=["id", "tkey", "runs"])
+    for part in (batch, batch.slice(3, 20), batch.slice(40), batch.slice(0, 0)):
+        (got,) = suffix_dedup._joined([part])
+        assert got.schema.field("runs").type == kind
+        assert [(r["id"], [(x["start"], x["end"]) for x in r["runs"]]) for r in got.to_pylist()] == [
+            (i, merged(lists[i])) for i in part.column(0).to_pylist()]
+
+
 def test_merged_runs():
     assert merged([(5, 9), (0, 3), (3, 4), (6, 12)]) == [(0, 4), (5, 12)]
