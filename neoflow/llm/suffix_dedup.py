@@ -29,6 +29,7 @@ from __future__ import annotations
 import hashlib
 import uuid
 from functools import reduce
+from urllib.parse import unquote
 
 import numpy as np
 import pyarrow as pa
@@ -434,7 +435,7 @@ def _written(df: DataFrame, name: str) -> DataFrame:
 
 def _dropped(df: DataFrame) -> None:
     """Deletes what _written() wrote."""
-    for folder in {x.rpartition("/")[0] for x in df.inputFiles()}:
+    for folder in {unquote(x.rpartition("/")[0]) for x in df.inputFiles()}:
         delete_path(df.sparkSession, folder, recursive=True)
 
 
@@ -445,7 +446,7 @@ def _dealt(docs: DataFrame, width: int) -> DataFrame:
     """
     spark, width = docs.sparkSession, min(width, MOST_BUCKETS)
     name = f"spark_catalog.default.neoflow_texts_{uuid.uuid4().hex}"
-    (docs.repartition(width, "id", "tkey").write.bucketBy(width, "id", "tkey").option("compression", "zstd")
+    (docs.repartition(width, "id", "tkey").write.format("parquet").bucketBy(width, "id", "tkey").option("compression", "zstd")
      .option("path", scratch_path(spark, "suffix-texts")).saveAsTable(name))
     try:
         return spark.table(name)
@@ -543,7 +544,7 @@ def remove_repeats(docs: DataFrame, with_kept: bool = True) -> DataFrame:
                           .agg(F.collect_list(F.struct("core", "place", "low", "high")).alias("wanted")), "wanted")
     ranges = _written(reduce(DataFrame.unionByName, compare).groupBy("id", "tkey")
                       .agg(F.collect_list(F.struct("core", "start", "end")).alias("ranges")), "ranges")
-    parts = (_at_texts(source, ranges).select("id", "tkey", "text", "ranges").mapInArrow(_parts, _PART))
+    parts = _at_texts(source, ranges).select("id", "tkey", "text", "ranges").mapInArrow(_parts, _PART)
     compared = (parts.repartition(width, "core").sortWithinPartitions("core").mapInArrow(_sharded, _RUN))
 
     runs = reduce(DataFrame.unionByName, [whole, compared, *equal])
